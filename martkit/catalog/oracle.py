@@ -731,8 +731,8 @@ FROM lineitem WINDOW w AS (PARTITION BY l_suppkey, l_returnflag)""",
     "FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "oldest_orders": f"SELECT o_orderkey AS order_id, {txt('o_orderdate')} AS order_ts, {dbl(dec('o_totalprice'))} AS cost "
     "FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10",
-    "customers_without_orders": "SELECT c_custkey AS id, c_name AS name FROM customer "
-    "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "customers_without_closed_orders": "SELECT c_custkey AS id, c_name AS name FROM customer "
+    "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
     "constraint_report": """SELECT rule, count(*) AS n FROM (
   SELECT unnest([CASE WHEN l_orderkey IS NULL THEN 'not_null:l_orderkey' END,
                  CASE WHEN l_shipdate IS NULL THEN 'not_null:l_shipdate' END,

@@ -341,15 +341,16 @@ def courier_ledger(spark, sf) -> DataFrame:
 _FIRST_LOAD, _SECOND_LOAD = "2024-01-16 00:00:00", "2024-02-01 00:00:00"
 
 
-def _community(spark, sf) -> dict[str, DataFrame]:
+def _community(spark, sf, *tables: str) -> dict[str, DataFrame]:
     staging = r.community(spark, sf)
     stamp = lambda t: F.lit(t).cast("timestamp_ntz")
-    early = conversion.load_community_vault(r.community_before(staging), stamp(_FIRST_LOAD), algorithm="md5")
-    return conversion.load_community_vault(staging, stamp(_SECOND_LOAD), early, algorithm="md5")
+    load = partial(conversion.load_community_vault, algorithm="md5", tables=tables)
+    early = load(r.community_before(staging), stamp(_FIRST_LOAD), save=staged)
+    return load(staging, stamp(_SECOND_LOAD), early, save=staged)
 
 
 def vault_hubs(spark, sf) -> DataFrame:
-    v = _community(spark, sf)
+    v = _community(spark, sf, "h_users", "h_dialogs", "h_groups")
 
     def hub(name, hk, key, ts):
         return v[name].select(
@@ -366,7 +367,7 @@ def vault_hubs(spark, sf) -> DataFrame:
 
 
 def vault_links(spark, sf) -> DataFrame:
-    v = _community(spark, sf)
+    v = _community(spark, sf, "l_admins", "l_groups_dialogs", "l_user_message", "l_user_group_activity")
 
     def link(name, hk, first, second):
         return v[name].select(
@@ -389,7 +390,8 @@ def vault_links(spark, sf) -> DataFrame:
 
 
 def vault_satellites(spark, sf) -> DataFrame:
-    v = _community(spark, sf)
+    names = ("s_admins", "s_group_name", "s_group_private_status", "s_dialog_info", "s_user_socdem", "s_user_chatinfo")
+    v = _community(spark, sf, *names)
 
     def satellite(name, hk, *attrs):
         return v[name].select(
@@ -413,7 +415,7 @@ def vault_satellites(spark, sf) -> DataFrame:
 
 
 def vault_history(spark, sf) -> DataFrame:
-    return _community(spark, sf)["s_auth_history"].select(
+    return _community(spark, sf, "s_auth_history")["s_auth_history"].select(
         F.col("hk_l_user_group_activity").alias("hk"),
         big("user_id_from"),
         "event",
@@ -425,7 +427,9 @@ def vault_history(spark, sf) -> DataFrame:
 
 def group_conversion(spark, sf) -> DataFrame:
     stamp = F.lit(_SECOND_LOAD).cast("timestamp_ntz")
-    vault = conversion.load_community_vault(r.community(spark, sf), stamp, algorithm="md5")
+    vault = conversion.load_community_vault(
+        r.community(spark, sf), stamp, algorithm="md5", tables=conversion.CONVERSION_TABLES, save=staged
+    )
     return conversion.group_conversion(vault).select(
         "hk_group_id",
         big("cnt_added_users"),
@@ -545,17 +549,17 @@ def category_counters(spark, sf) -> DataFrame:
     return mart.select("user_id", "category_id", "category_name", big("order_cnt"))
 
 
-def _order_vault(spark, sf) -> dict[str, DataFrame]:
+def _order_vault(spark, sf, tables) -> dict[str, DataFrame]:
     """Loaded from the orders before 1998, then again from all orders."""
     enriched = staged(_enriched(spark, sf), "enriched")
     stamp = lambda t: F.lit(t).cast("timestamp_ntz")
     early = enriched.filter(F.col("date") < "1998-01-01")
-    first = order_plans.load_order_vault(early, stamp("1998-01-01 00:00:00"))
-    return order_plans.load_order_vault(enriched, stamp("2002-01-01 00:00:00"), first)
+    load = partial(order_plans.load_order_vault, tables=tables)
+    held = {name: staged(df, name) for name, df in load(early, stamp("1998-01-01 00:00:00")).items()}
+    return load(enriched, stamp("2002-01-01 00:00:00"), held)
 
 
 def vault_uuid5_hubs(spark, sf) -> DataFrame:
-    v = _order_vault(spark, sf)
     keys = {
         "h_user": "user_id",
         "h_product": "product_id",
@@ -563,6 +567,7 @@ def vault_uuid5_hubs(spark, sf) -> DataFrame:
         "h_restaurant": "restaurant_id",
         "h_order": "order_id",
     }
+    v = _order_vault(spark, sf, keys)
     return r.union_all(
         [
             v[name].select(
@@ -574,13 +579,13 @@ def vault_uuid5_hubs(spark, sf) -> DataFrame:
 
 
 def vault_uuid5_links(spark, sf) -> DataFrame:
-    v = _order_vault(spark, sf)
     parents = {
         "l_order_product": ("h_order_pk", "h_product_pk"),
         "l_product_restaurant": ("h_product_pk", "h_restaurant_pk"),
         "l_product_category": ("h_product_pk", "h_category_pk"),
         "l_order_user": ("h_order_pk", "h_user_pk"),
     }
+    v = _order_vault(spark, sf, parents)
     return r.union_all(
         [
             v[name].select(
@@ -596,7 +601,6 @@ def vault_uuid5_links(spark, sf) -> DataFrame:
 
 
 def vault_uuid5_satellites(spark, sf) -> DataFrame:
-    v = _order_vault(spark, sf)
     columns = {
         "s_user_names": ("h_user_pk", ["username", "userlogin"]),
         "s_product_names": ("h_product_pk", ["name"]),
@@ -604,6 +608,7 @@ def vault_uuid5_satellites(spark, sf) -> DataFrame:
         "s_order_cost": ("h_order_pk", ["cost", "payment"]),
         "s_order_status": ("h_order_pk", ["status"]),
     }
+    v = _order_vault(spark, sf, columns)
     return r.union_all(
         [
             v[name].select(
@@ -695,8 +700,9 @@ def oldest_orders(spark, sf) -> DataFrame:
     return top.select(big("order_id"), text("order_ts"), num("cost"))
 
 
-def customers_without_orders(spark, sf) -> DataFrame:
-    placed = r.orders(spark, sf).select(F.col("user_id").alias("id"))
+def customers_without_closed_orders(spark, sf) -> DataFrame:
+    closed = r.orders(spark, sf).filter(F.col("status") == "F")
+    placed = closed.select(F.col("user_id").alias("id"))
     idle, _ = missing_from(r.users(spark, sf), placed, "id")
     return idle.select(big("id"), "name")
 
@@ -736,7 +742,7 @@ def quality_report(spark, sf) -> DataFrame:
     )
     month, entities = _ledger(spark, sf)
     month = staged(month, "ledger")
-    vault = _community(spark, sf)
+    vault = _community(spark, sf, "h_users", "h_dialogs", "h_groups", "l_admins", "s_user_socdem")
     tables = {
         "rfm": scores,
         "users": r.users(spark, sf),
@@ -968,7 +974,7 @@ QUERIES: dict[str, Query] = {
         group_statistics,
         duplicate_lines,
         oldest_orders,
-        customers_without_orders,
+        customers_without_closed_orders,
         constraint_report,
         order_keys,
         quality_report,

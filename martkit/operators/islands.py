@@ -12,14 +12,14 @@ def islands(df: DataFrame, key, order, value: str, slice_by: Column | None = Non
 
     ``order`` is total and starts with the time column. Islands are numbered
     from 0, so the last number is the count of changes. The rows of a key are
-    cut into time slices (days by default) that are scanned separately, so a
+    cut into time slices (hours by default) that are scanned separately, so a
     key holding a large share of the table is spread over many tasks; what is
     left per key is one row per slice, which is stitched together.
     """
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
     time = order[0]
-    slice_by = F.to_date(time) if slice_by is None else slice_by
+    slice_by = F.date_trunc("hour", time) if slice_by is None else slice_by
     rows = df.select(*key, *order, F.col(value).alias("_value"), slice_by.alias("_slice"))
 
     in_slice = W.partitionBy(*key, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])

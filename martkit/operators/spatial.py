@@ -175,7 +175,7 @@ def near_members(members: DataFrame, group: str, km: float, rows_per_task: int =
     """
     placed = _with_vector(members.dropna(subset=[group, "user_id", "lat", "lon"]), "lat", "lon", "p")
     # Half a hundredth more than km, since distances are rounded.
-    celled = _with_cell(placed, "p", chord_of_km(km + 0.005)).drop("px", "py", "pz")
+    celled = staged(_with_cell(placed, "p", chord_of_km(km + 0.005)).drop("px", "py", "pz"), "celled")
     cell = [group, "_cx", "_cy", "_cz"]
     crowded = (
         celled.groupBy(*cell)

@@ -20,30 +20,47 @@ def load_community_vault(
     load_ts: Column,
     existing: dict[str, DataFrame] | None = None,
     algorithm: str = "xxhash64",
+    tables=None,
+    save=None,
 ) -> dict[str, DataFrame]:
     """Three hubs, four links, seven satellites after loading the staging
-    tables users, groups, dialogs and group_log."""
+    tables users, groups, dialogs and group_log.
+
+    ``tables`` names those wanted, their parents are added. ``save(df, name)``
+    stores a table that others refer to and returns the stored one.
+    """
     old = existing or {}
+    wanted = _with_parents(_PARENTS if tables is None else tables)
     key_of = partial(hash_key, algorithm=algorithm)
     users, groups = staging["users"], staging["groups"]
     dialogs, log = staging["dialogs"], staging["group_log"]
     vault: dict[str, DataFrame] = {}
 
+    def keep(name, fresh):
+        table = merged(old.get(name), fresh)
+        vault[name] = save(table, name) if save and name in _REFERRED else table
+
     def hub(name, rows, key, source_key, hk, attrs):
+        if name not in wanted:
+            return
         rows = rows.withColumnRenamed(source_key, key) if source_key != key else rows
         fresh = load_hub(old.get(name), rows, key, hk, attrs, SOURCE, load_ts, key_of=key_of)
-        vault[name] = merged(old.get(name), fresh)
+        keep(name, fresh)
 
     def link(name, rows, hk, parents):
+        if name not in wanted:
+            return
         hubs = {p: vault[_HUB_OF[p]] for p in parents}
         fresh = load_link(old.get(name), rows, hk, parents, SOURCE, load_ts, hubs=hubs, key_of=key_of)
-        vault[name] = merged(old.get(name), fresh)
+        keep(name, fresh)
 
     def satellite(name, rows, hk, attrs, parent=None, **how):
+        if name not in wanted:
+            return
         fresh = load_satellite(
             old.get(name), rows, hk, attrs, SOURCE, load_ts, parent=vault[parent] if parent else None, **how
         )
-        vault[name] = merged(old.get(name), fresh)
+        keep(name, fresh)
 
     hub("h_users", users, "user_id", "id", "hk_user_id", ["registration_dt"])
     hub("h_dialogs", dialogs, "message_id", "message_id", "hk_message_id", ["message_ts"])
@@ -62,11 +79,12 @@ def load_community_vault(
     activity = {"hk_group_id": "group_id", "hk_user_id": "user_id"}
     link("l_user_group_activity", log, "hk_l_user_group_activity", activity)
 
-    admins = vault["l_admins"].join(
-        vault["h_groups"].select("hk_group_id", F.col("registration_dt").alias("admin_from")), "hk_group_id", "left"
-    )
-    admins = admins.select(F.col("hk_l_admin_id").alias("hk_admin_id"), F.lit(True).alias("is_admin"), "admin_from")
-    satellite("s_admins", admins, "hk_admin_id", ["is_admin", "admin_from"])
+    if "s_admins" in wanted:
+        since = vault["h_groups"].select("hk_group_id", F.col("registration_dt").alias("admin_from"))
+        admins = vault["l_admins"].join(since, "hk_group_id", "left").select(
+            F.col("hk_l_admin_id").alias("hk_admin_id"), F.lit(True).alias("is_admin"), "admin_from"
+        )
+        satellite("s_admins", admins, "hk_admin_id", ["is_admin", "admin_from"])
     named = groups.withColumn("hk_group_id", key_of("id"))
     satellite("s_group_name", named, "hk_group_id", ["group_name"], "h_groups")
     satellite("s_group_private_status", named, "hk_group_id", ["is_private"], "h_groups")
@@ -93,6 +111,35 @@ def load_community_vault(
 
 
 _HUB_OF = {"hk_user_id": "h_users", "hk_message_id": "h_dialogs", "hk_group_id": "h_groups"}
+_PARENTS = {
+    "h_users": [],
+    "h_dialogs": [],
+    "h_groups": [],
+    "l_admins": ["h_users", "h_groups"],
+    "l_groups_dialogs": ["h_groups", "h_dialogs"],
+    "l_user_message": ["h_users", "h_dialogs"],
+    "l_user_group_activity": ["h_groups", "h_users"],
+    "s_admins": ["l_admins", "h_groups"],
+    "s_group_name": ["h_groups"],
+    "s_group_private_status": ["h_groups"],
+    "s_dialog_info": ["h_dialogs"],
+    "s_user_socdem": ["h_users"],
+    "s_user_chatinfo": ["h_users"],
+    "s_auth_history": ["l_user_group_activity"],
+}
+_REFERRED = {parent for parents in _PARENTS.values() for parent in parents}
+# Tables the conversion mart reads.
+CONVERSION_TABLES = ("h_groups", "l_user_group_activity", "l_groups_dialogs", "l_user_message", "s_auth_history")
+
+
+def _with_parents(names) -> set[str]:
+    found, todo = set(), list(names)
+    while todo:
+        name = todo.pop()
+        if name not in found:
+            found.add(name)
+            todo.extend(_PARENTS[name])
+    return found
 
 
 def group_conversion(vault: dict[str, DataFrame], n: int = 10, event: str = "add") -> DataFrame:

@@ -15,11 +15,13 @@ WEEK_LABEL = "Неделя с {} по {}"  # Fixed value: period name of the wee
 
 def load_dimension(existing: DataFrame, staging: DataFrame, key: str, attrs: list[str], order_by) -> DataFrame:
     """Rows to append: keys the dimension does not have, with their latest
-    attributes (M-13). A renamed entry gives one row."""
+    attributes (M-13). A renamed entry gives one row, and staging is reduced to
+    one row per key before it is compared."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     wanted = list(dict.fromkeys([key, *attrs, *order]))
-    fresh, _ = missing_from(staging.select(*wanted), existing, key)
-    return latest(fresh, key, order).select(key, *attrs)
+    known = latest(staging.select(*wanted), key, order).select(key, *attrs)
+    fresh, _ = missing_from(known, existing, key)
+    return fresh.select(key, *attrs)
 
 
 def sales_fact(staging: DataFrame, calendar: DataFrame, ds: str | None = None) -> DataFrame:

@@ -42,15 +42,16 @@ def zone_stats(events: DataFrame, cities: DataFrame, keep_unplaced: bool = False
     current = presence.groupBy("user_id").agg(F.max_by("zone_id", "last_at").alias("zone_id"))
     reactions = _counted(events_of(events, "reaction"), "reaction_from", current, keep_unplaced)
     subscriptions = _counted(events_of(events, "subscription"), "user", current, keep_unplaced)
-    return outer_metrics(
+    cells = outer_metrics(
         [
-            _totals(presence, "message"),
-            _totals(registered, "user"),
-            _totals(reactions, "reaction"),
-            _totals(subscriptions, "subscription"),
+            _cells(presence, "message"),
+            _cells(registered, "user"),
+            _cells(reactions, "reaction"),
+            _cells(subscriptions, "subscription"),
         ],
         _GRAIN,
     )
+    return _with_totals(staged(cells, "zone-cells"))
 
 
 def _counted(events: DataFrame, user: str, current: DataFrame, keep_unplaced: bool) -> DataFrame:
@@ -64,20 +65,26 @@ def _counted(events: DataFrame, user: str, current: DataFrame, keep_unplaced: bo
     return per_user.join(current, "user_id", "left" if keep_unplaced else "inner")
 
 
-def _totals(rows: DataFrame, name: str) -> DataFrame:
-    """Counts per (week, zone) and (month, zone) on the (month, week, zone) grain."""
-    cells = rows.groupBy(*_GRAIN).agg(F.sum("n").alias("n"))
-    weekly = cells.groupBy(F.col("week").alias("_week"), F.col("zone_id").alias("_wz")).agg(
-        F.sum("n").alias(f"week_{name}")
-    )
-    monthly = cells.groupBy(F.col("month").alias("_month"), F.col("zone_id").alias("_mz")).agg(
-        F.sum("n").alias(f"month_{name}")
-    )
-    in_week = (F.col("week") == F.col("_week")) & F.col("zone_id").eqNullSafe(F.col("_wz"))
-    in_month = (F.col("month") == F.col("_month")) & F.col("zone_id").eqNullSafe(F.col("_mz"))
-    return (
-        cells.select(*_GRAIN)
-        .join(weekly, in_week)
-        .join(monthly, in_month)
-        .select(*_GRAIN, f"week_{name}", f"month_{name}")
-    )
+def _cells(rows: DataFrame, metric: str) -> DataFrame:
+    return rows.groupBy(*_GRAIN).agg(F.sum("n").alias(metric))
+
+
+def _with_totals(cells: DataFrame) -> DataFrame:
+    """Totals per (week, zone) and (month, zone) beside each (month, week, zone),
+    shown where the metric has a count in that cell."""
+    metrics = [c for c in cells.columns if c not in _GRAIN]
+
+    def totals(period: str) -> DataFrame:
+        return cells.groupBy(F.col(period).alias(f"_{period}"), F.col("zone_id").alias(f"_{period}_zone")).agg(
+            *[F.sum(m).alias(f"_{period}_{m}") for m in metrics]
+        )
+
+    def same(period: str):
+        return (F.col(period) == F.col(f"_{period}")) & F.col("zone_id").eqNullSafe(F.col(f"_{period}_zone"))
+
+    shown = [
+        F.when(F.col(m).isNotNull(), F.col(f"_{period}_{m}")).alias(f"{period}_{m}")
+        for m in metrics
+        for period in ("week", "month")
+    ]
+    return cells.join(totals("week"), same("week")).join(totals("month"), same("month")).select(*_GRAIN, *shown)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -31,6 +30,9 @@ def build_session(app: str = "martkit", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -42,14 +44,26 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-    folder = os.path.join(tempfile.mkdtemp(prefix="martkit-"), "shared")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="martkit-")
+    return _local_dirs[app]
+
+
+def work_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared folder."""
+    return f"{shared_dir(spark)}/martkit-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/martkit/{name}-{uuid.uuid4().hex}"
+    """A path in the application's folder that nothing else uses."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables, at the end of a job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
