@@ -279,7 +279,6 @@ def order_messages(spark, sf) -> DataFrame:
         table(spark, sf, "lineitem")
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select("*", restaurant_of().alias("restaurant"))
-        .withColumn("object_id", F.concat_ws("/", F.col("l_orderkey").cast("string"), "restaurant"))
     )
     item = F.struct(
         F.col("l_partkey").cast("string").alias("id"),
@@ -289,7 +288,7 @@ def order_messages(spark, sf) -> DataFrame:
         "l_suppkey",
         "l_shipdate",
     )
-    grouped = lines.groupBy("object_id", "l_orderkey", "restaurant").agg(
+    grouped = lines.groupBy("l_orderkey", "restaurant").agg(
         F.array_sort(F.collect_list(item)).alias("items"),
         F.sum(money("l_extendedprice")).cast("decimal(14,2)").alias("cost"),
     )
@@ -309,7 +308,7 @@ def order_messages(spark, sf) -> DataFrame:
         items.alias("order_items"),
     )
     return grouped.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "object_id",
+        F.concat_ws("/", F.col("l_orderkey").cast("string"), "restaurant").alias("object_id"),
         F.lit("order").alias("object_type"),
         F.col("o_orderdate").cast("string").alias("sent_dttm"),
         payload.alias("payload"),

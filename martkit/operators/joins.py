@@ -42,49 +42,42 @@ def outer_metrics(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return stacked.groupBy(*keys).agg(*[F.max(m).alias(m) for m in metrics])
 
 
-def explode_menu(restaurants: DataFrame) -> DataFrame:
-    """Restaurant documents to one row per menu item; the first entry of an
-    item id wins."""
-    items = restaurants.select(
-        F.col("id").alias("restaurant_id"), F.posexplode("menu").alias("_pos", "_item")
+def resolve_items(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Orders with ``restaurant_name`` and with name and category of each line
+    from the restaurant's menu (JN-21).
+
+    The menu document is joined once per order and searched in place, so lines
+    are neither exploded nor gathered again. The first menu entry of an item
+    id counts. ``unresolved`` is the number of lines not on the menu.
+    """
+    ids = F.transform("menu", lambda m: m["_id"])
+    known = F.filter(
+        "menu", lambda m, i: m["_id"].isNotNull() & (F.array_position(ids, m["_id"]) == (i + 1))
     )
-    return (
-        items.groupBy("restaurant_id", F.col("_item._id").alias("item_id"))
-        .agg(F.min_by("_item", "_pos").alias("_item"))
-        .select(
-            "restaurant_id",
-            "item_id",
-            F.col("_item.name").alias("name"),
-            F.col("_item.category").alias("category"),
-        )
+    entries = F.transform(
+        known, lambda m: F.struct(m["_id"], F.struct(m["name"].alias("name"), m["category"].alias("category")))
+    )
+    menus = restaurants.select(
+        F.col("id").alias("restaurant_id"),
+        F.col("name").alias("restaurant_name"),
+        F.map_from_entries(entries).alias("_menu"),
     )
 
+    def named(line: Column) -> Column:
+        entry = F.try_element_at("_menu", line["id"])
+        return F.struct(
+            line["id"].alias("id"),
+            line["price"].alias("price"),
+            line["quantity"].alias("quantity"),
+            entry["name"].alias("name"),
+            entry["category"].alias("category"),
+        )
 
-def resolve_items(orders: DataFrame, menu: DataFrame, order_key: str = "object_id") -> DataFrame:
-    """Order lines with name and category from the restaurant's menu (JN-21).
-
-    Lines keep their place in the array. ``unresolved`` counts the lines whose
-    item is not on the menu.
-    """
-    rest = [c for c in orders.columns if c not in (order_key, "order_items")]
-    lines = orders.select(
-        order_key, *rest, F.posexplode_outer("order_items").alias("_pos", "_line")
-    ).withColumn("item_id", F.col("_line.id"))
-    named = lines.join(menu, ["restaurant_id", "item_id"], "left")
-    entry = F.struct(
-        F.col("_pos").alias("pos"),
-        F.col("item_id").alias("id"),
-        F.col("_line.price").alias("price"),
-        F.col("_line.quantity").alias("quantity"),
-        F.col("name").alias("name"),
-        F.col("category").alias("category"),
-    )
-    bag = F.collect_list(F.when(F.col("_pos").isNotNull(), entry))
-    unresolved = F.count_if(F.col("_pos").isNotNull() & F.col("name").isNull())
-    grouped = named.groupBy(order_key).agg(
-        F.any_value(F.struct(*rest)).alias("_rest"),
-        F.array_sort(bag).alias("_items"),
-        unresolved.alias("unresolved"),
+    products = F.transform("order_items", named)
+    lost = F.size(F.filter("products", lambda p: p["name"].isNull()))
+    return (
+        orders.join(menus, "restaurant_id", "left")
+        .withColumn("products", products)
+        .withColumn("unresolved", F.when(F.col("products").isNull(), 0).otherwise(lost))
+        .drop("_menu", "order_items")
     )
-    products = F.transform("_items", lambda x: x.dropFields("pos"))
-    return grouped.select(order_key, "_rest.*", products.alias("products"), "unresolved")

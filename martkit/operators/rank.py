@@ -10,6 +10,7 @@ adds the size of the preceding ranges.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -74,7 +75,7 @@ def rows_at(
     table. Only the sought rows reach the driver.
     """
     if total <= plain_rows:
-        return _rows_at_small(df, wanted)
+        return _rows_at_small({name: (df, keys, ranks) for name, (keys, ranks) in wanted.items()})
     sample = staged(df.sample(min(1.0, sample_rows / total), seed=7), "sample")
     size = sample.count()
     found: dict = {name: {} for name in wanted}
@@ -83,37 +84,46 @@ def rows_at(
     while open_ranks:
         brackets = _brackets(df, sample, size, total, wanted, open_ranks, slack)
         counts = _count_brackets(df, wanted, brackets)
+        small = {}
         for (name, rank), (low, high) in brackets.items():
             below, inside = counts[(name, rank)]
             if not below <= rank < below + inside:
                 continue
+            open_ranks.discard((name, rank))
             keys = wanted[name][0]
             part = df.filter(_within(keys, low, high))
-            hit = rows_at(part, inside, {name: (keys, [rank - below])}, plain_rows, sample_rows)
-            found[name][rank] = hit[name][rank - below]
-            open_ranks.discard((name, rank))
+            if inside <= plain_rows:
+                small[(name, rank)] = (part, keys, [rank - below])
+            else:
+                hit = rows_at(part, inside, {name: (keys, [rank - below])}, plain_rows, sample_rows)
+                found[name][rank] = hit[name][rank - below]
+        for (name, rank), hit in _rows_at_small(small).items():
+            found[name][rank] = hit[small[(name, rank)][2][0]]
         slack *= 8
     return found
 
 
-def _rows_at_small(df: DataFrame, wanted: dict) -> dict:
+def _rows_at_small(wanted: dict) -> dict:
+    """The same for tables known to be small, ``{name: (df, keys, ranks)}``, in
+    one job."""
     found: dict = {name: {} for name in wanted}
     parts = []
-    for name, (keys, ranks) in wanted.items():
+    for i, (df, keys, ranks) in enumerate(wanted.values()):
         numbered = df.select(
             *as_text(keys), (F.row_number().over(W.orderBy(*sorts(keys))) - 1).alias("_rank")
         )
         bound = F.array(*[f"_b{i}" for i in range(len(keys))]).alias("_bound")
         parts.append(
             numbered.filter(F.col("_rank").isin([int(r) for r in ranks])).select(
-                F.lit(name).alias("_name"), "_rank", bound
+                F.lit(i).alias("_part"), "_rank", bound
             )
         )
-    rows = parts[0]
-    for other in parts[1:]:
-        rows = rows.unionByName(other)
+    if not parts:
+        return found
+    names = list(wanted)
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
     for row in rows.collect():  # one row per sought rank
-        found[row["_name"]][row["_rank"]] = list(row["_bound"])
+        found[names[row["_part"]]][row["_rank"]] = list(row["_bound"])
     return found
 
 
@@ -132,8 +142,8 @@ def _brackets(df, sample, size, total, wanted, open_ranks, slack) -> dict:
             p for (n, _), pair in positions.items() if n == name for p in pair if 0 <= p < size
         }
         if ranks:
-            sought[name] = (keys, sorted(ranks))
-    rows = _rows_at_small(sample, sought) if sought else {}
+            sought[name] = (sample, keys, sorted(ranks))
+    rows = _rows_at_small(sought)
     brackets = {}
     for (name, rank), (low, high) in positions.items():
         keys = wanted[name][0]
