@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from martkit.functions.jsons import CORRUPT
 from martkit.functions.temporal import ntz
+from martkit.session import staged
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -30,7 +31,11 @@ def read_increment_csv(
 
 
 def load_csv_full(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Header-less CSV as (rows, rejected lines) (SRC-5, SRC-7)."""
+    """Header-less CSV as (rows, rejected lines) (SRC-5, SRC-7).
+
+    The text is parsed once, with all columns, into the shared folder: whether
+    a line is readable must not depend on the columns a query selects.
+    """
     return _split(_csv(spark, path, schema).option("header", False).csv(path))
 
 
@@ -47,6 +52,7 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType):
 
 
 def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    df = staged(df, "csv")
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
