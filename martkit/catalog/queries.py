@@ -28,9 +28,9 @@ from martkit.plans.geo_dims import cities
 from martkit.plans.geo_dims import zones as zone_table
 from martkit.quality import checks as dq
 from martkit.quality.expectations import Expectations, split_violations
-from martkit.session import new_path, staged
+from martkit.session import new_path, scratch, staged
 from martkit.sinks.files import SnapshotTable, append_batch, replace_partition
-from martkit.sinks.merge import BucketedTable, CounterTable, accumulate, insert_missing
+from martkit.sinks.merge import BucketedTable, CounterTable, KeyedTable, insert_missing
 from martkit.sources.streams import decode_json
 from martkit.streaming import campaigns, runner
 from martkit.streaming import orders as order_stream
@@ -861,18 +861,15 @@ def _run_order_streams(spark, sf) -> dict:
     """Three chained streams: raw and enriched orders, vault, counters."""
     root = new_path(spark, "orders")
     events = r.table(spark, sf, "events")
-    raw = BucketedTable(spark, f"{root}/raw", "object_id", ["sent_dttm", "payload"], buckets=8)
+    raw = KeyedTable(spark, f"{root}/raw", "object_id", ["sent_dttm", "payload"])
     keep, enrich = order_stream.raw_sink(raw), order_stream.enrich_sink(
         r.event_users(events), r.event_restaurants(events), order_stream.message_files(f"{root}/stg"), f"{root}/rejected"
     )
 
     def staging(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            keep(batch, batch_id)
-            enrich(batch, batch_id)
-        finally:
-            batch.unpersist()
+        with scratch(batch, "micro-batch") as rows:
+            keep(rows, batch_id)
+            enrich(rows, batch_id)
 
     _run(r.event_orders(_event_stream(spark, sf)), staging, spark, "stg")
 

@@ -109,15 +109,16 @@ def _single(tables: dict[str, DataFrame], check: Check) -> DataFrame:
 
 
 def _orphans(df: DataFrame, tables: dict[str, DataFrame], targets) -> DataFrame:
-    """Rows with at least one missing parent; such a row counts once."""
-    rows = df.select(*dict.fromkeys(c for c, _ in targets))
+    """Rows with at least one missing parent; such a row counts once. Rows are
+    counted per key before the parents are joined."""
+    rows = df.groupBy(*dict.fromkeys(c for c, _ in targets)).agg(F.count("*").alias("_rows"))
     lost = []
     for i, (column, parent) in enumerate(targets):
         seen = tables[parent].select(column).filter(F.col(column).isNotNull()).distinct()
         seen = seen.withColumn(f"_seen{i}", F.lit(True))
         rows = rows.join(seen, column, "left")
         lost.append(F.col(column).isNotNull() & F.col(f"_seen{i}").isNull())
-    return rows.agg(F.count_if(_any(lost)).alias("measured_value"))
+    return rows.agg(F.coalesce(F.sum(F.when(_any(lost), F.col("_rows"))), F.lit(0)).alias("measured_value"))
 
 
 def _any(tests: list[Column]) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,7 +65,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the application's intermediate tables, at the end of a job."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    _delete(spark, work_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -73,6 +79,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage durably: a lost executor re-reads files instead of
     recomputing the job, and several passes see exactly the same rows.
     """
+    return _written(df, new_path(df.sparkSession, name))
+
+
+@contextmanager
+def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``staged`` for the length of a block, deleted afterwards."""
     path = new_path(df.sparkSession, name)
+    try:
+        yield _written(df, path)
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -56,10 +56,11 @@ def write_layout(
     """Write with a physical layout (SNK-11).
 
     With buckets the target is a table name, and later joins on the bucket
-    columns need no shuffle. Without, it is a path.
+    columns need no shuffle. Without, it is a path. Rows are gathered by the
+    layout's columns first, so tasks do not each write a file per bucket.
     """
     if bucket_by:
-        writer = df.write.mode(mode).format("parquet")
+        writer = df.hint("rebalance", *[F.col(c) for c in bucket_by]).write.mode(mode).format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer = writer.bucketBy(buckets, *bucket_by)

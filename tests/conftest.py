@@ -18,6 +18,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": f"{folder}/warehouse",
         },
     )
