@@ -663,7 +663,7 @@ def quintiles(spark, sf) -> DataFrame:
 
 
 def event_runs(spark, sf) -> DataFrame:
-    runs = islands(r.table(spark, sf, "events"), "user_id", ["ts", "event_id"], "event_type")
+    runs = islands(r.table(spark, sf, "events"), "user_id", ["ts", "event_id"], "event_type", stage_runs=True)
     return runs.select(
         big("user_id"), big("island"), "event_type", text("first_at"), text("last_at"), big("n")
     )

@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from martkit.session import staged
 
-def islands(df: DataFrame, key, order, value: str, slice_by: Column | None = None) -> DataFrame:
+
+def islands(
+    df: DataFrame, key, order, value: str, slice_by: Column | None = None, stage_runs: bool = False
+) -> DataFrame:
     """Runs of equal ``value`` per key: key, island, value, first_at, last_at, n.
 
     ``order`` is total and starts with the time column. Islands are numbered
@@ -15,6 +19,10 @@ def islands(df: DataFrame, key, order, value: str, slice_by: Column | None = Non
     cut into time slices (hours by default) that are scanned separately, so a
     key holding a large share of the table is spread over many tasks; what is
     left per key is one row per slice, which is stitched together.
+
+    The runs within slices are read twice, for the stitching and for the
+    result. ``stage_runs`` writes them down in between, which saves a second
+    sort of a large table.
     """
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
@@ -31,6 +39,9 @@ def islands(df: DataFrame, key, order, value: str, slice_by: Column | None = Non
         .agg(F.min(time).alias("_first"), F.max(time).alias("_last"), F.count("*").alias("_n"))
     )
 
+    if stage_runs:
+        runs = staged(runs, "runs")
+
     edges = runs.groupBy(*key, "_slice").agg(
         F.min_by("_value", "_local").alias("_value"),
         F.max_by("_value", "_local").alias("_tail"),

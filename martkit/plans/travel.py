@@ -46,7 +46,7 @@ def user_travel(
     stays in order of arrival.
     """
     placed = nearest_city(events, cities).filter(F.col("user_id").isNotNull())
-    stays = islands(placed, "user_id", ["message_ts", "message_id"], "city")
+    stays = islands(placed, "user_id", ["message_ts", "message_id"], "city", stage_runs=True)
     long = F.datediff("last_at", "first_at") >= home_days
     per_user = stays.groupBy("user_id").agg(
         F.max_by(F.struct("city", "last_at", long.alias("long")), "island").alias("_now"),
