@@ -44,19 +44,15 @@ def big(c: str) -> str:
 # --- segmentation -----------------------------------------------------------
 
 RFM = f"""
+done AS (
+  SELECT o_custkey, max(o_orderdate) AS last_ts, count(*) AS cnt, sum({dec('o_totalprice')}) AS spend
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY 1),
 base AS (
-  SELECT c.c_custkey AS user_id,
-         max(CASE WHEN o.o_orderstatus = 'F' THEN o.o_orderdate END) AS last_ts,
-         count(CASE WHEN o.o_orderstatus = 'F' THEN o.o_orderkey END) AS cnt,
-         coalesce(sum(CASE WHEN o.o_orderstatus = 'F' THEN {dec('o.o_totalprice')} END), 0) AS spend
-  FROM customer c LEFT JOIN orders o
-    ON c.c_custkey = o.o_custkey AND o.o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
-  GROUP BY c.c_custkey),
+  SELECT c_custkey AS user_id, last_ts, coalesce(cnt, 0) AS cnt, coalesce(spend, 0) AS spend
+  FROM customer LEFT JOIN done ON c_custkey = o_custkey),
 scores AS (
-  SELECT user_id,
-         ntile(5) OVER (ORDER BY last_ts ASC NULLS FIRST, user_id) AS recency,
-         ntile(5) OVER (ORDER BY cnt, user_id) AS frequency,
-         ntile(5) OVER (ORDER BY spend, user_id) AS monetary_value
+  SELECT user_id, ntile(5) OVER (ORDER BY last_ts NULLS FIRST, user_id) AS recency,
+         ntile(5) OVER (ORDER BY cnt, user_id) AS frequency, ntile(5) OVER (ORDER BY spend, user_id) AS monetary_value
   FROM base)"""
 
 LATEST_STATUS = """
@@ -71,6 +67,7 @@ FROM orders o JOIN (
 
 # --- shipping ---------------------------------------------------------------
 
+LOG_ORDER = "state_datetime DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC"
 LOG = f"""
 log AS (
   SELECT l_orderkey AS shippingid, {big('c_nationkey')} AS vendorid, {dec('o_totalprice')} AS payment_amount,
@@ -102,27 +99,21 @@ info AS (
   SELECT DISTINCT shippingid, plan, payment_amount, vendorid, shipping_country_id, transfer_type_id, agreementid
   FROM log LEFT JOIN countries USING (country, base_rate)
        LEFT JOIN transfers USING (transfer_type, transfer_model, transfer_rate)),
-ranked AS (
-  SELECT shippingid, status, state, row_number() OVER (PARTITION BY shippingid
-         ORDER BY state_datetime DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
-  FROM log),
-milestones AS (
-  SELECT shippingid, min(state_datetime) FILTER (WHERE state = 'booked') AS start_at,
-         max(state_datetime) FILTER (WHERE state = 'recieved') AS end_at
-  FROM log GROUP BY shippingid),
 status AS (
-  SELECT shippingid, status, state, start_at, end_at
-  FROM ranked JOIN milestones USING (shippingid) WHERE rn = 1),
+  SELECT shippingid, first(status ORDER BY {LOG_ORDER}) AS status, first(state ORDER BY {LOG_ORDER}) AS state,
+         min(CASE state WHEN 'booked' THEN state_datetime END) AS start_at,
+         max(CASE state WHEN 'recieved' THEN state_datetime END) AS end_at
+  FROM log GROUP BY shippingid),
+late AS (SELECT *, greatest(end_at - plan, INTERVAL 0 DAY) AS delay FROM info JOIN status USING (shippingid)),
 mart AS (
-  SELECT i.shippingid, vendorid, transfer_type, date_part('day', end_at - start_at) AS full_day_at_shipping,
-         CASE WHEN end_at > plan THEN 1 ELSE 0 END AS is_delay,
-         CASE WHEN status = 'finished' THEN 1 ELSE 0 END AS is_shipping_finish,
-         CASE WHEN end_at > plan THEN date_part('day', end_at - plan) ELSE 0 END AS delay_day_at_shipping,
-         payment_amount,
-         payment_amount * (base_rate + agreement_rate + transfer_rate) AS vat,
-         payment_amount * agreement_commission AS profit
-  FROM info i LEFT JOIN transfers USING (transfer_type_id) LEFT JOIN status s ON i.shippingid = s.shippingid
-       LEFT JOIN countries USING (shipping_country_id) LEFT JOIN agreements USING (agreementid))"""
+  SELECT shippingid, vendorid, transfer_type, datepart('day', end_at - start_at) AS full_day_at_shipping,
+         (coalesce(delay, INTERVAL 0 DAY) > INTERVAL 0 DAY)::INT AS is_delay,
+         (status = 'finished')::INT AS is_shipping_finish,
+         datepart('day', coalesce(delay, INTERVAL 0 DAY)) AS delay_day_at_shipping,
+         payment_amount, (base_rate + agreement_rate + transfer_rate) * payment_amount AS vat,
+         agreement_commission * payment_amount AS profit
+  FROM late JOIN transfers USING (transfer_type_id) JOIN countries USING (shipping_country_id)
+       JOIN agreements USING (agreementid))"""
 
 # --- sales star -------------------------------------------------------------
 
@@ -148,29 +139,18 @@ sales AS (
 
 def retention(new: str, returning: str) -> str:
     return f"""WITH {SALES},
-up AS (
-  SELECT *, count(customer_id) FILTER (WHERE status = 'shipped')
-              OVER (PARTITION BY customer_id, first_day_of_week) AS n
-  FROM sales JOIN cal USING (date_id)),
-refunded AS (
-  SELECT first_day_of_week, item_id, count(DISTINCT customer_id) AS refunded_customer_count
-  FROM up WHERE status = 'refunded' GROUP BY ALL),
-agg AS (
-  SELECT first_day_of_week, last_day_of_week, week_of_year, item_id,
-         {new} AS new_customers_count, {returning} AS returning_customers_count,
-         sum(CASE WHEN status = 'shipped' AND n = 1 THEN payment_amount END) AS new_customers_revenue,
-         sum(CASE WHEN status = 'shipped' AND n > 1 THEN payment_amount END) AS returning_customers_revenue,
-         sum(CASE WHEN status = 'refunded' THEN 1 ELSE 0 END) AS customers_refunded
-  FROM up GROUP BY ALL)
-SELECT {big('coalesce(new_customers_count, 0)')} AS new_customers_count,
-       {big('coalesce(returning_customers_count, 0)')} AS returning_customers_count,
-       {big('coalesce(refunded_customer_count, 0)')} AS refunded_customer_count,
-       'Неделя с ' || first_day_of_week || ' по ' || last_day_of_week AS period_name,
+weekly AS (SELECT * FROM sales JOIN cal USING (date_id)),
+shipped AS (
+  SELECT customer_id, first_day_of_week, count(*) AS n FROM weekly WHERE status = 'shipped' GROUP BY ALL),
+rows AS (SELECT w.*, coalesce(n, 0) AS n FROM weekly w LEFT JOIN shipped USING (customer_id, first_day_of_week))
+SELECT {big(f'coalesce({new}, 0)')} AS new_customers_count, {big(f'coalesce({returning}, 0)')} AS returning_customers_count,
+       count(DISTINCT customer_id) FILTER (status = 'refunded') AS refunded_customer_count,
+       format('Неделя с {{}} по {{}}', first_day_of_week, last_day_of_week) AS period_name,
        {big('week_of_year')} AS period_id, {big('item_id')} AS item_id,
-       {dbl('coalesce(new_customers_revenue, 0)')} AS new_customers_revenue,
-       {dbl('coalesce(returning_customers_revenue, 0)')} AS returning_customers_revenue,
-       {big('customers_refunded')} AS customers_refunded
-FROM agg LEFT JOIN refunded USING (first_day_of_week, item_id)"""
+       {dbl("coalesce(sum(payment_amount) FILTER (status = 'shipped' AND n = 1), 0)")} AS new_customers_revenue,
+       {dbl("coalesce(sum(payment_amount) FILTER (status = 'shipped' AND n > 1), 0)")} AS returning_customers_revenue,
+       count(*) FILTER (status = 'refunded') AS customers_refunded
+FROM rows GROUP BY first_day_of_week, last_day_of_week, week_of_year, item_id"""
 
 
 DIM_MISSING = f"""WITH {SALES},
@@ -209,22 +189,20 @@ deliveries AS (
   FROM orders JOIN firsts ON o_orderkey = l_orderkey)"""
 
 LEDGER = f"""{DELIVERIES},
+tiers(low, high, share, minimum) AS (
+  VALUES (0.0, 4.0, 0.05, 100.0), (4.0, 4.5, 0.07, 150.0), (4.5, 4.9, 0.08, 175.0), (4.9, 99.0, 0.10, 200.0)),
 rated AS (
-  SELECT *, 'c' || s_suppkey AS cid, s_name,
-         avg(rate) OVER (PARTITION BY courier_id, year(order_ts), month(order_ts)) AS rate_avg
-  FROM deliveries JOIN supplier ON courier_id = 'c' || s_suppkey),
+  SELECT courier_id, year(order_ts) AS y, month(order_ts) AS m, avg(rate) AS rate_avg FROM deliveries GROUP BY ALL),
 paid AS (
-  SELECT *, CASE WHEN rate_avg < 4.0::DOUBLE THEN greatest(order_sum * 0.05, 100.0)
-                 WHEN rate_avg < 4.5::DOUBLE THEN greatest(order_sum * 0.07, 150.0)
-                 WHEN rate_avg < 4.9::DOUBLE THEN greatest(order_sum * 0.08, 175.0)
-                 ELSE greatest(order_sum * 0.10, 200.0) END AS pay
-  FROM rated),
+  SELECT d.*, y, m, rate_avg, greatest(order_sum * share, minimum) AS pay
+  FROM deliveries d JOIN rated r ON d.courier_id = r.courier_id AND year(order_ts) = y AND month(order_ts) = m
+       JOIN tiers ON rate_avg >= low::DOUBLE AND rate_avg < high::DOUBLE),
 ledger AS (
-  SELECT courier_id, s_name AS courier_name, year(order_ts) AS settlement_year, month(order_ts) AS settlement_month,
-         count(*) AS orders_count, {dec('sum(order_sum)')} AS orders_total_sum, round(rate_avg, 5) AS rate_avg,
+  SELECT courier_id, s_name AS courier_name, y AS settlement_year, m AS settlement_month, count(*) AS orders_count,
+         {dec('sum(order_sum)')} AS orders_total_sum, round(any_value(rate_avg), 5) AS rate_avg,
          {dec('sum(order_sum) * 0.25')} AS order_processing_fee, {dec('sum(pay)')} AS courier_order_sum,
          {dec('sum(tip_sum)')} AS courier_tips_sum, {dec('sum(pay) + sum(tip_sum) * 0.95')} AS courier_reward_sum
-  FROM paid GROUP BY courier_id, s_name, year(order_ts), month(order_ts), rate_avg)"""
+  FROM paid JOIN supplier ON courier_id = 'c' || s_suppkey GROUP BY courier_id, s_name, y, m)"""
 
 # --- community vault --------------------------------------------------------
 
@@ -672,9 +650,9 @@ SELECT user_id, ntile(5) OVER (ORDER BY last_ts ASC NULLS FIRST, user_id) AS rec
     "dim_insert_missing": DIM_MISSING,
     "sales_fact_day": f"WITH {SALES} SELECT date_id, {big('item_id')} AS item_id, customer_id, {big('city_id')} AS city_id, "
     f"{big('quantity')} AS quantity, {dbl('payment_amount')} AS payment_amount, status FROM sales",
-    "customer_retention": retention("sum(CASE WHEN n = 1 THEN 1 END)", "sum(CASE WHEN n > 1 THEN 1 END)"),
+    "customer_retention": retention("count(*) FILTER (n = 1)", "count(*) FILTER (n > 1)"),
     "customer_retention_distinct": retention(
-        "count(DISTINCT CASE WHEN n = 1 THEN customer_id END)", "count(DISTINCT CASE WHEN n > 1 THEN customer_id END)"
+        "count(DISTINCT customer_id) FILTER (n = 1)", "count(DISTINCT customer_id) FILTER (n > 1)"
     ),
     "upsert_latest": LAST_EVENT,
     "insert_first": FIRST_EVENT,

@@ -1,9 +1,10 @@
+import uuid
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from martkit.functions.keys import ORDER_NAMESPACE  # noqa: F401
+from martkit.functions.keys import ORDER_NAMESPACE
 from martkit.operators.calendar import calendar
 from martkit.plans import counters, fx_metrics, ledger, orders, recommend, retention, rfm, shipping, travel, zones
 from martkit.plans.geo_dims import CITIES, CITY_ZONES, cities
@@ -282,12 +283,12 @@ def order_messages(spark):
 
 
 def reference(spark):
-    users = spark.createDataFrame([("user_01", "Ivanov Ivan"), ("user_02", "Petrov Petr"), ("user_03", "Sidorov Sidor")], "id string, name string")
+    users = spark.createDataFrame([("user_01", "Ann"), ("user_02", "Bob"), ("user_03", "Cy")], "id string, name string")
     menu = lambda *items: [tuple(i) for i in items]
     restaurants = spark.createDataFrame(
         [
-            ("rest_01", "Pizza Palace", menu(("prod_01", "Pepperoni Pizza", "Pizza"), ("prod_02", "Margarita Pizza", "Pizza"), ("prod_03", "Coca Cola", "Drinks"))),
-            ("rest_02", "Burger Joint", menu(("prod_04", "Cheeseburger", "Burgers"), ("prod_05", "French Fries", "Sides"), ("prod_06", "Milkshake", "Drinks"))),
+            ("rest_01", "P", menu(("prod_01", "one", "Pizza"), ("prod_02", "two", "Pizza"), ("prod_03", "three", "Drinks"))),
+            ("rest_02", "B", menu(("prod_04", "four", "Burgers"), ("prod_05", "five", "Sides"), ("prod_06", "six", "Drinks"))),
         ],
         "id string, name string, menu array<struct<_id: string, name: string, category: string>>",
     )
@@ -295,8 +296,6 @@ def reference(spark):
 
 
 def test_five_orders_to_counters(spark):
-    import uuid
-
     good, unknown = orders.enrich_orders(order_messages(spark), *reference(spark))
     assert good.count() == 5 and unknown.count() == 0
     lines = counters.product_rows(orders.build_product_message(good))
