@@ -39,6 +39,7 @@ from martkit.streaming import orders as order_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 SINCE = "1997-01-01"
+CAMPAIGN_NOW = 1705276800  # 2024-01-15 00:00:00 UTC
 
 
 def big(c, name: str | None = None) -> Column:
@@ -830,7 +831,7 @@ def stream_campaigns(spark, sf) -> DataFrame:
     """Campaign messages as JSON, active on a fixed day, to two targets."""
     messages = to_message(r.campaign_rows(_event_stream(spark, sf)))
     decoded = decode_json(messages, campaigns.CAMPAIGN)
-    now = F.unix_seconds(F.lit("2024-01-15 00:00:00").cast("timestamp_ntz").cast("timestamp"))
+    now = F.lit(CAMPAIGN_NOW)
     triggers = campaigns.campaign_triggers(decoded, r.subscribers(spark, sf), now)
     root = new_path(spark, "campaigns")
     feedback = lambda df, batch_id: append_batch(df, f"{root}/feedback", batch_id)

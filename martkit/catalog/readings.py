@@ -378,7 +378,9 @@ def rates(spark, sf) -> DataFrame:
 def campaign_rows(events: DataFrame) -> DataFrame:
     """Campaign messages: an event announces a campaign of its user, created at
     the full hour; repeated events of that hour repeat the message."""
-    hour = F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", epoch, F.col("ts"))
+    hour = seconds - seconds % 3600
     owner = F.col("user_id").cast("string")
     return events.select(
         F.concat(F.lit("rest_"), owner).alias("restaurant_id"),

@@ -62,5 +62,6 @@ def iso_weekday(ts) -> Column:
 
 
 def local_time(utc_ts: Column, zone: Column) -> Column:
-    """Wall-clock time of a UTC instant in ``zone``; null for a null zone."""
-    return F.from_utc_timestamp(utc_ts, zone).cast("timestamp_ntz")
+    """Wall-clock time of a UTC instant in ``zone``; null for a null zone. The
+    session's own time zone plays no part."""
+    return F.convert_timezone(F.lit("UTC"), zone, utc_ts.cast("timestamp_ntz"))

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -38,16 +39,29 @@ def sorts(keys: list[Key]) -> list[Column]:
     return [k.sort() for k in keys]
 
 
-def as_text(keys: list[Key]) -> list[Column]:
+def as_text(df: DataFrame, keys: list[Key]) -> list[Column]:
     """Key values as text, from which ``literals`` restores the same values."""
-    return [F.col(k.name).cast("string").alias(f"_b{i}") for i, k in enumerate(keys)]
+    texts = []
+    for i, key in enumerate(keys):
+        c, kind = F.col(key.name), df.schema[key.name].dataType
+        if isinstance(kind, T.TimestampType):
+            c = F.unix_micros(c)  # wall-clock text is ambiguous when clocks go back
+        elif isinstance(kind, T.BinaryType):
+            c = F.hex(c)
+        texts.append(c.cast("string").alias(f"_b{i}"))
+    return texts
 
 
 def literals(df: DataFrame, keys: list[Key], texts) -> list[Column | None]:
-    return [
-        None if text is None else F.lit(text).cast(df.schema[k.name].dataType)
-        for k, text in zip(keys, texts)
-    ]
+    return [None if t is None else _literal(t, df.schema[k.name].dataType) for k, t in zip(keys, texts)]
+
+
+def _literal(text: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(text)))
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(F.lit(text))
+    return F.lit(text).cast(kind)
 
 
 def at_or_after(keys: list[Key], bound: list[Column | None]) -> Column:

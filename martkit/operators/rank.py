@@ -110,7 +110,7 @@ def _rows_at_small(wanted: dict) -> dict:
     parts = []
     for i, (df, keys, ranks) in enumerate(wanted.values()):
         numbered = df.select(
-            *as_text(keys), (F.row_number().over(W.orderBy(*sorts(keys))) - 1).alias("_rank")
+            *as_text(df, keys), (F.row_number().over(W.orderBy(*sorts(keys))) - 1).alias("_rank")
         )
         bound = F.array(*[f"_b{i}" for i in range(len(keys))]).alias("_bound")
         parts.append(

@@ -46,6 +46,19 @@ def test_ntile_descending_nulls_last_and_text(spark, limits):
     assert got == expected_tiles([r["id"] for r in ranked], 4)
 
 
+def test_ntile_by_instants_doubles_and_bytes(spark):
+    df = spark.range(200).select(
+        "id",
+        F.timestamp_seconds(F.col("id") * 977 % 60 * 600).alias("at"),
+        F.when(F.col("id") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("id") / 7).alias("x"),
+        F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("raw"),
+    )
+    for name in ("at", "x", "raw"):
+        tiled = global_ntile(df, 3, [name, "id"], plain_rows=20, sample_rows=60)
+        ids = [r["id"] for r in df.orderBy(F.col(name).asc_nulls_first(), "id").collect()]
+        assert {r["id"]: r["tile"] for r in tiled.collect()} == expected_tiles(ids, 3)
+
+
 def test_sampled_search_with_all_rows_equal_but_the_tie(spark):
     df = spark.range(2000).select("id", F.lit(1).alias("v"))
     tiled = global_ntiles(df, 5, {"a": ["v", "id"]}, plain_rows=64, sample_rows=100)
