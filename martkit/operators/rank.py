@@ -74,7 +74,8 @@ def rows_at(
     and the search goes on inside the brackets, which are a small share of the
     table. Only the sought rows reach the driver.
     """
-    if total <= plain_rows:
+    sample_rows = max(sample_rows, 100)  # a smaller sample may not narrow the search
+    if total <= max(plain_rows, sample_rows):
         return _rows_at_small({name: (df, keys, ranks) for name, (keys, ranks) in wanted.items()})
     sample = staged(df.sample(min(1.0, sample_rows / total), seed=7), "sample")
     size = sample.count()
@@ -92,7 +93,7 @@ def rows_at(
             open_ranks.discard((name, rank))
             keys = wanted[name][0]
             part = df.filter(_within(keys, low, high))
-            if inside <= plain_rows:
+            if inside <= max(plain_rows, sample_rows):
                 small[(name, rank)] = (part, keys, [rank - below])
             else:
                 hit = rows_at(part, inside, {name: (keys, [rank - below])}, plain_rows, sample_rows)

@@ -47,7 +47,7 @@ def test_ntile_descending_nulls_last_and_text(spark, limits):
 
 
 def test_ntile_by_instants_doubles_and_bytes(spark):
-    df = spark.range(200).select(
+    df = spark.range(400).select(
         "id",
         F.timestamp_seconds(F.col("id") * 977 % 60 * 600).alias("at"),
         F.when(F.col("id") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("id") / 7).alias("x"),
