@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,19 @@ from pyspark.sql import functions as F
 from martkit.session import _delete, new_path
 
 
+#: The folder that holds this package.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def for_workers(spark: SparkSession) -> None:
+    """Lets the Python workers of a local session import this package, whatever
+    folder it was started in; a cluster gets it with the job."""
+    if spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

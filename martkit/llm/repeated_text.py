@@ -84,9 +84,9 @@ def anchors_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def phrases_of(raw: bytes, anchors: np.ndarray) -> list[int]:
-    """Symbols of the phrases from anchor to anchor, never 0."""
+    """Symbols of the phrases from anchor to anchor, all above 0."""
     at = anchors.tolist()
-    return [xxhash.xxh3_64_intdigest(raw[a : b + GRAM]) or 1 for a, b in zip(at, at[1:])]
+    return [xxhash.xxh3_64_intdigest(raw[a : b + GRAM]) >> 1 or 1 for a, b in zip(at, at[1:])]
 
 
 def families_of(n: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -108,7 +108,7 @@ def _parse(batches):
             if len(text) < LENGTH:
                 continue
             starts, anchors = anchors_of(text)
-            symbols = np.array(phrases_of(text, anchors), np.uint64).astype(np.int64)
+            symbols = np.array(phrases_of(text, anchors), np.int64)
             reach = np.searchsorted(anchors, anchors[:-1] + LENGTH) - np.arange(len(symbols))
             _, _, first, last = families_of(len(text), starts)
             rows.append((key, doc_id, len(text), int((last - first).max()), symbols, reach.astype(np.int32)))
@@ -213,7 +213,7 @@ def _merge_keys(batches):
 
 def suffix_ranks(strings: DataFrame, depth: int, staging: Staging) -> DataFrame:
     """(str, at, rank) for every suffix of ``strings`` (str long, s array<long>,
-    0 ends a suffix): 1 + the number of smaller suffixes, exact in the first
+    0 ends a suffix, symbols are above 0): 1 + the number of smaller suffixes, exact in the first
     ``depth`` symbols; suffixes equal in more may share a rank."""
     triples = staging.keep(strings.mapInArrow(_triples, "str long, at long, a long, b long, c long"), "triples")
     one = triples.withColumn("n", F.lit(1).cast("long"))
