@@ -1,54 +1,38 @@
 """Global ranking without a one-partition window (WN-1, KEY-1, SL-2).
 
 ``ntile().over(orderBy)`` sends the whole table to one task. A tile only needs
-the rows that start each tile, so ``global_ntiles`` looks up those few rows
-and then labels every row with comparisons: no shuffle of the table at all.
-A dense row number does need a sort; ``global_row_number`` sorts by range and
-adds the size of the preceding ranges.
+the rows that start each tile: ``global_ntiles`` sorts the keys alone by range,
+counts the ranges, takes the row at each sought position out of the range that
+holds it, and labels every row of the table with comparisons. That is one narrow
+shuffle per order, whatever the size, and none of the table.
+``global_row_number`` needs all positions: it sorts by range and adds the sizes
+of the preceding ranges.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.operators.ordering import Key, as_text, at_or_after, keys_of, literals, sorts
-from martkit.session import staged
+from martkit.operators.ordering import as_text, at_or_after, keys_of, literals, sorts
+from martkit.session import scratch, staged
 
-# Up to this many rows are ranked by a plain window; the size is counted first.
-PLAIN_WINDOW_ROWS = 500_000
-SAMPLE_ROWS = 50_000
 _POSITION_BITS = 33
 
 
-def global_ntile(df: DataFrame, n: int, order, out: str = "tile", **limits) -> DataFrame:
-    return global_ntiles(df, n, {out: order}, **limits)
+def global_ntile(df: DataFrame, n: int, order, out: str = "tile") -> DataFrame:
+    return global_ntiles(df, n, {out: order})
 
 
-def global_ntiles(
-    df: DataFrame,
-    n: int,
-    orders: dict,
-    plain_rows: int = PLAIN_WINDOW_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
-) -> DataFrame:
+def global_ntiles(df: DataFrame, n: int, orders: dict) -> DataFrame:
     """SQL ``NTILE(n)`` for several orders at once; each order must be total."""
-    orders = {out: keys_of(order) for out, order in orders.items()}
     fixed = staged(df, "ntile")
-    total = fixed.count()
-    starts = tile_starts(total, n)
-    wanted = {out: (keys, starts) for out, keys in orders.items()}
-    found = rows_at(fixed, total, wanted, plain_rows, sample_rows) if starts else {}
     tiles = []
-    for out, keys in orders.items():
+    for out, order in orders.items():
+        keys = keys_of(order)
         tile = F.lit(1)
-        for rank in starts:
-            bound = literals(fixed, keys, found[out][rank])
-            tile = tile + at_or_after(keys, bound).cast("int")
+        for texts in _tile_bounds(fixed, n, keys):
+            tile = tile + at_or_after(keys, literals(fixed, keys, texts)).cast("int")
         tiles.append(tile.alias(out))
     return fixed.select("*", *tiles)
 
@@ -61,140 +45,51 @@ def tile_starts(total: int, n: int) -> list[int]:
     return sorted({r for r in ranks if 0 < r < total})
 
 
-def rows_at(
-    df: DataFrame,
-    total: int,
-    wanted: dict,
-    plain_rows: int = PLAIN_WINDOW_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
-) -> dict:
-    """Key texts of the rows at given 0-based ranks: ``{name: {rank: texts}}``.
+def _tile_bounds(df: DataFrame, n: int, keys) -> list[list]:
+    """Key texts of the rows that start tiles 2..n; only they reach the driver."""
+    with scratch(_in_ranges(df.select(*dict.fromkeys(k.name for k in keys)), keys), "keys") as ranged:
+        before = _sizes_before(ranged)
+        total = sum(size for _, _, size in before)
+        sought = {}
+        for rank in tile_starts(total, n):
+            found = next((r, first) for r, first, size in before if first <= rank < first + size)
+            sought[(found[0] << _POSITION_BITS) + rank - found[1]] = rank
+        if not sought:
+            return []
+        bound = F.array(*as_text(ranged, keys)).alias("bound")
+        rows = ranged.filter(F.col("_at").isin(list(sought))).select("_at", bound).collect()
+    return [row["bound"] for row in sorted(rows, key=lambda row: row["_at"])]
+
+
+def _in_ranges(df: DataFrame, keys) -> DataFrame:
+    """Rows sorted by range, ``_at`` their range and position in it."""
+    ranged = df.repartitionByRange(*sorts(keys)).sortWithinPartitions(*sorts(keys))
+    return ranged.withColumn("_at", F.monotonically_increasing_id())
+
+
+def _sizes_before(ranged: DataFrame) -> list[tuple[int, int, int]]:
+    """(range, rows before it, rows in it); one row per range."""
+    sizes = ranged.groupBy(F.shiftright("_at", _POSITION_BITS).alias("range")).count().collect()
+    before, out = 0, []
+    for row in sorted(sizes):
+        out.append((row["range"], before, row["count"]))
+        before += row["count"]
+    return out
 
-    A sample brackets each rank, one pass counts the rows around the brackets,
-    and the search goes on inside the brackets, which are a small share of the
-    table. Only the sought rows reach the driver.
-    """
-    sample_rows = max(sample_rows, 100)  # a smaller sample may not narrow the search
-    if total <= max(plain_rows, sample_rows):
-        return _rows_at_small({name: (df, keys, ranks) for name, (keys, ranks) in wanted.items()})
-    sample = staged(df.sample(min(1.0, sample_rows / total), seed=7), "sample")
-    size = sample.count()
-    found: dict = {name: {} for name in wanted}
-    open_ranks = {(name, r) for name, (_, ranks) in wanted.items() for r in ranks}
-    slack = 4.0
-    while open_ranks:
-        brackets = _brackets(df, sample, size, total, wanted, open_ranks, slack)
-        counts = _count_brackets(df, wanted, brackets)
-        small = {}
-        for (name, rank), (low, high) in brackets.items():
-            below, inside = counts[(name, rank)]
-            if not below <= rank < below + inside:
-                continue
-            open_ranks.discard((name, rank))
-            keys = wanted[name][0]
-            part = df.filter(_within(keys, low, high))
-            if inside <= max(plain_rows, sample_rows):
-                small[(name, rank)] = (part, keys, [rank - below])
-            else:
-                hit = rows_at(part, inside, {name: (keys, [rank - below])}, plain_rows, sample_rows)
-                found[name][rank] = hit[name][rank - below]
-        for (name, rank), hit in _rows_at_small(small).items():
-            found[name][rank] = hit[small[(name, rank)][2][0]]
-        slack *= 8
-    return found
-
-
-def _rows_at_small(wanted: dict) -> dict:
-    """The same for tables known to be small, ``{name: (df, keys, ranks)}``, in
-    one job."""
-    found: dict = {name: {} for name in wanted}
-    parts = []
-    for i, (df, keys, ranks) in enumerate(wanted.values()):
-        numbered = df.select(
-            *as_text(df, keys), (F.row_number().over(W.orderBy(*sorts(keys))) - 1).alias("_rank")
-        )
-        bound = F.array(*[f"_b{i}" for i in range(len(keys))]).alias("_bound")
-        parts.append(
-            numbered.filter(F.col("_rank").isin([int(r) for r in ranks])).select(
-                F.lit(i).alias("_part"), "_rank", bound
-            )
-        )
-    if not parts:
-        return found
-    names = list(wanted)
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
-    for row in rows.collect():  # one row per sought rank
-        found[names[row["_part"]]][row["_rank"]] = list(row["_bound"])
-    return found
-
-
-def _brackets(df, sample, size, total, wanted, open_ranks, slack) -> dict:
-    positions = {}
-    for name, rank in open_ranks:
-        share = rank / total
-        margin = slack * math.sqrt(max(size, 1) * share * (1 - share)) + 2
-        positions[(name, rank)] = (
-            math.floor(share * size - margin),
-            math.ceil(share * size + margin),
-        )
-    sought = {}
-    for name, (keys, _) in wanted.items():
-        ranks = {
-            p for (n, _), pair in positions.items() if n == name for p in pair if 0 <= p < size
-        }
-        if ranks:
-            sought[name] = (sample, keys, sorted(ranks))
-    rows = _rows_at_small(sought)
-    brackets = {}
-    for (name, rank), (low, high) in positions.items():
-        keys = wanted[name][0]
-        bound = lambda p: literals(df, keys, rows[name][p]) if 0 <= p < size else None
-        brackets[(name, rank)] = (bound(low), bound(high))
-    return brackets
-
-
-def _within(keys: list[Key], low, high) -> Column:
-    inside = F.lit(True) if low is None else at_or_after(keys, low)
-    return inside if high is None else inside & ~at_or_after(keys, high)
-
-
-def _count_brackets(df: DataFrame, wanted: dict, brackets: dict) -> dict:
-    labels = list(brackets)
-    sums = []
-    for i, label in enumerate(labels):
-        keys = wanted[label[0]][0]
-        low, high = brackets[label]
-        before = F.lit(False) if low is None else ~at_or_after(keys, low)
-        sums.append(F.count_if(before).alias(f"_below{i}"))
-        sums.append(F.count_if(_within(keys, low, high)).alias(f"_inside{i}"))
-    row = df.agg(*sums).first()
-    return {label: (row[f"_below{i}"], row[f"_inside{i}"]) for i, label in enumerate(labels)}
-
-
-def global_row_number(df: DataFrame, order, out: str = "rn") -> DataFrame:
-    """Dense 1-based row number in a total order.
+
+def global_row_number(df: DataFrame, order, out: str = "rn", write=staged) -> DataFrame:
+    """Dense 1-based row number in a total order; ``write`` says how the ranged
+    rows are written down.
 
     The ranged rows are written down before the sizes of the ranges are
     counted, since ranges are sampled and may differ in a second run.
     """
-    keys = keys_of(order)
-    ranged = (
-        df.repartitionByRange(*sorts(keys))
-        .sortWithinPartitions(*sorts(keys))
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
-    fixed = staged(ranged, "ranked").withColumn("_range", F.shiftright("_at", _POSITION_BITS))
-    sizes = fixed.groupBy("_range").count().collect()  # one row per range
-    before, offsets = 0, []
-    for row in sorted(sizes):
-        offsets.append((row["_range"], before))
-        before += row["count"]
-    spark = df.sparkSession
-    shift = spark.createDataFrame(offsets, "_range long, _before long")
+    fixed = write(_in_ranges(df, keys_of(order)), "ranked")
+    offsets = [(range_, before) for range_, before, _ in _sizes_before(fixed)]
+    shift = df.sparkSession.createDataFrame(offsets, "_range long, _before long")
     position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return fixed.join(F.broadcast(shift), "_range").select(
-        *df.columns, (F.col("_before") + position + 1).alias(out)
-    )
+    numbered = fixed.withColumn("_range", F.shiftright("_at", _POSITION_BITS)).join(F.broadcast(shift), "_range")
+    return numbered.select(*df.columns, (F.col("_before") + position + 1).alias(out))
 
 
 def surrogate_key(df: DataFrame, natural_key, out: str) -> DataFrame:

@@ -25,23 +25,21 @@ def test_tile_starts_follow_sql(total, n):
     assert tile_starts(total, n) == starts
 
 
-@pytest.mark.parametrize("limits", [{}, {"plain_rows": 100, "sample_rows": 200}])
-def test_ntile_with_heavy_ties_and_nulls(spark, limits):
+def test_ntile_with_heavy_ties_and_nulls(spark):
     rng = random.Random(3)
     # A third of the rows share one value, some are null.
     data = [(i, None if i % 11 == 0 else (7 if i % 3 == 0 else rng.randint(0, 50))) for i in range(3001)]
     df = spark.createDataFrame(data, "id bigint, v int").repartition(5)
-    got = {r["id"]: r["tile"] for r in global_ntile(df, 5, ["v", "id"], **limits).collect()}
+    got = {r["id"]: r["tile"] for r in global_ntile(df, 5, ["v", "id"]).collect()}
     ids = [i for i, _ in sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))]
     assert got == expected_tiles(ids, 5)
 
 
-@pytest.mark.parametrize("limits", [{}, {"plain_rows": 50, "sample_rows": 100}])
-def test_ntile_descending_nulls_last_and_text(spark, limits):
-    data = [(i, None if i % 5 == 0 else f"é{i % 17}") for i in range(400)]
+def test_ntile_descending_nulls_last_and_text(spark):
+    data = [(i, None if i % 5 == 0 else f"é{i % 17}") for i in range(200)]
     df = spark.createDataFrame(data, "id bigint, v string")
     order = [Key("v", ascending=False, nulls_first=False), Key("id")]
-    got = {r["id"]: r["tile"] for r in global_ntile(df, 4, order, **limits).collect()}
+    got = {r["id"]: r["tile"] for r in global_ntile(df, 4, order).collect()}
     ranked = df.orderBy(F.col("v").desc_nulls_last(), "id").collect()
     assert got == expected_tiles([r["id"] for r in ranked], 4)
 
@@ -54,14 +52,14 @@ def test_ntile_by_instants_doubles_and_bytes(spark):
         F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("raw"),
     )
     for name in ("at", "x", "raw"):
-        tiled = global_ntile(df, 3, [name, "id"], plain_rows=20, sample_rows=60)
+        tiled = global_ntile(df, 3, [name, "id"])
         ids = [r["id"] for r in df.orderBy(F.col(name).asc_nulls_first(), "id").collect()]
         assert {r["id"]: r["tile"] for r in tiled.collect()} == expected_tiles(ids, 3)
 
 
-def test_sampled_search_with_all_rows_equal_but_the_tie(spark):
+def test_ntile_with_all_rows_equal_but_the_tie(spark):
     df = spark.range(2000).select("id", F.lit(1).alias("v"))
-    tiled = global_ntiles(df, 5, {"a": ["v", "id"]}, plain_rows=64, sample_rows=100)
+    tiled = global_ntiles(df, 5, {"a": ["v", "id"]})
     assert {r["a"]: r["n"] for r in tiled.groupBy("a").agg(F.count("*").alias("n")).collect()} == {
         i: 400 for i in range(1, 6)
     }
