@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from martkit.functions.money import ratio
 from martkit.functions.temporal import on_day
-from martkit.sinks.files import replace_partition
+from martkit.sinks.files import replace_values
 
 BASE_CURRENCY = 420  # Fixed value: currency the turnover is expressed in.
 
 
 def copy_day(source: DataFrame, path: str, ts: str, ds: str) -> None:
-    """Copy one day into a table partitioned by day; a retry replaces it (M-38)."""
-    replace_partition(on_day(source, ts, ds).withColumn("ds", F.to_date(ts)), path, "ds")
+    """Copy one day into a table partitioned by day; a retry replaces it, and a
+    day that has no rows any more is emptied (M-38)."""
+    replace_values(on_day(source, ts, ds).withColumn("ds", F.to_date(ts)), path, "ds", [ds])
 
 
 def day_rates(rates: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.session import staged
+from martkit.session import _delete, staged
 
 
 def write_full(df: DataFrame, path: str) -> None:
@@ -28,15 +28,35 @@ def replace_partition(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def replace_values(df: DataFrame, path: str, column: str, values) -> None:
+    """Replace the named partitions by the rows of ``df`` that belong to them;
+    a named partition without rows is emptied, others stay as they are."""
+    values = list(values)
+    rows = staged(df.filter(F.col(column).isin(values)), "replace")
+    replace_partition(rows, path, column)
+    held = {str(r[0]) for r in rows.select(column).distinct().collect()}  # at most `values`
+    for value in values:
+        if str(value) not in held:
+            _drop_partition(df.sparkSession, path, column, value)
+
+
+def _drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+    _delete(spark, f"{path}/{column}={name}")
+
+
 def append(df: DataFrame, path: str) -> None:
     """Plain append; a retry appends again, so loads use the two below."""
     df.write.mode("append").parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append keyed by batch: a repeated batch replaces its own rows."""
+    """Append keyed by batch: a repeated batch replaces its own rows, also when
+    it has none any more. Rows are gathered into few files."""
+    _drop_partition(df.sparkSession, path, "batch_id", batch_id)
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
@@ -119,6 +139,8 @@ class SnapshotTable:
         versions = self.versions()
         number = versions[-1] + 1 if versions else 1
         df.write.mode("overwrite").parquet(self._folder(number))
+        for old in versions[:-1]:  # the last one stays for those who read it now
+            _delete(self.spark, self._folder(old))
         return self.read()
 
     def _folder(self, number: int) -> str:
