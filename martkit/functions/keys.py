@@ -12,15 +12,26 @@ NULL_MARK = "\\N"
 
 
 def joined(*cols, sep: str = "|") -> Column:
-    """Text of all parts with a separator; a null part keeps its place."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return parts[0] if len(parts) == 1 else F.concat_ws(sep, *parts)
+    """Text of all parts with a separator; a null part keeps its place.
+
+    Different parts give different texts: a backslash or separator inside a
+    part is escaped, and so is a single text that begins like the null mark.
+    With ``sep=""`` parts are put together as they are.
+    """
+    texts = [_col(c).cast("string") for c in cols]
+    if len(texts) == 1:
+        clash = F.when(texts[0].startswith("\\"), F.concat(F.lit("\\"), texts[0])).otherwise(texts[0])
+        return F.coalesce(clash, F.lit(NULL_MARK))
+    if sep:
+        texts = [F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep)) for t in texts]
+    return F.concat_ws(sep, *[F.coalesce(t, F.lit(NULL_MARK)) for t in texts])
 
 
 def hash_key(*cols, algorithm: str = "xxhash64") -> Column:
-    """Hash of the business key: 64-bit by default, or ``md5`` text."""
+    """Hash of the business key's text, so that equal keys of different integer
+    widths agree: 64-bit by default, or ``md5`` text."""
     if algorithm == "xxhash64":
-        return F.xxhash64(*[_col(c) for c in cols])
+        return F.xxhash64(joined(*cols))
     if algorithm == "md5":
         return F.md5(F.encode(joined(*cols), "UTF-8"))
     raise ValueError(f"unknown algorithm {algorithm!r}")

@@ -21,11 +21,12 @@ def on_day(df: DataFrame, ts: str, ds: str) -> DataFrame:
     return in_days(df, ts, ds, next_day)
 
 
-def in_days(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
-    """Rows with ``start <= ts < end``, compared in the column's own type."""
+def in_days(df: DataFrame, ts: str, start: str, end: str | None = None) -> DataFrame:
+    """Rows with ``start <= ts < end``, compared in the column's own type;
+    without ``end`` all from ``start`` on."""
     kind = df.schema[ts].dataType
-    low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
-    return df.filter((F.col(ts) >= low) & (F.col(ts) < high))
+    rows = df.filter(F.col(ts) >= F.lit(start).cast(kind))
+    return rows if end is None else rows.filter(F.col(ts) < F.lit(end).cast(kind))
 
 
 def since(df: DataFrame, ts: str, days: int, now: str) -> DataFrame:

@@ -46,22 +46,17 @@ def resolve_items(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Orders with ``restaurant_name`` and with name and category of each line
     from the restaurant's menu (JN-21).
 
-    The menu document is joined once per order and searched in place, so lines
-    are neither exploded nor gathered again. The first menu entry of an item
-    id counts. ``unresolved`` is the number of lines not on the menu.
+    A menu is reduced to its first entry per item id by an aggregation, then
+    joined once per order and searched in place, so lines are neither exploded
+    nor gathered again. ``unresolved`` is the number of lines not on the menu.
     """
-    ids = F.transform("menu", lambda m: m["_id"])
-    known = F.filter(
-        "menu", lambda m, i: m["_id"].isNotNull() & (F.array_position(ids, m["_id"]) == (i + 1))
-    )
-    entries = F.transform(
-        known, lambda m: F.struct(m["_id"], F.struct(m["name"].alias("name"), m["category"].alias("category")))
-    )
-    menus = restaurants.select(
-        F.col("id").alias("restaurant_id"),
-        F.col("name").alias("restaurant_name"),
-        F.map_from_entries(entries).alias("_menu"),
+    items = restaurants.select(
+        F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.posexplode_outer("menu").alias("_at", "_item")
     )
+    shown = F.struct(F.col("_item.name").alias("name"), F.col("_item.category").alias("category"))
+    first = items.groupBy("restaurant_id", "restaurant_name", F.col("_item._id").alias("_id")).agg(F.min_by(shown, "_at").alias("_shown"))
+    entry = F.when(F.col("_id").isNotNull(), F.struct("_id", "_shown"))
+    menus = first.groupBy("restaurant_id", "restaurant_name").agg(F.map_from_entries(F.collect_list(entry)).alias("_menu"))
 
     def named(line: Column) -> Column:
         entry = F.try_element_at("_menu", line["id"])

@@ -21,14 +21,14 @@ _AXES = ("x", "y", "z")
 def nearest(
     points: DataFrame,
     centroids: DataFrame,
-    point_key,
     lat: str = "lat",
     lon: str = "lon",
     max_constants: int = MAX_CONSTANT_CENTROIDS,
 ) -> DataFrame:
     """Each point with the ``city_id``, ``city`` and ``distance_km`` of its
     nearest centroid; equal distances go to the smaller id. Points without
-    coordinates get nulls.
+    coordinates get nulls. Points may repeat and need no key; which way the
+    centroids are searched does not change the result.
 
     ``centroids`` has id, city, lat, lon. A small table is compared inside the
     projection, so points are neither shuffled nor multiplied. A large one is
@@ -39,7 +39,7 @@ def nearest(
         raise ValueError("no centroids")
     if len(rows) <= max_constants:
         return _nearest_constant(points, sorted(rows, key=lambda r: r["id"]), lat, lon)
-    return _nearest_by_cells(points, centroids, point_key, lat, lon)
+    return _nearest_by_cells(points, centroids, lat, lon)
 
 
 def _nearest_constant(points: DataFrame, rows, lat: str, lon: str) -> DataFrame:
@@ -72,11 +72,11 @@ def _unit(lat: float, lon: float) -> tuple[float, float, float]:
     return math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
 
 
-def _nearest_by_cells(points: DataFrame, centroids: DataFrame, point_key, lat: str, lon: str) -> DataFrame:
+def _nearest_by_cells(points: DataFrame, centroids: DataFrame, lat: str, lon: str) -> DataFrame:
     """Search in growing cells: within one cell size the neighbouring cells
     hold every centroid, so a hit that close is final; the rest go on to the
-    next size."""
-    key = [point_key] if isinstance(point_key, str) else list(point_key)
+    next size. Places are searched once each and joined back by place: keys of
+    points may repeat or be null."""
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     centers = _with_vector(
         centroids.select("id", "city", F.col("lat").alias("_clat"), F.col("lon").alias("_clon")).dropna(),
@@ -84,7 +84,7 @@ def _nearest_by_cells(points: DataFrame, centroids: DataFrame, point_key, lat: s
         "_clon",
         "c",
     )
-    left = _with_vector(points.filter(known).select(*key, lat, lon), lat, lon, "p")
+    left = _with_vector(points.filter(known).select(lat, lon).distinct(), lat, lon, "p")
     parts = []
     for size in CELL_SIZES:
         near = _spread(_with_cell(centers, "c", size))
@@ -93,14 +93,14 @@ def _nearest_by_cells(points: DataFrame, centroids: DataFrame, point_key, lat: s
         best = (
             _with_cell(left, "p", size)
             .join(near, ["_cx", "_cy", "_cz"], "left")
-            .groupBy(*key, lat, lon, "px", "py", "pz")
+            .groupBy(lat, lon, "px", "py", "pz")
             .agg(F.min(F.when(F.col("id").isNotNull(), hit)).alias("_hit"))
         )
         best = staged(best, "nearest")
         done = F.col("_hit").isNotNull()
         if size < CELL_SIZES[-1]:
             done = done & (F.col("_hit.gap") <= size * size)
-        parts.append(best.filter(done).select(*key, lat, lon, "_hit"))
+        parts.append(best.filter(done).select(lat, lon, "_hit"))
         left = best.filter(~done).drop("_hit")
         if left.isEmpty():
             break
@@ -108,12 +108,14 @@ def _nearest_by_cells(points: DataFrame, centroids: DataFrame, point_key, lat: s
     for part in parts[1:]:
         hits = hits.unionByName(part)
     hits = hits.select(
-        *key,
+        F.col(lat).alias("_lat"),
+        F.col(lon).alias("_lon"),
         F.col("_hit.id").alias("city_id"),
         F.col("_hit.city").alias("city"),
         haversine_km(F.col(lat), F.col(lon), F.col("_hit._clat"), F.col("_hit._clon")).alias("distance_km"),
     )
-    return points.join(hits, key, "left").select(*points.columns, "city_id", "city", "distance_km")
+    here = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
+    return points.join(hits, here, "left").select(*points.columns, "city_id", "city", "distance_km")
 
 
 def _with_vector(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:

@@ -163,7 +163,7 @@ def group_conversion(vault: dict[str, DataFrame], n: int = 10, event: str = "add
     writers = (
         vault["l_groups_dialogs"]
         .select("hk_group_id", "hk_message_id")
-        .join(F.broadcast(oldest.select("hk_group_id")), "hk_group_id", "left_semi")
+        .join(oldest.select("hk_group_id"), "hk_group_id", "left_semi")
         .join(vault["l_user_message"].select("hk_message_id", "hk_user_id"), "hk_message_id")
         .groupBy("hk_group_id")
         .agg(F.count_distinct("hk_user_id").alias("cnt_users_in_group_with_messages"))

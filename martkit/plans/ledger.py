@@ -54,6 +54,11 @@ def stage_documents(pages: DataFrame, id_field: str, document: str = "document",
     return latest(rows.filter(F.col("object_id").isNotNull()), "object_id", [order_by, "object_value"])
 
 
+def without_id(pages: DataFrame, id_field: str, document: str = "document") -> DataFrame:
+    """Documents that ``stage_documents`` cannot key, the second result of it."""
+    return pages.filter(F.get_json_object(document, f"$.{id_field}").isNull())
+
+
 def delivery_entities(courier_docs: DataFrame, delivery_docs: DataFrame) -> dict[str, DataFrame]:
     """Couriers, orders, delivery details and sales out of the staged documents
     (M-17), plus the documents that could not be parsed."""

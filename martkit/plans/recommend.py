@@ -32,7 +32,7 @@ def friend_recommendations(
     Channel and place are one join key, so a big channel is not paired with
     itself; only members of it who are neighbours meet.
     """
-    positions = nearest(last_positions(events), cities, "user_id").drop("city_id", "distance_km")
+    positions = nearest(last_positions(events), cities).drop("city_id", "distance_km")
     positions = staged(positions, "positions")
     subscribed = (
         events_of(events, "subscription")

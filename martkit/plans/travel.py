@@ -33,7 +33,7 @@ def messages(events: DataFrame) -> DataFrame:
 
 def nearest_city(events: DataFrame, cities: DataFrame) -> DataFrame:
     """Each message with its nearest city (M-25), one row per message."""
-    return nearest(messages(events), cities, "message_id")
+    return nearest(messages(events), cities)
 
 
 def user_travel(

@@ -33,8 +33,8 @@ def test_both_ways_to_the_nearest_centroid_are_exact(spark):
         i: None if la is None else min((round(distance(la, lo, c[2], c[3]), 6), c[0]) for c in cities)
         for i, la, lo in points
     }
-    constant = nearest(located, centers, "pid")
-    for result in (constant, nearest(located, centers, "pid", max_constants=3)):
+    constant = nearest(located, centers)
+    for result in (constant, nearest(located, centers, max_constants=3)):
         got = {r["pid"]: r for r in result.collect()}
         assert len(got) == len(points)
         for i, best in expected.items():
