@@ -176,6 +176,22 @@ SELECT event_id, round(CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN value + 1 ELS
        {txt('CAST(ts AS DATE)')} AS ds
 FROM events"""
 
+LATE_SATELLITE = f"""WITH
+a AS (SELECT user_id, event_type, ts, 0 AS new FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events WHERE event_id % 2 = 1)
+  WHERE was IS DISTINCT FROM event_type),
+c AS (SELECT user_id, event_type, ts, 1 AS new FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events)
+  WHERE was IS DISTINCT FROM event_type),
+u AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, new) AS was FROM (SELECT * FROM a UNION ALL SELECT * FROM c))
+SELECT md5(CAST(user_id AS VARCHAR)) AS hk_user, event_type, {txt('ts')} AS ts FROM u WHERE new = 0 OR was IS DISTINCT FROM event_type"""
+
+KEY_PARTS = r"""WITH p AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN replace(p_name, ' ', '|') END AS a,
+         CASE WHEN p_partkey % 5 <> 0 THEN '\N' || p_type || '\' END AS b FROM part)
+SELECT p_partkey, md5(coalesce(replace(replace(a, '\', '\\'), '|', '\|'), '\N') || '|' ||
+         coalesce(replace(replace(b, '\', '\\'), '|', '\|'), '\N')) AS pair_key, md5(coalesce('\' || b, '\N')) AS single_key FROM p"""
+
 # --- ledger -----------------------------------------------------------------
 
 DELIVERIES = """
@@ -694,6 +710,22 @@ SELECT user_id, ntile(5) OVER (ORDER BY last_ts ASC NULLS FIRST, user_id) AS rec
     "quintiles": """SELECT tile, count(*) AS n, min(l_quantity) AS low, max(l_quantity) AS high, CAST(sum(l_orderkey) AS BIGINT) AS keys
 FROM (SELECT *, ntile(5) OVER (ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS tile
       FROM lineitem) GROUP BY tile""",
+    "quintile_rows": f"""SELECT l_orderkey, {big('l_linenumber')} AS l_linenumber, l_partkey, l_quantity,
+       ntile(5) OVER (ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS tile FROM lineitem""",
+    "upsert_other_width": LAST_EVENT,
+    "emptied_day": f"""SELECT event_id, round(CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN value + 1 ELSE value END, 2) AS value,
+       {txt('CAST(ts AS DATE)')} AS ds FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-11'""",
+    "late_satellite": LATE_SATELLITE,
+    "key_parts": KEY_PARTS,
+    "rejected_lines": f"""SELECT {big('c_nationkey')} AS nation, c_mktsegment AS segment, count(*) AS n, {big('sum(c_custkey)')} AS ids
+FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1, 2
+UNION ALL SELECT -1, 'rejected', count(*), 0 FROM customer WHERE c_custkey % 7 = 0""",
+    "unkeyed_documents": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, 'kept' AS state FROM events WHERE event_id % 11 <> 0
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'rejected' FROM events WHERE event_id % 11 = 0""",
+    "sales_fact_one_day": f"""WITH {SALES} SELECT date_id, customer_id, {big('quantity')} AS quantity, {dbl('payment_amount')} AS payment_amount, status
+FROM sales WHERE date_id = (SELECT date_id FROM cal WHERE date_actual = DATE '1997-01-15')""",
+    "global_metrics_one_day": f"SELECT date_update, currency_from, amount_total, cnt_transactions FROM ({METRICS}) WHERE date_update = '1999-02-18'",
+    "restarted_counters": "SELECT user_id, 2 * count(*) AS cnt FROM events GROUP BY user_id",
     "event_runs": f"""WITH m AS (
   SELECT *, CASE WHEN event_type <> lag(event_type) OVER w THEN 1 ELSE 0 END AS c FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

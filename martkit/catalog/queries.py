@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from martkit.catalog import readings as r
 from martkit.functions.jsons import parse_json_column, split_corrupt, to_message
-from martkit.functions.keys import uuid5_key
-from martkit.functions.temporal import in_days
+from martkit.functions.keys import hash_key, uuid5_key
+from martkit.functions.temporal import in_days, on_day
 from martkit.operators.aggregates import duplicates, with_group_stat
 from martkit.operators.islands import islands
 from martkit.operators.joins import missing_from
@@ -30,15 +30,18 @@ from martkit.plans.geo_dims import zones as zone_table
 from martkit.quality import checks as dq
 from martkit.quality.expectations import Expectations, split_violations
 from martkit.session import new_path, scratch, staged
-from martkit.sinks.files import SnapshotTable, append_batch, replace_partition
+from martkit.sinks.files import SnapshotTable, append_batch, replace_partition, replace_values
 from martkit.sinks.merge import BucketedTable, CounterTable, KeyedTable, insert_missing
+from martkit.sources.files import load_csv_full
 from martkit.sources.streams import decode_json
 from martkit.streaming import campaigns, runner
 from martkit.streaming import orders as order_stream
+from martkit.vault.loaders import load_satellite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SINCE = "1997-01-01"
+SALES_DAY, METRICS_DAY = "1997-01-15", "1999-02-18"
 CAMPAIGN_NOW = 1705276800  # 2024-01-15 00:00:00 UTC
 
 
@@ -202,6 +205,12 @@ def sales_fact_day(spark, sf) -> DataFrame:
     )
 
 
+def sales_fact_one_day(spark, sf) -> DataFrame:
+    """The daily load: facts of one day of the log."""
+    facts = retention.sales_fact(r.order_log(spark, sf), r.order_calendar(spark, sf), SALES_DAY)
+    return facts.select(big("date_id"), big("customer_id"), big("quantity"), num("payment_amount"), "status")
+
+
 def _retention(spark, sf, mode: str) -> DataFrame:
     calendar = r.order_calendar(spark, sf)
     sales = retention.sales_fact(r.order_log(spark, sf), calendar)
@@ -237,9 +246,9 @@ def upsert_latest(spark, sf) -> DataFrame:
     """Two overlapping loads into a keyed table, the second one twice."""
     events = _event_rows(spark, sf)
     target = BucketedTable(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
-    target.create(in_days(events, "ts", "2024-01-01", "2024-01-20"))
+    target.create(events.filter("ts < timestamp_ntz '2024-01-20'"))
     for _ in range(2):
-        target.upsert(in_days(events, "ts", "2024-01-10", "2024-02-10"))
+        target.upsert(in_days(events, "ts", "2024-01-10"))
     return target.read().select(big("user_id"), "event_type", text("ts"), big("event_id"), num("value"))
 
 
@@ -261,7 +270,7 @@ def replace_day(spark, sf) -> DataFrame:
     events = _event_rows(spark, sf).withColumn("ds", F.to_date("ts"))
     path = new_path(spark, "days")
     replace_partition(events, path, "ds")
-    corrected = in_days(events, "ts", "2024-01-20", "2024-02-10").withColumn("value", F.col("value") + 1)
+    corrected = in_days(events, "ts", "2024-01-20").withColumn("value", F.col("value") + 1)
     for _ in range(2):
         replace_partition(corrected, path, "ds")
     return spark.read.parquet(path).select(big("event_id"), num(F.round("value", 2), "value"), text("ds"))
@@ -272,8 +281,8 @@ def accumulate_batches(spark, sf) -> DataFrame:
     between."""
     events = _event_rows(spark, sf).withColumn("cnt", F.lit(1))
     table = CounterTable(spark, new_path(spark, "counters"), ["user_id", "event_type"], "cnt")
-    days = ["2024-01-01", "2024-01-10", "2024-01-20", "2024-02-10"]
-    batches = [in_days(events, "ts", a, b) for a, b in zip(days, days[1:])]
+    first = events.filter("ts < timestamp_ntz '2024-01-10'")
+    batches = [first, in_days(events, "ts", "2024-01-10", "2024-01-20"), in_days(events, "ts", "2024-01-20")]
     table.add(batches[0], 0)
     table.add(batches[1], 1)
     table.compact()
@@ -282,6 +291,75 @@ def accumulate_batches(spark, sf) -> DataFrame:
     return table.read().select(big("user_id"), "event_type", big("cnt"))
 
 
+def upsert_other_width(spark, sf) -> DataFrame:
+    """The keyed table again, with keys of another integer width in the second
+    load."""
+    events = _event_rows(spark, sf)
+    target = BucketedTable(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
+    target.create(events.filter("ts < timestamp_ntz '2024-01-20'"))
+    target.upsert(in_days(events, "ts", "2024-01-10").withColumn("user_id", F.col("user_id").cast("int")))
+    return target.read().select(big("user_id"), "event_type", text("ts"), big("event_id"), num("value"))
+
+
+def emptied_day(spark, sf) -> DataFrame:
+    """Two named days are replaced; one of them has no rows any more."""
+    events = _event_rows(spark, sf).withColumn("ds", F.to_date("ts"))
+    path = new_path(spark, "days")
+    replace_partition(events, path, "ds")
+    corrected = on_day(events, "ts", "2024-01-10").withColumn("value", F.col("value") + 1)
+    for _ in range(2):
+        replace_values(corrected, path, "ds", ["2024-01-10", "2024-01-11"])
+    return spark.read.parquet(path).select(big("event_id"), num(F.round("value", 2), "value"), text("ds"))
+
+
+def late_satellite(spark, sf) -> DataFrame:
+    """Attributes that change, return, arrive late and arrive twice: half of the
+    events first, then all of them, then all again."""
+    rows = r.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    known = None
+    for load in (rows.filter("event_id % 2 = 1"), rows, rows):
+        fresh = load_satellite(
+            known, load, "hk_user", ["event_type"], "events", F.lit("2024-02-01").cast("timestamp_ntz"),
+            mode="hashdiff", order_by=["ts", "event_id"], key="user_id", key_of=partial(hash_key, algorithm="md5"),
+        )
+        known = staged(fresh if known is None else known.unionByName(fresh), "satellite")
+    return known.select("hk_user", "event_type", text("ts"))
+
+
+def key_parts(spark, sf) -> DataFrame:
+    """Keys of parts that are null, hold the separator, or look like the mark."""
+    part = r.table(spark, sf, "part").select(
+        "p_partkey",
+        F.when(F.col("p_partkey") % 3 != 0, F.replace("p_name", F.lit(" "), F.lit("|"))).alias("a"),
+        F.when(F.col("p_partkey") % 5 != 0, F.concat(F.lit("\\N"), "p_type", F.lit("\\"))).alias("b"),
+    )
+    keys = hash_key("a", "b", algorithm="md5"), hash_key("b", algorithm="md5")
+    return part.select(big("p_partkey"), keys[0].alias("pair_key"), keys[1].alias("single_key"))
+
+
+def rejected_lines(spark, sf) -> DataFrame:
+    """Customers as lines without header, some of them damaged, loaded back:
+    readable rows and rejected lines."""
+    damaged = F.when(F.col("c_custkey") % 7 == 0, F.lit("none")).otherwise(F.col("c_custkey").cast("string"))
+    lines = r.table(spark, sf, "customer").select(F.concat_ws(",", damaged, F.col("c_nationkey").cast("string"), "c_mktsegment").alias("value"))
+    path = new_path(spark, "lines")
+    lines.write.text(path)
+    fields = [T.StructField("id", T.LongType()), T.StructField("nation", T.IntegerType()), T.StructField("segment", T.StringType())]
+    good, rejected = load_csv_full(spark, path, T.StructType(fields))
+    kept = good.groupBy("nation", "segment").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    lost = rejected.groupBy(F.lit(-1).alias("nation"), F.lit("rejected").alias("segment")).agg(F.count("*").alias("n"), F.lit(0).alias("ids"))
+    return kept.unionByName(lost).select(big("nation"), "segment", big("n"), big("ids"))
+
+
+def unkeyed_documents(spark, sf) -> DataFrame:
+    """Documents by object id, and those without a readable id."""
+    props = F.when(F.col("event_id") % 11 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct(F.col("user_id").alias("_id"), "event_type")))
+    pages = r.table(spark, sf, "events").select("event_id", props.alias("document"), F.col("ts").alias("loaded_at"))
+    kept = ledger.stage_documents(pages, "_id").select(F.col("object_id").alias("id"), F.lit("kept").alias("state"))
+    lost = ledger.without_id(pages, "_id").select(F.col("event_id").cast("string").alias("id"), F.lit("rejected").alias("state"))
+    return kept.unionByName(lost)
+
+
 # --- documents and ledger ---------------------------------------------------
 
 
@@ -650,6 +728,22 @@ def row_numbers(spark, sf) -> DataFrame:
     return numbered.select(big("order_id"), big("rn"))
 
 
+def global_metrics_one_day(spark, sf) -> DataFrame:
+    """The daily load: one day copied into the staging table, then its metrics."""
+    path = new_path(spark, "transactions")
+    for _ in range(2):
+        fx_metrics.copy_day(r.transactions(spark, sf), path, "transaction_dt", METRICS_DAY)
+    mart = fx_metrics.global_metrics(spark.read.parquet(path).drop("ds"), r.rates(spark, sf), METRICS_DAY)
+    return mart.select(text("date_update"), big("currency_from"), num("amount_total"), big("cnt_transactions"))
+
+
+def quintile_rows(spark, sf) -> DataFrame:
+    """The quintile of every row."""
+    order = ["l_quantity", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    tiled = global_ntile(r.table(spark, sf, "lineitem").select(*order), 5, order)
+    return tiled.select(big("l_orderkey"), big("l_linenumber"), big("l_partkey"), num("l_quantity"), big("tile"))
+
+
 def quintiles(spark, sf) -> DataFrame:
     """Quintiles of a column with few values, so most rows are ties."""
     lines = r.table(spark, sf, "lineitem").select("l_quantity", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
@@ -880,12 +974,26 @@ def _run_order_streams(spark, sf) -> dict:
     )
 
     lines = decode_json(spark.readStream.schema(value).parquet(f"{root}/dds"), _PRODUCTS)
-    products = CounterTable(spark, f"{root}/products", ["id", "product_id", "product_name"], "order_cnt")
+    products = CounterTable(spark, f"{root}/products", ["id", "product_id"], "order_cnt", ["product_name"])
     categories = CounterTable(spark, f"{root}/categories", ["id", "category_name"], "order_cnt")
     _run(lines, order_stream.counter_sink(products, categories), spark, "cdm")
     return {"raw": raw, "vault": f"{root}/vault", "products": products, "categories": categories}
 
 
+def restarted_counters(spark, sf) -> DataFrame:
+    """Event counters fed by a stream of five files, one a batch, with a
+    compaction, then by a second run with a new checkpoint."""
+    source = new_path(spark, "event-files")
+    r.table(spark, sf, "events").select("event_id", "user_id").repartition(5, "event_id").write.parquet(source)
+    table = CounterTable(spark, new_path(spark, "counters"), "user_id", "cnt")
+    add = lambda batch, batch_id: table.add(batch.withColumn("cnt", F.lit(1)), batch_id)
+    for run in range(2):
+        stream = spark.readStream.schema("event_id bigint, user_id bigint").option("maxFilesPerTrigger", 1).parquet(source)
+        _run(stream, add, spark, "counters")
+        table.compact()
+    return table.read().select(big("user_id"), big("cnt"))
+
+
 _ENRICHED = """object_id bigint, object_type string,
     payload struct<id: bigint, date: string, cost: decimal(14,2), payment: decimal(14,2), status: string,
         restaurant: struct<id: string, name: string>, user: struct<id: string, name: string>,
@@ -963,6 +1071,16 @@ QUERIES: dict[str, Query] = {
         transactions_without_rate,
         row_numbers,
         quintiles,
+        quintile_rows,
+        upsert_other_width,
+        emptied_day,
+        late_satellite,
+        key_parts,
+        rejected_lines,
+        unkeyed_documents,
+        sales_fact_one_day,
+        global_metrics_one_day,
+        restarted_counters,
         event_runs,
         group_statistics,
         duplicate_lines,
