@@ -170,9 +170,9 @@ def learn(
     held = np.arange(n) % 3 == 2
     left = np.ones(n, bool)
     rules: list[tuple[Test, ...]] = []
-    while len(rules) < max_rules:
+    for _ in range(4 * max_rules):
         rule = _grow(data, bad, left & ~held, max_tests)
-        if not rule:
+        if not rule or len(rules) == max_rules:
             break
         rule = _prune(rule, data, bad, left & held)
         hit = _covered(rule, data, n) & left
@@ -180,10 +180,11 @@ def learn(
             (hit & part).sum() >= least and (bad & hit & part).sum() >= least_precision * (hit & part).sum()
             for part, least in ((~held, least_cover), (held, max(1, least_cover // 2)))
         )
-        if not ok:
-            break
-        rules.append(rule)
-        left &= ~hit
+        if ok:
+            rules.append(rule)
+            left &= ~hit
+        else:
+            left &= ~(hit & bad)  # look for a rule for other rows
     return DecisionList(rules)
 
 
