@@ -3,9 +3,10 @@
 Documents are encoded whole and cut only where they are longer than the longest
 window. What remains is routed to the shortest window that holds it. The long
 windows are packed first: each opens with the longest piece of its tier, and its
-gap is filled, best fit first, with pieces of the same or any shorter tier; the
-shorter tiers pack what is left in windows of their own size. Steps take windows
-of one length, as many as make the same number of tokens, so steps weigh alike.
+gap is filled, best fit first, with pieces of any shorter tier. The shorter tiers
+pack windows of their own size that come out full, and give the rest to long
+windows again. Steps take windows of one length, as many as make the same number
+of tokens, so steps weigh alike.
 
 Pieces are dealt at random into groups of bounded size, each packed by one task
 with all lengths at hand; only lengths and checksums are shuffled, no tokens.
@@ -64,36 +65,66 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1
 
 
 def fill(lengths: np.ndarray, tiers=TIERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window number, offset in it, and window length of each piece."""
-    n = len(lengths)
+    """Window number, offset in it, and window length of each piece.
+
+    Long windows open with the pieces that only they hold, and close their gaps
+    with the longest pieces that fit. Shorter windows are kept if they come out
+    full; what does not fill one goes to further long windows, so that padding is
+    left in the last ones only. Numbers grow from the longest windows on.
+    """
     order = np.argsort(lengths, kind="stable")
     ends = np.searchsorted(lengths[order], np.arange(tiers[-1] + 1), side="right")
     left = np.diff(np.append(0, ends)).tolist()  # pieces of each length
-    tops = ends.tolist()
-    longest = list(range(tiers[-1] + 1))  # from each length the way to the longest that is left below
+    there = sum(1 << n for n, k in enumerate(left) if k)  # a bit per length that is left
 
     def best(room: int) -> int:
         """The longest length up to ``room`` with a piece left, or 0."""
-        at = room
-        while at and not left[at]:
-            at = longest[at] = longest[at - 1] if longest[at] == at else longest[longest[at]]
-        return at
-
-    def take(length: int) -> int:
-        left[length] -= 1
-        tops[length] -= 1
-        return int(order[tops[length]])
+        return max(0, (there & ((2 << room) - 1)).bit_length() - 1)
+
+    def move(length: int, by: int) -> None:
+        nonlocal there
+        left[length] += by
+        there = there | (1 << length) if left[length] else there & ~(1 << length)
+
+    def window_of(first: int, tier: int) -> list[int]:
+        held, room = [], tier
+        while first:
+            move(first, -1)
+            held.append(first)
+            room -= first
+            first = best(room)
+        return held
+
+    longest = tiers[-1]
+    made: dict[int, list[list[int]]] = {t: [] for t in tiers}
+    while (length := best(longest)) > tiers[-2]:
+        made[longest].append(window_of(length, longest))
+    for tier, below in zip(reversed(tiers[:-1]), [*reversed(tiers[:-2]), 0]):
+        aside = []
+        while (length := best(tier)) > below:
+            held = window_of(length, tier)
+            if sum(held) == tier:
+                made[tier].append(held)
+            else:
+                for n in held[1:]:
+                    move(n, 1)
+                aside.append(length)
+        for n in aside:
+            move(n, 1)
+    while length := best(longest):
+        made[longest].append(window_of(length, longest))
 
-    window, offset, size = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    tops = ends.tolist()
+    window, offset, size = (np.zeros(len(lengths), np.int64) for _ in range(3))
     number = 0
-    for tier, below in zip(reversed(tiers), [*reversed(tiers[:-1]), 0]):
-        while (length := best(tier)) > below:
+    for tier in reversed(tiers):
+        for held in made[tier]:
             at = 0
-            while length:
-                piece = take(length)
+            for n in held:
+                tops[n] -= 1
+                piece = order[tops[n]]
                 window[piece], offset[piece], size[piece] = number, at, tier
-                at += length
-                length = best(tier - at)
+                at += n
             number += 1
     return window, offset, size
 
