@@ -143,20 +143,20 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, near: int = N
     slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     width = slim.filter("embedding is not null").groupBy(F.size("embedding").alias("n")).count()
     width = width.orderBy(F.desc("count"), "n").limit(1).collect()
-    dims = width[0]["n"] if width else 0
+    dims = max(0, width[0]["n"]) if width else 0
     usable = slim.filter(F.col("vec_id").isNotNull() & (F.size("embedding") == dims))
     units = staging.keep(usable.mapInArrow(_units, "vec_id long, cls long, unit binary"), "units")
     classes = units.groupBy("cls").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("weight"), F.first("unit").alias("unit"))
     classes = staging.keep(classes, "vector-classes")
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("cls"), "cls").select("unit").limit(pivot_count(n)).collect()
-    pivots = spark.sparkContext.broadcast(np.frombuffer(b"".join(r["unit"] for r in sample), np.float64).reshape(len(sample), -1))
+    pivots = spark.sparkContext.broadcast(np.frombuffer(b"".join(r["unit"] for r in sample), np.float64).reshape(len(sample), dims))
     near = min(near, max(1, len(sample)))
     shared = min(shared, near)
 
     def describe(batches):
         for batch in batches:
-            rows = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            rows = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(batch.num_rows, dims)
             found = nearest(rows, pivots.value, near) if len(rows) else np.zeros((0, near), np.int32)
             listed = np.sort(found, axis=1)[:, : near - shared + 1]
             offsets = np.arange(0, listed.size + 1, listed.shape[1], dtype=np.int32)

@@ -76,8 +76,10 @@ def cosine_groups(rows, threshold: float = 0.9) -> list[tuple]:
         if not v or None in v:
             return None
         x = np.array(v, float)
-        n = np.sqrt((x * x).sum())
-        return x / n if np.isfinite(n) and n > 0 else None
+        if not np.isfinite(x).all() or not x.any():
+            return None
+        x = x / np.abs(x).max()
+        return x / np.sqrt((x * x).sum())
 
     vectors = [(i, unit(v) if i is not None else None) for i, v in rows]
     ok = lambda a, b: a is not None and b is not None and len(a) == len(b) and float(a @ b) >= threshold
