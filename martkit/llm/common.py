@@ -42,13 +42,14 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: dict[int, str] = {}
+        self.held: list[DataFrame] = []  # so that ids stay their own
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
-        self._hold = getattr(self, "_hold", []) + [out]
+        self.held.append(out)
         return out
 
     def drop(self, df: DataFrame) -> None:
@@ -56,6 +57,10 @@ class Staging:
         if path:
             _delete(self.spark, path)
 
+    def drop_all(self) -> None:
+        for df in self.held:
+            self.drop(df)
+
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder that driver and executors share; made if

@@ -14,9 +14,9 @@ phrases occur elsewhere, which an exact check of the bytes follows.
 
 The check: windows of 400 bytes with the same first and last anchor form a
 family, with a core between the anchors and up to 186 bytes of context on each
-side. Families equal in all bytes repeat as a whole. Families that share a core
-and one context are put in order by the other one, and neighbours compared. Only
-where both contexts differ is each window hashed (128 bits).
+side. Families equal in all bytes repeat as a whole. Where the families of a core
+differ on one side only, they are put in order by that side, and neighbours
+compared. Where they differ on both, each window is hashed (128 bits).
 
 Texts are compared by their distinct content; a text of 400 bytes or more that
 occurs twice is repeated as a whole.
@@ -146,11 +146,11 @@ def counts_below(rows: DataFrame, keys: list[str], counts: list[str], staging: S
     return moved.select(*keys, *[(F.col(f"_run_{c}") + F.col(f"_shift_{c}")).alias(f"below_{c}") for c in counts])
 
 
-def with_neighbours(rows: DataFrame, order: list[str], values: list[str]) -> DataFrame:
+def with_neighbours(rows: DataFrame, order: list[str], values: list[str], staging: Staging) -> DataFrame:
     """``rows`` with ``prev_`` and ``next_`` of some columns in a global order.
     Rows are numbered and cut into buckets, and those at an edge are also sent to
     the bucket beside it, so that a large group is compared by many tasks."""
-    numbered = global_row_number(rows, order, "_rn")
+    numbered = global_row_number(rows, order, "_rn", staging.keep)
     bucket = lambda x: F.shiftright(x, _BUCKET_BITS)
     rn = F.col("_rn")
     sent = numbered.withColumn("_bucket", F.explode(F.array_distinct(F.array(bucket(rn), bucket(rn - 1), bucket(rn + 1)))))
@@ -215,6 +215,7 @@ def suffix_ranks(strings: DataFrame, depth: int, staging: Staging) -> DataFrame:
     """(str, at, rank) for every suffix of ``strings`` (str long, s array<long>,
     0 ends a suffix, symbols are above 0): 1 + the number of smaller suffixes, exact in the first
     ``depth`` symbols; suffixes equal in more may share a rank."""
+    outer, staging = staging, Staging(staging.spark)
     triples = staging.keep(strings.mapInArrow(_triples, "str long, at long, a long, b long, c long"), "triples")
     one = triples.withColumn("n", F.lit(1).cast("long"))
     below = counts_below(one, ["a", "b", "c"], ["n"], staging)
@@ -239,15 +240,17 @@ def suffix_ranks(strings: DataFrame, depth: int, staging: Staging) -> DataFrame:
     second = counts_below(rows.filter("cls <> 1"), ["s0", "s1", "r2"], ["is0", "is2"], staging).withColumnsRenamed({"below_is0": "g0", "below_is2": "g2"})
     placed = rows.join(first, ["s0", "r1"], "left").join(second, ["s0", "s1", "r2"], "left")
     place = F.when(F.col("cls") == 0, F.col("f0") + F.col("f1") + F.col("g2") + 1).when(F.col("cls") == 1, F.col("own") + F.col("f0")).otherwise(F.col("own") + F.col("g0"))
-    return staging.keep(placed.select("str", "at", place.alias("rank")), "ranks")
+    ranks = outer.keep(placed.select("str", "at", place.alias("rank")), "ranks")
+    staging.drop_all()
+    return ranks
 
 
 # --- the exact check ------------------------------------------------------------
 
 
 def _candidates(batches):
-    """Families whose run of phrases occurs elsewhere, by digests of their core
-    and of all their bytes; and the text itself, once."""
+    """Families whose run of phrases occurs elsewhere, by digests of the core and
+    of the context on either side."""
     for batch in batches:
         rows = []
         for text_no, text, at, lcps in zip(*(batch.column(c).to_pylist() for c in ("text_no", "raw", "idx", "lcps"))):
@@ -258,44 +261,42 @@ def _candidates(batches):
             ok = common[first] >= last - first
             for i, j, a, z in zip(low[ok].tolist(), high[ok].tolist(), anchors[first[ok]].tolist(), anchors[last[ok]].tolist()):
                 core = xxhash.xxh3_128_digest(text[a : z + GRAM])
-                whole = xxhash.xxh3_128_digest(text[i : j + LENGTH], seed=a - i)
-                rows.append((text_no, i, j, a, z, core, whole))
-        columns = list(zip(*rows)) or [()] * 7
-        types = [pa.int64()] * 5 + [pa.binary()] * 2
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["text_no", "i", "j", "a", "z", "core", "whole"])
+                rows.append((text_no, i, j, a, z, core, _signed(text[i:a]), _signed(text[z + GRAM : j + LENGTH])))
+        columns = list(zip(*rows)) or [()] * 8
+        types = [*[pa.int64()] * 5, pa.binary(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["text_no", "i", "j", "a", "z", "core", "left", "right"])
 
 
-def _contexts(batches):
-    """The bytes beside the core of some families of a text."""
-    for batch in batches:
-        rows = []
-        for text_no, text, found in zip(*(batch.column(c).to_pylist() for c in ("text_no", "raw", "found"))):
-            for f in found:
-                left, right = text[f["i"] : f["a"]], text[f["z"] + GRAM : f["j"] + LENGTH]
-                rows.append((text_no, f["i"], f["j"], f["a"], f["z"], f["core"], f["n"], left, left[::-1], right))
-        columns = list(zip(*rows)) or [()] * 10
-        types = [pa.int64()] * 5 + [pa.binary(), pa.int64()] + [pa.binary()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["text_no", "i", "j", "a", "z", "core", "n", "left", "tfel", "right"])
+def _signed(raw: bytes) -> int:
+    """A digest as a signed integer; the length is part of it."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(raw, seed=len(raw))).astype(np.int64))
 
 
-def _windows(batches):
-    """A digest for each window of a family, from its core and contexts."""
+def _surroundings(batches):
+    """For a core with one left context the right one, with one right context the
+    left one, reversed; for others the digest of each window."""
     for batch in batches:
         rows = []
-        for no, i, j, a, z, core, left, right in zip(*(batch.column(c).to_pylist() for c in ("text_no", "i", "j", "a", "z", "core", "left", "right"))):
-            rest = LENGTH - (z + GRAM - a)
-            for w in range(i, j + 1):
-                side = left[w - i :] + right[: rest - (a - w)]
-                rows.append((no, w, xxhash.xxh3_128_digest(core + side, seed=a - w)))
-        columns = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary()])], names=["text_no", "w", "window"])
+        for text_no, text, found in zip(*(batch.column(c).to_pylist() for c in ("text_no", "raw", "found"))):
+            for f in found:
+                i, j, a, z = f["i"], f["j"], f["a"], f["z"]
+                if f["kind"] == "right":
+                    rows.append((text_no, i, j, a, z, f["kind"], f["n"], f["core"], text[z + GRAM : j + LENGTH]))
+                elif f["kind"] == "left":
+                    rows.append((text_no, i, j, a, z, f["kind"], f["n"], f["core"], text[i:a][::-1]))
+                else:
+                    for w in range(i, j + 1):
+                        rows.append((text_no, w, w, a, z, f["kind"], f["n"], xxhash.xxh3_128_digest(text[w : w + LENGTH]), b""))
+        columns = list(zip(*rows)) or [()] * 9
+        types = [*[pa.int64()] * 5, pa.string(), pa.int64(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["text_no", "i", "j", "a", "z", "kind", "n", "core", "side"])
 
 
 def _common_prefix(a: str, b: str) -> Column:
     """Length of the common prefix of two arrays; 0 if one is null."""
     n = f"least(size({a}), size({b}))"
-    same = f"size(filter(sequence(0, {n}), k -> slice({a}, 1, k) = slice({b}, 1, k))) - 1"
-    return F.expr(f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 ELSE {same} END")
+    differs = f"array_position(zip_with(slice({a}, 1, {n}), slice({b}, 1, {n}), (x, y) -> x = y), false)"
+    return F.expr(f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 WHEN {differs} = 0 THEN {n} ELSE {differs} - 1 END").cast("int")
 
 
 def _prefix_lengths(pairs: list[tuple[pa.Array, pa.Array]]) -> pa.Array:
@@ -310,17 +311,17 @@ def _prefix_lengths(pairs: list[tuple[pa.Array, pa.Array]]) -> pa.Array:
     return pa.array(out)
 
 
-def _longest_common(rows: DataFrame, same: list[str], by: str) -> DataFrame:
-    """``rows`` with ``common``: bytes that ``by`` shares with a neighbour among
-    rows equal in ``same``."""
-    near = with_neighbours(rows, [*same, by, "text_no", "i"], [*same, by])
+def _longest_common(rows: DataFrame, staging: Staging) -> DataFrame:
+    """``rows`` with ``common``: bytes that ``side`` shares with a neighbour among
+    rows of the same core."""
+    near = with_neighbours(rows, ["core", "side", "text_no", "i"], ["core", "side"], staging)
 
     @F.arrow_udf("int")
     def longest(own: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
         return _prefix_lengths([(own, before), (own, after)])
 
-    group = lambda side: F.when(F.expr(" AND ".join(f"{side}_{c} = {c}" for c in same)), F.col(f"{side}_{by}"))
-    return near.withColumn("common", longest(F.col(by), group("prev"), group("next"))).select(*rows.columns, "common")
+    beside = [F.when(F.col(f"{k}_core") == F.col("core"), F.col(f"{k}_side")) for k in ("prev", "next")]
+    return near.withColumn("common", longest("side", *beside)).select(*rows.columns, "common")
 
 
 def _removed(batches):
@@ -396,14 +397,18 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     # Neighbours in suffix order, and what prefix they share.
     here = F.arrays_zip("s", "idx", "reach")
     tails = strings.select("str", "s", F.posexplode(here).alias("at", "x")).filter("x.s <> 0")
-    tail = F.expr("filter(slice(s, at + 1, x.reach), (v, k) -> NOT exists(slice(s, at + 1, k + 1), u -> u = 0))")
-    tails = tails.select("str", F.col("at").cast("long").alias("at"), F.col("x.idx").alias("idx"), tail.alias("tail"))
-    near = with_neighbours(tails.join(ranks, ["str", "at"]), ["rank", "str", "at"], ["tail"])
+    tails = tails.select("str", F.col("at").cast("long").alias("at"), F.col("x.idx").alias("idx"), F.expr("slice(s, at + 1, x.reach)").alias("tail"))
+    cut = F.array_position("tail", F.lit(0).cast("long"))
+    tails = tails.withColumn("tail", F.when(cut == 0, F.col("tail")).otherwise(F.slice("tail", F.lit(1), (cut - 1).cast("int"))))
+    near = with_neighbours(tails.join(ranks, ["str", "at"]), ["rank", "str", "at"], ["tail"], staging)
     lcp = F.greatest(_common_prefix("tail", "prev_tail"), _common_prefix("tail", "next_tail"))
     shared = near.select(F.col("str").alias("text_no"), "idx", lcp.alias("lcp")).filter("lcp > 0")
     shared = shared.groupBy("text_no").agg(F.collect_list("idx").alias("idx"), F.collect_list("lcp").alias("lcps"))
     shared = staging.keep(shared.join(texts.select("text_no", "key", "rep"), "text_no"), "shared")
 
+    staging.drop(strings)
+    staging.drop(ranks)
+
     # The bytes of texts with candidates, one row a text.
     marks = shared.select(F.xxhash64("key").alias("h"))
     may = _member_filter(spark, marks)
@@ -412,32 +417,34 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     own = held.join(want.hint("merge"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     own = staging.keep(own.select("text_no", "raw", "idx", "lcps"), "bytes")
     fields = "text_no long, i long, j long, a long, z long, core binary, whole binary"
-    # A row that is repeated with its id would count itself.
-    families = staging.keep(own.dropDuplicates(["text_no"]).mapInArrow(_candidates, fields), "families")
-    groups = families.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("text_no", "i", "j", "a", "z")).alias("f"))
+    if own.groupBy("text_no").count().filter("count > 1").limit(1).count():
+        own = own.dropDuplicates(["text_no"])  # rows that are repeated with their id
+    fields = "text_no long, i long, j long, a long, z long, core binary, left long, right long"
+    families = staging.keep(own.mapInArrow(_candidates, fields), "families")
+    whole = ["core", "left", "right"]
+    groups = families.groupBy(*whole).agg(F.count("*").alias("n"), F.min(F.struct("text_no", "i", "j", "a", "z")).alias("f"))
     groups = staging.keep(groups, "groups")
-    full = families.join(groups.filter("n > 1").select("core", "whole"), ["core", "whole"], "left_semi").select("text_no", "i", "j")
+    full = families.join(groups.filter("n > 1").select(*whole), whole, "left_semi").select("text_no", "i", "j")
 
     # Where a core has several surroundings, one family of each.
-    several = groups.groupBy("core").count().filter("count > 1").select("core")
-    reps = groups.join(several, "core").select("core", "n", "f.*")
-    reps = reps.groupBy("text_no").agg(F.collect_list(F.struct("i", "j", "a", "z", "core", "n")).alias("found"))
-    fields = "text_no long, i long, j long, a long, z long, core binary, n long, left binary, tfel binary, right binary"
-    sides = own.select("text_no", "raw").dropDuplicates(["text_no"]).join(reps, "text_no").mapInArrow(_contexts, fields)
-    sides = staging.keep(sides, "contexts")
+    several = groups.groupBy("core").agg(
+        F.count("*").alias("m"), F.expr("min(left) <> max(left)").alias("lefts"), F.expr("min(right) <> max(right)").alias("rights")
+    )
+    kind = F.expr("CASE WHEN NOT lefts THEN 'right' WHEN NOT rights THEN 'left' ELSE 'both' END")
+    reps = groups.join(several.filter("m > 1").select("core", kind.alias("kind")), "core").select("core", "kind", "n", "f.*")
+    reps = reps.groupBy("text_no").agg(F.collect_list(F.struct("i", "j", "a", "z", "kind", "core", "n")).alias("found"))
+    fields = "text_no long, i long, j long, a long, z long, kind string, n long, core binary, side binary"
+    sides = own.select("text_no", "raw").join(reps, "text_no").mapInArrow(_surroundings, fields)
+    sides = staging.keep(sides, "surroundings")
+    staging.drop(own)
     rest = F.lit(LENGTH - GRAM) - (F.col("z") - F.col("a"))
-    slim = ["text_no", "i", "j", "a", "z", "core", "n", "left", "tfel", "right"]
-    a = _longest_common(sides.select(*slim), ["core", "left"], "right")
-    a = a.select("n", "text_no", "i", F.least(F.col("j"), F.col("a") - rest + F.col("common")).alias("j"))
-    b = _longest_common(sides.select(*slim), ["core", "right"], "tfel")
-    b = b.select("n", "text_no", F.greatest(F.col("i"), F.col("a") - F.col("common")).alias("i"), "j")
-    ends = a.union(b).filter("n = 1 and i <= j").select("text_no", "i", "j")
-    both = sides.groupBy("core").agg(F.min(F.xxhash64("left")).alias("l"), F.max(F.xxhash64("left")).alias("m"), F.min(F.xxhash64("right")).alias("r"), F.max(F.xxhash64("right")).alias("s"))
-    both = both.filter("l <> m and r <> s").select("core")
-    windows = sides.join(both, "core").mapInArrow(_windows, "text_no long, w long, window binary")
-    windows = staging.keep(windows, "windows")
-    again = windows.groupBy("window").count().filter("count > 1").select("window")
-    single = windows.join(again, "window").select("text_no", F.col("w").alias("i"), F.col("w").alias("j"))
+    low = F.when(F.col("kind") == "left", F.greatest(F.col("i"), F.col("a") - F.col("common"))).otherwise(F.col("i"))
+    high = F.when(F.col("kind") == "right", F.least(F.col("j"), F.col("a") - rest + F.col("common"))).otherwise(F.col("j"))
+    ends = _longest_common(sides.filter("kind <> 'both'"), staging)
+    ends = ends.filter("n = 1").select("text_no", low.alias("i"), high.alias("j")).filter("i <= j")
+    windows = sides.filter("kind = 'both'").select("text_no", "i", "j", "core")
+    again = windows.groupBy("core").count().filter("count > 1").select("core")
+    single = windows.join(again, "core").select("text_no", "i", "j")
 
     found = full.union(ends).union(single).select("text_no", F.col("i").alias("low"), (F.col("j") + LENGTH).alias("high"))
     copies = texts.filter("copies > 1").select("text_no", F.lit(0).cast("long").alias("low"), F.col("n").alias("high"))
