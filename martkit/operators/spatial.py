@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ MAX_CONSTANT_CENTROIDS = 64
 # sphere. The last one spans the whole sphere.
 CELL_SIZES = (0.01, 0.04, 0.16, 0.64, 2.0)
 _AXES = ("x", "y", "z")
+# A cell itself and half of its 26 neighbours: each pair of cells once.
+_VISITED = [step for step in product((-1, 0, 1), repeat=3) if step >= (0, 0, 0)]
 
 
 def nearest(
@@ -171,9 +174,10 @@ def near_members(members: DataFrame, group: str, km: float, rows_per_task: int =
     user_right (the greater id is left), distance_km.
 
     ``members`` has the group, user_id, lat, lon, one row per group and user.
-    The join key is group and cell together, so members of a large group who
-    live apart never meet. A crowded cell is cut into parts on one side and
-    copied to each part on the other, so no task holds all of its pairs.
+    The join key is group and cells together, so members of a large group who
+    live apart never meet. Each pair of neighbouring cells is visited once, and
+    both sides of a crowded cell are cut into parts that meet part by part, so a
+    task holds about ``rows_per_task`` rows of either side.
     """
     placed = _with_vector(members.dropna(subset=[group, "user_id", "lat", "lon"]), "lat", "lon", "p")
     # Half a hundredth more than km, since distances are rounded.
@@ -184,33 +188,36 @@ def near_members(members: DataFrame, group: str, km: float, rows_per_task: int =
         .agg(F.ceil(F.count("*") / F.lit(rows_per_task)).cast("int").alias("_parts"))
         .filter(F.col("_parts") > 1)
     )
-    split = celled.join(crowded, cell, "left").withColumn(
-        "_part", F.pmod(F.xxhash64("user_id"), F.coalesce("_parts", F.lit(1)))
-    )
-    left = split.select(
-        *cell,
-        F.col("_part").cast("int").alias("_part"),
-        F.col("user_id").alias("user_left"),
-        F.col("lat").alias("_la"),
-        F.col("lon").alias("_lo"),
-    )
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-    right = (
-        _spread(celled)
-        .join(crowded, cell, "left")
-        .select(
-            *cell,
-            copies.alias("_part"),
-            F.col("user_id").alias("user_right"),
-            F.col("lat").alias("_ra"),
-            F.col("lon").alias("_ro"),
+    own = F.pmod(F.xxhash64("user_id"), F.coalesce("_parts", F.lit(1))).cast("int")
+    split = celled.join(crowded, cell, "left").withColumn("_own", own).drop("_parts")
+
+    def side(sign: int, user: str, lat: str, lon: str, mine: str, theirs: str) -> DataFrame:
+        """Rows for each visited neighbour, copied to the parts of that cell."""
+        there = [F.col(group), *[(F.col(f"_c{a}") + sign * F.col(f"_step.{a}")).alias(f"_c{a}") for a in _AXES]]
+        here = [F.col(f"_c{a}").alias(f"_h{a}") for a in _AXES]
+        steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(a) for a, v in zip(_AXES, step)]) for step in _VISITED]))
+        sent = split.withColumn("_step", steps).select(*there, *here, "_step", "_own", "user_id", "lat", "lon")
+        parts = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        first = "_h" if sign > 0 else "_c"  # both sides name the pair by its first cell
+        return sent.join(crowded, cell, "left").select(
+            group,
+            *[F.col(f"{first}{a}").alias(f"_a{a}") for a in _AXES],
+            "_step",
+            F.col("_own").alias(mine),
+            parts.alias(theirs),
+            F.col("user_id").alias(user),
+            F.col("lat").alias(lat),
+            F.col("lon").alias(lon),
         )
-    )
+
+    left = side(1, "_left", "_la", "_lo", "_p", "_q")
+    right = side(-1, "_right", "_ra", "_ro", "_q", "_p")
     away = haversine_km(F.col("_la"), F.col("_lo"), F.col("_ra"), F.col("_ro"))
+    same_cell = F.expr("_step.x = 0 AND _step.y = 0 AND _step.z = 0")
     return (
-        left.join(right, cell + ["_part"])
-        .filter(F.col("user_left") > F.col("user_right"))
+        left.join(right, [group, "_ax", "_ay", "_az", "_step", "_p", "_q"])
+        .filter((F.col("_left") > F.col("_right")) | (~same_cell & (F.col("_left") < F.col("_right"))))
         .withColumn("distance_km", F.round(away, 2))
         .filter(F.col("distance_km") <= km)
-        .select(group, "user_left", "user_right", "distance_km")
+        .select(group, F.greatest("_left", "_right").alias("user_left"), F.least("_left", "_right").alias("user_right"), "distance_km")
     )
