@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from martkit.llm.common import Staging
+from martkit.llm.tokens import by_bytes
 from martkit.operators.rank import global_row_number
 
 LENGTH, GRAM, WINDOW = 400, 12, 187
@@ -49,6 +50,10 @@ _SLICE = 1 << 21
 #: Bits of the filter that spares texts without candidates a shuffle, at most.
 _FILTER_BITS = 1 << 27
 _BUCKET_BITS = 15
+#: Bytes of text that a task takes apart at a time, or one text.
+_TEXT_BYTES = 4 << 20
+#: More phrases than any window has: no window begins with this one.
+_NEVER = 1 << 30
 
 
 # --- one text ----------------------------------------------------------------
@@ -101,8 +106,16 @@ def families_of(n: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return low, high, first, last
 
 
-def _parse(batches):
+def _slices(batches):
+    """Batches of a few megabytes of text, so that a task holds little at a time."""
     for batch in batches:
+        yield from by_bytes(batch, "raw", _TEXT_BYTES)
+
+
+def _parse(batches):
+    """Per text its symbols; how many of them begin within 400 bytes; and the
+    fewest that a window beginning there needs in common with another."""
+    for batch in _slices(batches):
         rows = []
         for key, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "raw"))):
             if len(text) < LENGTH:
@@ -111,16 +124,19 @@ def _parse(batches):
             symbols = np.array(phrases_of(text, anchors), np.int64)
             reach = np.searchsorted(anchors, anchors[:-1] + LENGTH) - np.arange(len(symbols))
             _, _, first, last = families_of(len(text), starts)
-            rows.append((key, doc_id, len(text), int((last - first).max()), symbols, reach.astype(np.int32)))
-        columns = list(zip(*rows)) or [()] * 6
+            need = np.full(len(anchors), _NEVER, np.int32)
+            np.minimum.at(need, first, (last - first).astype(np.int32))
+            rows.append((key, doc_id, len(text), int((last - first).max()), symbols, reach.astype(np.int32), need[:-1]))
+        columns = list(zip(*rows)) or [()] * 7
         ends = np.cumsum([0, *map(len, columns[4])]).astype(np.int32)
         flat = lambda parts, t: np.concatenate(parts) if parts else np.zeros(0, t)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()),
                 pa.ListArray.from_arrays(ends, flat(columns[4], np.int64)), pa.ListArray.from_arrays(ends, flat(columns[5], np.int32)),
+                pa.ListArray.from_arrays(ends, flat(columns[6], np.int32)),
             ],
-            names=["key", "doc_id", "n", "depth", "symbols", "reach"],
+            names=["key", "doc_id", "n", "depth", "symbols", "reach", "need"],
         )
 
 
@@ -250,21 +266,46 @@ def suffix_ranks(strings: DataFrame, depth: int, staging: Staging) -> DataFrame:
 
 def _candidates(batches):
     """Families whose run of phrases occurs elsewhere, by digests of the core and
-    of the context on either side."""
-    for batch in batches:
+    of the context on either side. Families that are equal within a text become
+    one row with their number ``n``, and rows without a core for the windows that
+    they cover."""
+    for batch in _slices(batches):
         rows = []
         for text_no, text, at, lcps in zip(*(batch.column(c).to_pylist() for c in ("text_no", "raw", "idx", "lcps"))):
             starts, anchors = anchors_of(text)
             common = np.zeros(len(anchors), np.int64)
-            common[np.array(at)] = lcps
+            np.maximum.at(common, np.array(at), np.array(lcps))
             low, high, first, last = families_of(len(text), starts)
             ok = common[first] >= last - first
+            same: dict[tuple, list] = {}
             for i, j, a, z in zip(low[ok].tolist(), high[ok].tolist(), anchors[first[ok]].tolist(), anchors[last[ok]].tolist()):
-                core = xxhash.xxh3_128_digest(text[a : z + GRAM])
-                rows.append((text_no, i, j, a, z, core, _signed(text[i:a]), _signed(text[z + GRAM : j + LENGTH])))
-        columns = list(zip(*rows)) or [()] * 8
-        types = [*[pa.int64()] * 5, pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["text_no", "i", "j", "a", "z", "core", "left", "right"])
+                key = (_digest(text[a : z + GRAM]), _signed(text[i:a]), _signed(text[z + GRAM : j + LENGTH]))
+                same.setdefault(key, []).append((i, j, a, z))
+            covered = []
+            for key, found in same.items():
+                rows.append((text_no, *found[0], *key, len(found)))
+                if len(found) > 1:
+                    covered += [f[:2] for f in found]
+            for i, j in _joined(covered):
+                rows.append((text_no, i, j, 0, 0, None, 0, 0, 0))
+        columns = list(zip(*rows)) or [()] * 9
+        types = [*[pa.int64()] * 5, pa.binary(), *[pa.int64()] * 3]
+        names = ["text_no", "i", "j", "a", "z", "core", "left", "right", "n"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+
+_digest = xxhash.xxh3_128_digest
+
+
+def _joined(ranges: list[tuple[int, int]]) -> list[list[int]]:
+    """Ranges of windows, joined where they touch."""
+    out: list[list[int]] = []
+    for i, j in sorted(ranges):
+        if out and i <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], j)
+        else:
+            out.append([i, j])
+    return out
 
 
 def _signed(raw: bytes) -> int:
@@ -275,7 +316,7 @@ def _signed(raw: bytes) -> int:
 def _surroundings(batches):
     """For a core with one left context the right one, with one right context the
     left one, reversed; for others the digest of each window."""
-    for batch in batches:
+    for batch in _slices(batches):
         rows = []
         for text_no, text, found in zip(*(batch.column(c).to_pylist() for c in ("text_no", "raw", "found"))):
             for f in found:
@@ -326,7 +367,7 @@ def _longest_common(rows: DataFrame, staging: Staging) -> DataFrame:
 
 def _removed(batches):
     """Covered bytes of every text: spans are joined, the rest is digested."""
-    for batch in batches:
+    for batch in _slices(batches):
         rows = []
         for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "raw", "spans"))):
             kept, done, gone, runs = hashlib.sha256(), 0, 0, 0
@@ -377,33 +418,35 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw")).withColumn("key", F.unhex(F.md5("raw")))
 
     # Distinct texts, as symbols.
-    fields = "key binary, doc_id long, n long, depth int, symbols array<long>, reach array<int>"
+    fields = "key binary, doc_id long, n long, depth int, symbols array<long>, reach array<int>, need array<int>"
     parsed = known.mapInArrow(_parse, fields)
     texts = parsed.groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("depth").alias("depth"),
-        F.first("symbols").alias("symbols"), F.first("reach").alias("reach"),
+        F.first("symbols").alias("symbols"), F.first("reach").alias("reach"), F.first("need").alias("need"),
     )
     texts = staging.keep(texts.withColumn("text_no", F.monotonically_increasing_id()), "texts")
     depth = texts.agg(F.max("depth")).first()[0] or 1
 
     # Strings of phrases that occur twice or more.
-    zipped = F.arrays_zip("symbols", "reach")
-    flat = texts.select("text_no", F.posexplode(zipped).alias("idx", "x")).select("text_no", "idx", F.col("x.symbols").alias("sym"), F.col("x.reach").alias("reach"))
+    zipped = F.arrays_zip("symbols", "reach", "need")
+    flat = texts.select("text_no", F.posexplode(zipped).alias("idx", "x")).select("text_no", "idx", F.col("x.symbols").alias("sym"), F.col("x.reach").alias("reach"), F.col("x.need").alias("need"))
     twice = flat.groupBy("sym").count().filter("count > 1").select("sym")
-    some = flat.join(twice, "sym").groupBy("text_no").agg(F.array_sort(F.collect_list(F.struct("idx", "sym", "reach"))).alias("x"))
-    strings = staging.keep(some.mapInArrow(_strings, "str long, s array<long>, idx array<int>, reach array<int>"), "strings")
+    some = flat.join(twice, "sym").groupBy("text_no").agg(F.array_sort(F.collect_list(F.struct("idx", "sym", "reach", "need"))).alias("x"))
+    strings = staging.keep(some.mapInArrow(_strings, "str long, s array<long>, idx array<int>, reach array<int>, need array<int>, sure array<int>, sure_lcp array<int>"), "strings")
     ranks = suffix_ranks(strings.select("str", "s"), depth, staging)
 
     # Neighbours in suffix order, and what prefix they share.
-    here = F.arrays_zip("s", "idx", "reach")
+    here = F.arrays_zip("s", "idx", "reach", "need")
     tails = strings.select("str", "s", F.posexplode(here).alias("at", "x")).filter("x.s <> 0")
-    tails = tails.select("str", F.col("at").cast("long").alias("at"), F.col("x.idx").alias("idx"), F.expr("slice(s, at + 1, x.reach)").alias("tail"))
+    tails = tails.select("str", F.col("at").cast("long").alias("at"), F.col("x.idx").alias("idx"), F.col("x.need").alias("need"), F.expr("slice(s, at + 1, x.reach)").alias("tail"))
     cut = F.array_position("tail", F.lit(0).cast("long"))
     tails = tails.withColumn("tail", F.when(cut == 0, F.col("tail")).otherwise(F.slice("tail", F.lit(1), (cut - 1).cast("int"))))
     near = with_neighbours(tails.join(ranks, ["str", "at"]), ["rank", "str", "at"], ["tail"], staging)
     lcp = F.greatest(_common_prefix("tail", "prev_tail"), _common_prefix("tail", "next_tail"))
-    shared = near.select(F.col("str").alias("text_no"), "idx", lcp.alias("lcp")).filter("lcp > 0")
+    shared = near.select(F.col("str").alias("text_no"), "idx", "need", lcp.alias("lcp")).filter("lcp >= need")
     shared = shared.groupBy("text_no").agg(F.collect_list("idx").alias("idx"), F.collect_list("lcp").alias("lcps"))
+    sure = strings.filter("size(sure) > 0").select(F.col("str").alias("text_no"), F.col("sure").alias("idx"), F.col("sure_lcp").alias("lcps"))
+    shared = shared.union(sure).groupBy("text_no").agg(F.flatten(F.collect_list("idx")).alias("idx"), F.flatten(F.collect_list("lcps")).alias("lcps"))
     shared = staging.keep(shared.join(texts.select("text_no", "key", "rep"), "text_no"), "shared")
 
     staging.drop(strings)
@@ -419,10 +462,12 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     fields = "text_no long, i long, j long, a long, z long, core binary, whole binary"
     if own.groupBy("text_no").count().filter("count > 1").limit(1).count():
         own = own.dropDuplicates(["text_no"])  # rows that are repeated with their id
-    fields = "text_no long, i long, j long, a long, z long, core binary, left long, right long"
-    families = staging.keep(own.mapInArrow(_candidates, fields), "families")
+    fields = "text_no long, i long, j long, a long, z long, core binary, left long, right long, n long"
+    found = staging.keep(own.mapInArrow(_candidates, fields), "families")
+    within = found.filter("core is null").select("text_no", "i", "j")
+    families = found.filter("core is not null")
     whole = ["core", "left", "right"]
-    groups = families.groupBy(*whole).agg(F.count("*").alias("n"), F.min(F.struct("text_no", "i", "j", "a", "z")).alias("f"))
+    groups = families.groupBy(*whole).agg(F.sum("n").alias("n"), F.min(F.struct("text_no", "i", "j", "a", "z")).alias("f"))
     groups = staging.keep(groups, "groups")
     full = families.join(groups.filter("n > 1").select(*whole), whole, "left_semi").select("text_no", "i", "j")
 
@@ -446,31 +491,47 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     again = windows.groupBy("core").count().filter("count > 1").select("core")
     single = windows.join(again, "core").select("text_no", "i", "j")
 
-    found = full.union(ends).union(single).select("text_no", F.col("i").alias("low"), (F.col("j") + LENGTH).alias("high"))
+    found = full.union(within).union(ends).union(single).select("text_no", F.col("i").alias("low"), (F.col("j") + LENGTH).alias("high"))
     copies = texts.filter("copies > 1").select("text_no", F.lit(0).cast("long").alias("low"), F.col("n").alias("high"))
     spans = found.union(copies).groupBy("text_no").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     spans = staging.keep(spans.join(texts.select("text_no", "key"), "text_no").select(F.col("key").alias("_key"), "spans"), "spans")
     may = _member_filter(spark, spans.select(F.xxhash64("_key").alias("h")))
     marked = known.withColumn("may", may.asNondeterministic()(F.xxhash64("key")))
     touched = marked.filter("may").join(spans.hint("merge"), F.col("key") == F.col("_key"), "left").select("doc_id", "raw", "spans")
-    clean = marked.filter("not may").select("doc_id", "raw", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return touched.union(clean).mapInArrow(_removed, fields)
+    none = F.lit(0).cast("long")
+    clean = marked.filter("not may").select(
+        "doc_id", F.octet_length("raw").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2("raw", 256).alias("kept_sha256")
+    )
+    return touched.mapInArrow(_removed, fields).union(clean)
 
 
 def _strings(batches):
-    """Repeated phrases of a text as one string, 0 where one is missing."""
+    """Repeated phrases of a text as one string, 0 where one is missing.
+
+    Of a long run of one symbol, as periodic texts have, only both ends stay: the
+    suffixes between are equal as far as 400 bytes reach, so their common prefix
+    is ``sure`` within the text, and one of them stands for all.
+    """
     for batch in batches:
-        names, out = [], [[], [], []]
+        names, out = [], [[] for _ in range(6)]
         for name, x in zip(batch.column("text_no").to_pylist(), batch.column("x").to_pylist()):
-            s, idx, reach, last = [], [], [], None
-            for e in x:
-                if last is not None and e["idx"] != last + 1:
-                    s.append(0), idx.append(-1), reach.append(0)
-                s.append(e["sym"]), idx.append(e["idx"]), reach.append(e["reach"])
-                last = e["idx"]
+            sym, idx, reach, need = (np.array([e[k] for e in x], np.int64) for k in ("sym", "idx", "reach", "need"))
+            new = np.append(True, (sym[1:] != sym[:-1]) | (idx[1:] != idx[:-1] + 1))
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(sym)) - 1
+            stay = np.ones(len(sym), bool)
+            sure = np.zeros(len(sym), bool)
+            for a, b in zip(first.tolist(), last.tolist()):
+                r = int(reach[a])
+                if b - a > 2 * r + 2:
+                    stay[a + r : b - r] = False
+                    sure[a : b - r] = True
+            known = np.flatnonzero(sure)
+            sym, idx, reach, need, tops, at = sym[stay], idx[stay], reach[stay], need[stay], reach[known], idx[known]
+            gaps = np.flatnonzero(idx[1:] != idx[:-1] + 1) + 1
             names.append(name)
-            for column, v in zip(out, (s, idx, reach)):
+            for column, v in zip(out, (np.insert(sym, gaps, 0), np.insert(idx, gaps, -1), np.insert(reach, gaps, 0), np.insert(need, gaps, 0), at, tops)):
                 column.append(v)
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([names, *out], types)], names=["str", "s", "idx", "reach"])
+        types = [pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([names, *out], types)], names=["str", "s", "idx", "reach", "need", "sure", "sure_lcp"])
