@@ -33,8 +33,8 @@ THRESHOLD = 0.9
 #: Pivots per vector, pivots that a pair has to share, and the most pivots: the
 #: bound of the sample and of what every task receives.
 NEAREST, SHARED, MOST_PIVOTS = 12, 3, 32_768
-#: Vectors of a list that are compared at a time, and bits of a pivot mask.
-CHUNK, MASK_WORDS = 1024, 4
+#: Vectors of a list, and pivots, that are compared at a time.
+CHUNK, PIVOT_SLICE = 1024, 1024
 
 
 def pivot_count(n: int) -> int:
@@ -78,16 +78,24 @@ def nearest(units: np.ndarray, pivots: np.ndarray, n: int = NEAREST) -> np.ndarr
     return out
 
 
-def _masks(described: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the pivots of each vector, and how many pivots share a bit: the
-    shared bits of two vectors, plus the lesser loss, bound their shared pivots."""
-    bits = MASK_WORDS * 64
-    mask = np.zeros((len(described), MASK_WORDS), np.uint64)
-    at = described % bits
-    for k in range(described.shape[1]):
-        mask[np.arange(len(mask)), at[:, k] // 64] |= np.uint64(1) << (at[:, k] % 64).astype(np.uint64)
-    lost = described.shape[1] - np.bitwise_count(mask).sum(axis=1, dtype=np.int16)
-    return mask, lost
+def _shared(described: np.ndarray, rows: np.ndarray, others: np.ndarray, below: int | None = None) -> np.ndarray:
+    """How many pivots each of ``rows`` shares with each of ``others``, or how
+    many with a number under ``below``: products of 0/1 matrices over a slice of
+    the pivots at a time."""
+    pivots, times = np.unique(described, return_counts=True)
+    pivots = pivots[(times > 1) & (pivots < (np.iinfo(np.int32).max if below is None else below))]
+    out = np.zeros((len(rows), len(others)), np.float32)
+    for s in range(0, len(pivots), PIVOT_SLICE):
+        some = pivots[s : s + PIVOT_SLICE]
+        parts = []
+        for own in (rows, others):
+            at = np.minimum(np.searchsorted(some, described[own]), len(some) - 1)
+            r, k = np.nonzero(some[at] == described[own])
+            named = np.zeros((len(own), len(some)), np.float32)
+            named[r, at[r, k]] = 1
+            parts.append(named)
+        out += parts[0] @ parts[1].T
+    return out
 
 
 def _meet(threshold: float, shared: int, width: int):
@@ -99,32 +107,21 @@ def _meet(threshold: float, shared: int, width: int):
         cls, weight = table.column("cls").to_numpy(), table.column("weight").to_numpy()
         units = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(cls), -1)
         described = np.frombuffer(b"".join(table.column("described").to_pylist()), np.int32).reshape(-1, width)
-        mask, lost = _masks(described)
         left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
         links, edges = np.zeros(len(cls), np.int64), []
-        for s in range(0, len(left), 128):
-            rows = left[s : s + 128]
-            count = np.zeros((len(rows), len(right)), np.int16)
-            for w in range(MASK_WORDS):
-                count += np.bitwise_count(mask[rows, None, w] & mask[None, right, w])
-            count += np.minimum(lost[rows, None], lost[None, right])
-            x, y = np.nonzero(count >= shared)
-            x, y = rows[x], right[y]
+        for s in range(0, len(left), 512):
+            rows = left[s : s + 512]
+            candidate = _shared(described, rows, right) >= shared
+            near = candidate & (units[rows] @ units[right].T >= threshold)
             if low == high:
-                x, y = x[x < y], y[x < y]
-            for a in range(0, len(x), 50_000):
-                p, q = x[a : a + 50_000], y[a : a + 50_000]
-                near = np.einsum("ij,ij->i", units[p], units[q]) >= threshold
-                p, q = p[near], q[near]
-                # The exact count, and the one list that counts the pair: the
-                # smallest pivot that both name.
-                same = described[p][:, :, None] == described[q][:, None, :]
-                least = np.where(same.any(axis=2), described[p], np.iinfo(np.int32).max).min(axis=1, initial=np.iinfo(np.int32).max)
-                ok = (same.sum(axis=(1, 2)) >= shared) & (least == pivot)
-                p, q = p[ok], q[ok]
-                np.add.at(links, p, weight[q])
-                np.add.at(links, q, weight[p])
-                edges += _forest(p, q)
+                near &= rows[:, None] < right[None, :]
+            if near.any():  # the list of the smallest pivot that both name counts the pair
+                near &= _shared(described, rows, right, pivot) == 0
+            x, y = np.nonzero(near)
+            x, y = rows[x], right[y]
+            np.add.at(links, x, weight[y])
+            np.add.at(links, y, weight[x])
+            edges += _forest(x, y)
         some = np.flatnonzero(links)
         ends = np.array(_forest(*np.array(edges, np.int64).reshape(-1, 2).T), np.int64).reshape(-1, 2)
         node = np.concatenate([cls[some], cls[ends[:, 0]]])
