@@ -43,8 +43,9 @@ class Encoder:
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self._whole("\n")
         self.mark = int(self._whole("\x01")[0])
-        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.opens, self.ends = np.zeros((2, self.tokenizer.get_vocab_size()), bool)
         for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
             self.opens[i] = token[0] in "ĠĊ"  # a space or a line break, as this vocabulary writes them
         self.known: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)
@@ -81,17 +82,22 @@ class Encoder:
         word opens with its space or line break, or a mark stands between."""
         self.known.update(dict.fromkeys(pieces, -1))
         new = [p for p in pieces if not self.spaced or self._plain(p)]
-        groups = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
+        # Without spaces in the vocabulary, a word of letters ends where a token does.
+        plain = [] if self.spaced else [p for p in new if p.isalpha()]
+        other = new if self.spaced else [p for p in new if not p.isalpha()]
+        groups = [(k, x[i : i + JOINED]) for k, x in ((True, plain), (False, other)) for i in range(0, len(x), JOINED)]
         if self.spaced:
-            texts = ["".join(p if p[0] == "\n" else " " + p for p in g) for g in groups]
+            texts = ["".join(p if p[0] == "\n" else " " + p for p in g) for _, g in groups]
         else:
-            texts = [" \x01 ".join(g) for g in groups]
+            texts = [(" " if k else " \x01 ").join(g) for k, g in groups]
         flats, starts, last = [self.flat], [self.starts], self.starts[-1]
         first = len(self.starts) - 1
-        for group, found in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        for (letters, group), found in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             ids = np.array(found.ids, np.uint32)
             if self.spaced:
                 edges = np.append(np.flatnonzero(self.opens[ids]), len(ids))
+            elif letters:  # each word has an end at least, so as many ends as words are one each
+                edges = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
             else:
                 at = np.flatnonzero(ids == self.mark)
                 edges = np.append(0, np.append(at, len(ids)) - np.arange(len(at) + 1))
