@@ -1,7 +1,8 @@
 """Near copies of vectors by a pivot-permutation index.
 
-A bounded sample of vectors serves as pivots. Each vector is described by its
-nearest pivots in order of nearness; inverted lists hold, per pivot, the vectors
+A bounded sample of vectors, thinned so that they lie apart, serves as pivots: a
+large group of near vectors has few of its own, which its members share. Each
+vector is described by its nearest pivots in order of nearness; inverted lists hold, per pivot, the vectors
 that name it. Pairs of a list that share enough pivots are verified by their
 cosine in double precision. A pair that shares t of L pivots meets in a list of
 the first L - t + 1 of either, by number of the pivot, so only those are listed.
@@ -42,6 +43,35 @@ def pivot_count(n: int) -> int:
     return int(min(MOST_PIVOTS, max(NEAREST, 2 * math.isqrt(n))))
 
 
+def _apart(sample: np.ndarray, least: float) -> np.ndarray:
+    """The rows of ``sample`` that have a cosine below ``least`` with every row
+    taken before them."""
+    taken = np.empty_like(sample)
+    n = 0
+    for s in range(0, len(sample), 256):
+        some = sample[s : s + 256]
+        some = some[(some @ taken[:n].T).max(axis=1, initial=-2) < least]
+        near, own = some @ some.T >= least, np.zeros(len(some), bool)
+        for i in range(len(some)):
+            own[i] = not (near[i] & own).any()
+        taken[n : n + own.sum()] = some[own]
+        n += own.sum()
+    return taken[:n]
+
+
+def thinned(sample: np.ndarray, threshold: float) -> np.ndarray:
+    """Pivots of a sample of unit vectors. Apart by twice the angle of a link, no
+    two lie in the group that one vector links with; where all vectors crowd in
+    one direction, so that this costs most of the pivots, they may be nearer."""
+    wide = max(-1.0, 2 * threshold * threshold - 1)
+    most = _apart(sample, threshold)
+    for least in (wide, (wide + threshold) / 2):
+        found = _apart(sample, least)
+        if 2 * len(found) >= len(most):
+            return found
+    return most
+
+
 def _unit(column: pa.Array) -> tuple[list[int], np.ndarray]:
     """Row numbers and unit vectors of the usable rows of a batch."""
     rows, out = [], []
@@ -147,7 +177,8 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, near: int = N
     classes = staging.keep(classes, "vector-classes")
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("cls"), "cls").select("unit").limit(pivot_count(n)).collect()
-    pivots = spark.sparkContext.broadcast(np.frombuffer(b"".join(r["unit"] for r in sample), np.float64).reshape(len(sample), dims))
+    sample = thinned(np.frombuffer(b"".join(r["unit"] for r in sample), np.float64).reshape(len(sample), dims), threshold)
+    pivots = spark.sparkContext.broadcast(sample)
     near = min(near, max(1, len(sample)))
     shared = min(shared, near)
 

@@ -11,6 +11,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -198,6 +199,45 @@ def test_recall_of_the_index_at_the_threshold(spark):
     assert 0.95 * true <= total <= true
 
 
+def _crowd(n: int, dims: int) -> np.ndarray:
+    """Unit vectors, a third of them around one centre at cosines of about 0.91
+    with each other; half of these pairs and more are links."""
+    chance = np.random.default_rng(n)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    units = unit(chance.normal(size=(n, dims)))
+    centre = units[:1].copy()
+    side = units[: n // 3]
+    side = unit(side[1:] - (side[1:] @ centre.T) * centre)
+    c = np.sqrt(chance.normal(0.91, 0.01, (len(side), 1)))
+    units[1 : n // 3] = c * centre + np.sqrt(1 - c * c) * side
+    return units[chance.permutation(n)]
+
+
+@pytest.mark.parametrize("dims", [64, 384])
+def test_recall_in_a_group_of_a_third(spark, dims):
+    """20,000 vectors, production parameters, against every pair."""
+    units = _crowd(20_000, dims)
+    true = np.concatenate([((units[s : s + 500] @ units.T) >= 0.9).sum(axis=1) for s in range(0, len(units), 500)]) - 1
+    data = pa.table({"vec_id": np.arange(len(units)), "embedding": pa.FixedSizeListArray.from_arrays(units.ravel(), dims).cast(pa.list_(pa.float64()))})
+    got = pivot_index.link_vectors(spark.createDataFrame(data).repartition(4)).select("vec_id", "n_links").toArrow()
+    found = np.zeros(len(units), np.int64)
+    found[got.column("vec_id").to_numpy()] = got.column("n_links").to_numpy()
+    recall = found.sum() / true.sum()
+    print(f"recall {recall:.5f} of {true.sum() // 2} links, {dims} dimensions")
+    assert true.sum() > 20_000_000 and recall >= 0.99 and (found <= true).all()
+
+
+def test_pivots_lie_apart_unless_all_vectors_do_not():
+    units = _crowd(3_000, 64)
+    near = lambda x: ((x @ x.T) - np.eye(len(x))).max()
+    few = pivot_index.thinned(units, 0.9)
+    assert near(few) < 0.62 and 1_900 < len(few) < 2_010
+    cone = np.concatenate([units, np.full((len(units), 1), 2.0)], axis=1) / np.sqrt(5)  # cosines of 0.8 about
+    some = pivot_index.thinned(cone, 0.9)
+    assert near(some) < 0.9 and len(some) > 900
+    assert len(pivot_index.thinned(units[:0], 0.9)) == 0
+
+
 def test_vector_query(spark):
     got = rows(queries.op1_pivot_index(spark, SF), "vec_id", "n_links", "component_id")
     assert got == cosine_groups([(i, list(v)) for i, v in sample("embeddings", "vec_id, embedding")])
