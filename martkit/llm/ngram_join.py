@@ -322,9 +322,11 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = profiles.groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("weight"))
     classes = staging.keep(classes, "classes")
 
-    # One profile a class: equal sets have equal profiles, whichever row it is.
-    firsts = profiles.join(classes, (profiles.cls == classes.cls) & (profiles.doc_id == classes.class_id))
-    firsts = firsts.select(classes.cls, "class_id", "weight", "sig", "bands")
+    # One profile a class, also where a row is repeated: equal sets have equal
+    # profiles, whichever row it is.
+    firsts = profiles.groupBy("cls").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("weight"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
+    )
     banded = firsts.select("cls", F.posexplode("bands").alias("band", "key"))
     member = F.xxhash64("cls", F.lit(1)).cast("decimal(38,0)")
     buckets = banded.groupBy("band", "key").agg(

@@ -141,6 +141,18 @@ def test_near_copies_edges(spark):
     assert ngram_join.similarity_join(df.limit(0)).count() == 0 and ngram_join.drop_near_copies(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("times", [10, 40])
+def test_a_repeated_row_counts_once_a_class(spark, times):
+    """The smallest id of a class, repeated with one text, beside two near copies."""
+    docs = []
+    for k in range(12):
+        words = prose(700 + k, 120).split()
+        near = [" ".join([*words[:at], "changed", *words[at + 1 :]]) for at in (20, 90)]
+        docs += [(10 * k, " ".join(words))] * times + [(10 * k + 1, near[0]), (10 * k + 2, near[1]), (10 * k + 3, " ".join(words))]
+    got = ngram_join.similarity_join(documents(spark, docs).repartition(4))
+    assert rows(got, "doc_id", "n_links", "component_id") == jaccard_groups(docs)
+
+
 def test_near_copies_query(spark):
     got = rows(queries.op9_ngram_join(spark, SF), "doc_id", "n_links", "component_id")
     assert got == jaccard_groups(sample("documents", "doc_id, text"))
