@@ -313,6 +313,12 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row per row of ``docs``: ``doc_id``, ``class_id`` (smallest id with the
     same shingles), ``n_links`` (other documents at least that similar),
     ``component_id`` (smallest id reachable by links), ``kept``."""
+    return _report(docs, threshold).select("doc_id", "class_id", "n_links", "component_id", "kept")
+
+
+def _report(docs: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``similarity_join`` with their class ``cls`` and ``root``, one
+    class of their group; both are null where nothing is compared."""
     spark = docs.sparkSession
     staging = Staging(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -383,26 +389,35 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = components(spark, edges).select(F.col("node").alias("cls"), "root")
     graph = classes.join(counts, "cls", "left").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = graph.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    graph = graph.join(least, "root").select("cls", "class_id", "component_id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    graph = graph.join(least, "root").select("cls", "root", "class_id", "component_id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     graph = staging.keep(graph, "graph")
-    found = profiles.select("doc_id", "cls").join(graph, "cls").drop("cls")
+    found = profiles.select("doc_id", "cls").join(graph, "cls")
     rest = slim.select("doc_id").join(found.select("doc_id").distinct(), "doc_id", "left_anti")
     alone = rest.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
-    whole = found.select("doc_id", "class_id", "n_links", "component_id").union(alone)
+    none = F.lit(None).cast("long")
+    whole = found.select("doc_id", "class_id", "n_links", "component_id", "cls", "root").union(alone.withColumns({"cls": none, "root": none}))
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` of which the smallest id of each group stays, with all
-    their columns. Of rows with one id the one with the smallest text stays;
-    rows without id all stay."""
-    report = Staging(docs.sparkSession).keep(similarity_join(docs, threshold), "near-copies")
-    gone = report.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
-    gone = gone.filter("doc_id is not null")
-    repeated = gone.filter("n > 1").limit(1).count() > 0
-    kept = docs.join(gone.filter("not kept").select(F.col("doc_id").alias("_gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    if not repeated:
+    their columns. An id that stands for several texts is judged by each of them;
+    of the rows with the smallest id of one group that with the smallest text
+    stays. Rows without id or without words all stay."""
+    staging = Staging(docs.sparkSession)
+    report = staging.keep(_report(docs, threshold), "near-copies")
+    key = F.col("doc_id").cast("long")
+    gone = report.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, key == F.col("_gone"), "left_anti")
+    several = docs.select(key.alias("_id")).filter("_id is not null").groupBy("_id").count().filter("count > 1").select("_id")
+    several = staging.keep(several, "repeated-ids")
+    if several.limit(1).count() == 0:
         return kept
+    kept = kept.join(several, key == F.col("_id"), "left_anti")
     whole = F.struct(F.col("text"), *[F.col(c) for c in docs.columns if c != "text"])
-    one = kept.filter("doc_id is not null").groupBy("doc_id").agg(F.min(whole).alias("row"))
-    return one.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]).union(kept.filter("doc_id is null"))
+    rows = docs.join(several, key == F.col("_id"), "left_semi")
+    rows = rows.select(key.alias("id"), _class_of.asNondeterministic()(F.col("text").cast("string")).alias("cls"), whole.alias("row"))
+    first = report.filter("kept and root is not null").select(F.col("doc_id").alias("id"), "cls", "root").distinct()
+    one = rows.join(first, ["id", "cls"]).groupBy("root").agg(F.min("row").alias("row")).select("row")
+    one = one.union(rows.filter("cls is null").select("row"))
+    return one.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]).union(kept)

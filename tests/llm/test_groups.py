@@ -153,6 +153,29 @@ def test_a_repeated_row_counts_once_a_class(spark, times):
     assert rows(got, "doc_id", "n_links", "component_id") == jaccard_groups(docs)
 
 
+def test_ids_with_several_texts_lose_near_copies_only(spark):
+    words = [prose(900 + k, 120).split() for k in range(5)]
+    near = lambda k: " ".join([*words[k][:60], "changed", *words[k][61:]])
+    whole = lambda k: " ".join(words[k])
+    clean = "zz " + prose(990, 80)  # after the other texts of its id
+    docs = [
+        (7, "zz " + whole(0)), (9, "zz " + near(0)),  # a group whose least id also stands for a near copy of 3
+        (3, "aa " + whole(1)), (7, "aa " + near(1)),
+        (7, clean), (7, clean), (7, ""), (7, None),
+        (5, whole(2)), (5, near(2)), (6, whole(2)),  # near copies under one id
+        (8, whole(3)), (8, whole(4)), (None, whole(3)),
+        (4, ""), (4, "aa " + whole(1)),
+    ]
+    df = documents(spark, docs, cls="x", root=1).repartition(3)
+    kept = ngram_join.drop_near_copies(df)
+    assert kept.columns == df.columns
+    want = [
+        (7, "zz " + whole(0)), (3, "aa " + whole(1)), (7, clean), (7, ""), (7, None), (5, min(whole(2), near(2))),
+        (8, whole(3)), (8, whole(4)), (None, whole(3)), (4, ""),
+    ]
+    assert rows(kept, "doc_id", "text") == sorted(want, key=repr)
+
+
 def test_near_copies_query(spark):
     got = rows(queries.op9_ngram_join(spark, SF), "doc_id", "n_links", "component_id")
     assert got == jaccard_groups(sample("documents", "doc_id, text"))
