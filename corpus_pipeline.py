@@ -14,7 +14,8 @@ from martkit.llm import ngram_join, personal_data, quality_rules, source_mix, wi
 from martkit.llm.common import Staging, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-#: Spans with a lower score than this stay in the text.
+#: Spans with a lower score than this stay in the text. It is the least that a
+#: confirmed span can have (an ip beside "section"), so all of them are masked.
 LEAST_SCORE = 0.4
 
 

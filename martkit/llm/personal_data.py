@@ -32,14 +32,14 @@ _IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-#: Score of a confirmed span, before the words around it count.
-SCORES = {"email": 0.9, "ip": 0.6, "card": 0.85, "phone": 0.7, "iban": 0.95}
+#: Score of a confirmed span in hundredths, before the words around it count.
+SCORES = {"email": 90, "ip": 60, "card": 85, "phone": 70, "iban": 95}
 _NEAR = 40
 _FOR = {
-    "email": ("mail", "contact", "write to"),
+    "email": ("mail", "email", "contact", "write to"),
     "ip": ("ip", "address", "server", "host", "login"),
     "card": ("card", "visa", "credit", "payment", "amex", "mastercard"),
-    "phone": ("phone", "tel", "call", "mobile", "fax", "contact"),
+    "phone": ("phone", "telephone", "tel", "call", "mobile", "fax", "contact"),
     "iban": ("iban", "bank", "account", "transfer"),
 }
 _AGAINST = {
@@ -51,6 +51,14 @@ _AGAINST = {
 }
 
 
+def _words(words: tuple[str, ...]) -> re.Pattern:
+    """Any of the words as a whole, also in the plural."""
+    return re.compile(rf"(?<![^\W\d_])(?:{'|'.join(words)})(?:e?s)?(?![^\W\d_])", re.IGNORECASE)
+
+
+_FOR_RE, _AGAINST_RE = ({k: _words(w) for k, w in x.items()} for x in (_FOR, _AGAINST))
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -110,10 +118,18 @@ def spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
-    """Confidence of a confirmed span: words within 40 characters speak for it
-    or against it."""
-    around = (text[max(0, start - _NEAR) : start] + " " + text[end : end + _NEAR]).lower()
-    return min(1.0, max(0.0, SCORES[kind] + 0.1 * any(w in around for w in _FOR[kind]) - 0.2 * any(w in around for w in _AGAINST[kind])))
+    """Confidence of a confirmed span: whole words within 40 characters speak for
+    it or against it. Counted in hundredths, so that sums are exact."""
+    first = max(0, start - _NEAR)
+    # One character more on either side tells where a word begins or ends.
+    skip = min(1, first)
+    before, after = text[first - skip : start], text[end : end + _NEAR + 1]
+
+    def beside(word: re.Pattern) -> bool:
+        m = word.search(after)
+        return bool(word.search(before, skip) or (m and m.end() <= _NEAR))
+
+    return min(100, max(0, SCORES[kind] + 10 * beside(_FOR_RE[kind]) - 20 * beside(_AGAINST_RE[kind]))) / 100
 
 
 def mask(text: str, found: list[tuple[str, int, int]]) -> str:

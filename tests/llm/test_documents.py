@@ -14,6 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from martkit.llm import packed_ids, personal_data, quality_rules, queries, shard_shuffle, source_mix, window_packing
 from martkit.llm.common import for_workers
 from martkit.llm.tokens import Encoder
@@ -141,6 +142,20 @@ def test_long_runs_take_linear_time():
         personal_data.spans(c * 200_000)
 
 
+def test_words_against_a_span_do_not_unmask_it(spark):
+    at = lambda text: personal_data.score(text, *personal_data.spans(text)[0])
+    assert [at(f"{w} 10.20.30.40 is it") for w in ("section", "Versions", "chapter", "intersection", "conversion", "of")] == [0.4, 0.4, 0.4, 0.6, 0.6, 0.6]
+    assert at("section of the server 10.20.30.40") == 0.5 and at("a ship 10.20.30.40") == 0.6
+    assert at("inter" + "section".ljust(40) + "10.20.30.40") == 0.6 and at("an " + "section".ljust(40) + "10.20.30.40") == 0.4
+    assert at("10.20.30.40" + "section".rjust(40)) == 0.4 == at("10.20.30.40" + "section".rjust(40) + " a")
+    assert at("10.20.30.40" + "section".rjust(40) + "al") == 0.6 == at("10.20.30.40" + "section".rjust(41))
+    least = min(personal_data.SCORES[k] - 20 for k in personal_data.KINDS) / 100
+    assert least == corpus_pipeline.LEAST_SCORE
+    df = documents(spark, [(1, "see section 10.20.30.40 there"), (2, "release 1.2.3.4"), (3, "at 1.2.3.4")])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.private_data(spark, df, SF).collect()}
+    assert got == {1: "see section <IP> there", 2: "release <IP>", 3: "at <IP>"}
+
+
 def test_personal_data_query(spark):
     docs = sample("documents", "doc_id, text")
     got = {r["doc_id"]: r for r in queries.op4_personal_data(spark, SF).collect()}
