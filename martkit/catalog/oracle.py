@@ -605,28 +605,64 @@ SELECT 'product' AS kind, {txt('user_id')} AS user_id, 'Item ' || k AS name, cou
 UNION ALL
 SELECT 'category', {txt('user_id')}, 'Category ' || (k % 10), count(*) FROM ol GROUP BY user_id, k % 10"""
 
-_STREAM_COUNTS = {
-    "raw": "SELECT count(*) FROM events",
-    "h_user": "SELECT count(DISTINCT user_id) FROM events",
-    "h_product": "SELECT count(DISTINCT k) FROM ol",
-    "h_category": "SELECT count(DISTINCT k % 10) FROM ol",
-    "h_restaurant": "SELECT count(DISTINCT event_type) FROM events",
-    "h_order": "SELECT count(*) FROM events",
-    "l_order_product": f"SELECT count(*) FROM (SELECT event_id, {K} AS k FROM events "
-    f"UNION SELECT event_id, ({K} + 50) % 100 FROM events)",
-    "l_product_restaurant": "SELECT count(*) FROM (SELECT DISTINCT event_type, k FROM ol)",
-    "l_product_category": "SELECT count(DISTINCT k) FROM ol",
-    "l_order_user": "SELECT count(*) FROM events",
-    "s_user_names": "SELECT count(DISTINCT user_id) FROM events",
-    "s_product_names": "SELECT count(DISTINCT k) FROM ol",
-    "s_restaurant_names": "SELECT count(DISTINCT event_type) FROM events",
-    "s_order_cost": "SELECT count(*) FROM events",
-    "s_order_status": "SELECT count(*) FROM events",
+_EVENT_KEYS = {
+    "user": txt("user_id"),
+    "product": txt("k"),
+    "category": "('Category ' || (k % 10))",
+    "restaurant": "event_type",
+    "order": txt("event_id"),
 }
-STREAM_VAULT = f"WITH {EVENT_LINES} " + " UNION ALL ".join(
-    f"SELECT '{name}' AS name, ({query}) AS n" for name, query in _STREAM_COUNTS.items()
+_EVENT_LINKS = {
+    "order_product": ("order", "product", ("order", "product")),
+    "product_restaurant": ("product", "restaurant", ("restaurant", "product")),
+    "product_category": ("product", "category", ("product", "category")),
+    "order_user": ("order", "user", ("order", "user")),
+}
+_EVENT_SATELLITES = {
+    "user_names": ("user", "('User ' || user_id || '|User ' || user_id)"),
+    "product_names": ("product", "('Item ' || k)"),
+    "restaurant_names": ("restaurant", "('Restaurant ' || event_type)"),
+    "order_cost": ("order", f"({txt(dec('value'))} || '|' || {txt(dec('value'))})"),
+    "order_status": ("order", "'CLOSED'"),
+}
+# Attributes never change, and slices come in the order of time: a key has its first row.
+STREAM_VAULT = f"""WITH e AS (SELECT event_id, ts, event_type, user_id, value, {K} AS k FROM events),
+l AS (SELECT * FROM e UNION ALL SELECT event_id, ts, event_type, user_id, value, (k + 50) % 100 FROM e)
+SELECT 'raw' AS name, {txt('event_id')} AS pk, {txt('ts')} AS content FROM events
+""" + "".join(
+    [f"UNION ALL SELECT 'h_{n}', {uuid5(key)}, {key} FROM l GROUP BY {key}\n" for n, key in _EVENT_KEYS.items()]
+    + [
+        f"UNION ALL SELECT 'l_{n}', {uuid5(' || chr(124) || '.join(_EVENT_KEYS[p] for p in parts))}, "
+        f"{uuid5(_EVENT_KEYS[a])} || '|' || {uuid5(_EVENT_KEYS[b])} FROM l GROUP BY {_EVENT_KEYS[a]}, {_EVENT_KEYS[b]}\n"
+        for n, (a, b, parts) in _EVENT_LINKS.items()
+    ]
+    + [
+        f"UNION ALL SELECT 's_{n}', {uuid5(_EVENT_KEYS[k])}, {attrs} || '|' || {txt('min(ts)')} || '|' || "
+        f"{uuid5(uuid5(_EVENT_KEYS[k]) + ' || chr(124) || ' + attrs)} FROM l GROUP BY {_EVENT_KEYS[k]}, {attrs}\n"
+        for n, (k, attrs) in _EVENT_SATELLITES.items()
+    ]
 )
 
+ARRIVED = """WITH f AS (
+  SELECT event_id, ts, (day(ts) - 1) // 6 + CASE WHEN event_id % 30 = 0 THEN 4 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS slot FROM events),
+a AS (SELECT event_id, ts, least(slot, 4) AS slot FROM (SELECT * FROM f UNION ALL SELECT event_id, ts, slot + 1 FROM f WHERE event_id % 7 = 0)),
+w AS (SELECT slot, (SELECT max(ts) FROM a b WHERE b.slot < s.slot) - INTERVAL 3 DAY AS mark FROM (SELECT DISTINCT slot FROM a) s)"""
+
+LATE_EVENTS = f"""{ARRIVED},
+t AS (SELECT event_id, ts, slot, coalesce(ts < mark, false) AS late FROM a JOIN w USING (slot))
+SELECT event_id, {big('slot')} AS batch, 'late' AS state FROM t WHERE late
+UNION ALL SELECT event_id, {big('min(slot)')}, 'kept' FROM t WHERE NOT late GROUP BY event_id, ts"""
+
+# Spark drops a row at its watermark as well, and keeps that in milliseconds.
+WATERMARK_DROPS = f"""{ARRIVED},
+t AS (SELECT event_id, coalesce(ts <= date_trunc('milliseconds', mark), false) AS late FROM a JOIN w USING (slot))
+SELECT 'dropped' AS what, count(*) AS n FROM t WHERE late
+UNION ALL SELECT 'kept', count(DISTINCT event_id) FROM t WHERE NOT late
+UNION ALL SELECT 'ids', count(DISTINCT event_id) FROM t WHERE NOT late"""
+
+HOT_EVENTS = "hot AS (SELECT event_id, ts, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events)"
+HOT_SATELLITE = LATE_SATELLITE.replace("FROM events", "FROM hot").replace("WITH\n", f"WITH {HOT_EVENTS},\n")
+
 ORACLE_SQL: dict[str, str] = {
     "rfm_segments": f"WITH {RFM} SELECT user_id, recency, frequency, monetary_value FROM scores",
     "rfm_recency_any": f"""WITH base AS (
@@ -757,4 +793,15 @@ FROM lineitem WINDOW w AS (PARTITION BY l_suppkey, l_returnflag)""",
     "stream_campaigns": CAMPAIGNS,
     "stream_counters": STREAM_COUNTERS,
     "stream_vault": STREAM_VAULT,
+    "interrupted_targets": "SELECT event_type, count(*) AS stored, count(*) AS sent, CAST(0 AS BIGINT) AS seen_before FROM events GROUP BY event_type",
+    "late_events": LATE_EVENTS,
+    "watermark_drops": WATERMARK_DROPS,
+    "stream_progress": "SELECT count(*) AS input_rows, true AS each_once, true AS more_than_remembered FROM events",
+    "monthly_accounts": f"""WITH {FX} SELECT strftime(dt, '%Y-%m') AS month, {big('currency')} AS currency_from,
+  count(DISTINCT account) AS cnt_accounts FROM trans GROUP BY 1, 2""",
+    "layout_join": f"""SELECT o_orderkey AS order_id, {big('any_value(o_custkey)')} AS user_id, count(*) AS n,
+  {dbl('sum(l_quantity)')} AS quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
+    "previous_events": f"""WITH {HOT_EVENTS} SELECT event_id, user_id, lag(event_id) OVER w AS before, lag(event_type) OVER w AS type_before,
+  lag(event_id) OVER w IS NOT NULL AS has_before FROM hot WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "hot_satellite": HOT_SATELLITE,
 }

@@ -6,6 +6,7 @@ double, dates and times as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,10 +19,12 @@ from martkit.functions.jsons import parse_json_column, split_corrupt, to_message
 from martkit.functions.keys import hash_key, uuid5_key
 from martkit.functions.temporal import in_days, on_day
 from martkit.operators.aggregates import duplicates, with_group_stat
+from martkit.operators.distinct import distinct_counts, id_bitmaps, united
 from martkit.operators.islands import islands
 from martkit.operators.joins import missing_from
+from martkit.operators.neighbours import with_previous
 from martkit.operators.pairs import undirected
-from martkit.operators.rank import global_ntile, global_row_number, top_n
+from martkit.operators.rank import global_ntile, global_row_number, surrogate_key, top_n
 from martkit.operators.spatial import near_pairs
 from martkit.plans import conversion, counters, fx_metrics, ledger, recommend, retention, rfm, shipping, travel, zones
 from martkit.plans import orders as order_plans
@@ -30,12 +33,16 @@ from martkit.plans.geo_dims import zones as zone_table
 from martkit.quality import checks as dq
 from martkit.quality.expectations import Expectations, split_violations
 from martkit.session import new_path, scratch, staged
-from martkit.sinks.files import SnapshotTable, append_batch, replace_partition, replace_values
-from martkit.sinks.merge import BucketedTable, CounterTable, KeyedTable, insert_missing
+from martkit.sinks.files import SnapshotTable, replace_partition, replace_values, write_layout
+from martkit.sinks.commits import CommitLog, compact, publish_batch
+from martkit.sinks.hashed import hashed_table
+from martkit.sinks.merge import CounterTable, KeyedTable, insert_missing
 from martkit.sources.files import load_csv_full
 from martkit.sources.streams import decode_json
 from martkit.streaming import campaigns, runner
 from martkit.streaming import orders as order_stream
+from martkit.streaming.lateness import deduplicating_sink
+from martkit.streaming.progress import ProgressTable
 from martkit.vault.loaders import load_satellite
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,10 +250,11 @@ def _event_rows(spark, sf) -> DataFrame:
 
 
 def upsert_latest(spark, sf) -> DataFrame:
-    """Two overlapping loads into a keyed table, the second one twice."""
+    """Two overlapping loads into a keyed table, the second one twice, while its
+    buckets split."""
     events = _event_rows(spark, sf)
-    target = BucketedTable(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
-    target.create(events.filter("ts < timestamp_ntz '2024-01-20'"))
+    target = hashed_table(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], limit=200, bits=0)
+    target.upsert(events.filter("ts < timestamp_ntz '2024-01-20'"))
     for _ in range(2):
         target.upsert(in_days(events, "ts", "2024-01-10"))
     return target.read().select(big("user_id"), "event_type", text("ts"), big("event_id"), num("value"))
@@ -295,8 +303,8 @@ def upsert_other_width(spark, sf) -> DataFrame:
     """The keyed table again, with keys of another integer width in the second
     load."""
     events = _event_rows(spark, sf)
-    target = BucketedTable(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
-    target.create(events.filter("ts < timestamp_ntz '2024-01-20'"))
+    target = hashed_table(spark, new_path(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"], limit=200)
+    target.upsert(events.filter("ts < timestamp_ntz '2024-01-20'"))
     target.upsert(in_days(events, "ts", "2024-01-10").withColumn("user_id", F.col("user_id").cast("int")))
     return target.read().select(big("user_id"), "event_type", text("ts"), big("event_id"), num("value"))
 
@@ -315,7 +323,10 @@ def emptied_day(spark, sf) -> DataFrame:
 def late_satellite(spark, sf) -> DataFrame:
     """Attributes that change, return, arrive late and arrive twice: half of the
     events first, then all of them, then all again."""
-    rows = r.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    return _late_loads(r.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id"))
+
+
+def _late_loads(rows: DataFrame) -> DataFrame:
     known = None
     for load in (rows.filter("event_id % 2 = 1"), rows, rows):
         fresh = load_satellite(
@@ -720,9 +731,51 @@ def transactions_without_rate(spark, sf) -> DataFrame:
     return lost.select("operation_id", big("currency_code"), big("amount"), text("transaction_dt"))
 
 
+def monthly_accounts(spark, sf) -> DataFrame:
+    """Accounts per month and currency, out of bitmaps stored by day."""
+    valid = r.transactions(spark, sf).filter((F.col("status") == "done") & (F.col("account_number_from") >= 0))
+    used = valid.select(F.to_date("transaction_dt").alias("day"), "currency_code", F.col("account_number_from").alias("account"))
+    numbers = surrogate_key(used.select("account").distinct(), "account", "number")
+    days = staged(id_bitmaps(used.join(numbers, "account"), ["day", "currency_code"], "number"), "day-bitmaps")
+    months = united(days.withColumn("month", F.date_format("day", "yyyy-MM")), ["month", "currency_code"])
+    counts = distinct_counts(months, ["month", "currency_code"], "cnt_accounts")
+    return counts.select("month", big("currency_code", "currency_from"), big("cnt_accounts"))
+
+
 # --- operators --------------------------------------------------------------
 
 
+def layout_join(spark, sf) -> DataFrame:
+    """Order lines by order from two tables laid out in the same buckets: no
+    shuffle between the files and the result."""
+    tag = uuid.uuid4().hex
+    names = {t: f"layout_{t}_{tag}" for t in ("orders", "lineitem")}
+    for t, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        write_layout(r.table(spark, sf, t), names[t], bucket_by=[key], sort_by=[key], buckets=16, path=new_path(spark, t))
+    orders, lines = (spark.table(names[t]) for t in ("orders", "lineitem"))
+    joined = orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    per_order = joined.groupBy("o_orderkey").agg(F.first("o_custkey").alias("user_id"), F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    return per_order.select(big("o_orderkey", "order_id"), big("user_id"), big("n"), num("quantity"))
+
+
+def previous_events(spark, sf) -> DataFrame:
+    """The event before each one of the same user, a third of all events being
+    of one user."""
+    events = r.table(spark, sf, "events").select("event_id", "ts", "event_type", _hot_user().alias("user_id"))
+    rows = with_previous(events, ["user_id"], ["ts", "event_id"], {"before": "event_id", "type_before": "event_type"})
+    return rows.select(big("event_id"), big("user_id"), big("before"), "type_before", F.col("_has_previous").alias("has_before"))
+
+
+def _hot_user() -> Column:
+    return F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+
+
+def hot_satellite(spark, sf) -> DataFrame:
+    """``late_satellite`` with a third of all rows under one key."""
+    rows = r.table(spark, sf, "events").select(_hot_user().alias("user_id"), "event_type", "ts", "event_id")
+    return _late_loads(rows)
+
+
 def row_numbers(spark, sf) -> DataFrame:
     numbered = global_row_number(r.orders(spark, sf).select("order_id", "cost"), ["cost", "order_id"])
     return numbered.select(big("order_id"), big("rn"))
@@ -927,11 +980,10 @@ def stream_campaigns(spark, sf) -> DataFrame:
     decoded = decode_json(messages, campaigns.CAMPAIGN)
     now = F.lit(CAMPAIGN_NOW)
     triggers = campaigns.campaign_triggers(decoded, r.subscribers(spark, sf), now)
-    root = new_path(spark, "campaigns")
-    feedback = lambda df, batch_id: append_batch(df, f"{root}/feedback", batch_id)
-    _run(triggers, runner.dual_sink(feedback, order_stream.message_files(f"{root}/messages")), spark, "campaigns")
-    sent = decode_json(spark.read.parquet(f"{root}/messages"), campaigns.CAMPAIGN + ", client_id string")
-    stored = spark.read.parquet(f"{root}/feedback").groupBy("adv_campaign_id", "client_id", "datetime_created").agg(
+    log = CommitLog(spark, new_path(spark, "campaigns"))
+    _run(triggers, runner.committed_sink(log, {"feedback": runner.feedback_target, "messages": runner.message_target}), spark, "campaigns")
+    sent = decode_json(log.read("messages"), campaigns.CAMPAIGN + ", client_id string")
+    stored = log.read("feedback").groupBy("adv_campaign_id", "client_id", "datetime_created").agg(
         F.count("*").alias("feedback_rows"), F.count("feedback").alias("feedback_filled")
     )
     return sent.join(stored, ["adv_campaign_id", "client_id", "datetime_created"]).select(
@@ -947,37 +999,68 @@ def stream_campaigns(spark, sf) -> DataFrame:
     )
 
 
-def _run_order_streams(spark, sf) -> dict:
-    """Three chained streams: raw and enriched orders, vault, counters."""
+def interrupted_targets(spark, sf) -> DataFrame:
+    """Two targets of one batch. The first attempt breaks off while the second
+    target is written, the next one succeeds, and the batch comes again."""
+    events = r.table(spark, sf, "events").select("event_id", "event_type")
+    log = CommitLog(spark, new_path(spark, "targets"))
+    broken = runner.message_target(events).withColumn("value", F.when(F.length("value") > 0, F.raise_error(F.lit("target is down"))))
+    seen = 0
+    try:
+        publish_batch(log, {"feedback": events, "messages": broken}, 0)
+    except Exception:
+        seen = sum(df.count() for name in ("feedback", "messages") if (df := log.read(name)) is not None)
+    write = runner.committed_sink(log, {"feedback": runner.feedback_target, "messages": runner.message_target})
+    for _ in range(2):
+        write(events, 0)
+    sent = decode_json(log.read("messages"), "event_id long, event_type string").groupBy("event_type").agg(F.count("*").alias("sent"))
+    stored = log.read("feedback").groupBy("event_type").agg(F.count("*").alias("stored"))
+    return stored.join(sent, "event_type").select("event_type", big("stored"), big("sent"), big(F.lit(seen), "seen_before"))
+
+
+def _run_order_streams(spark, sf, slices: int = 1) -> dict:
+    """Three chained streams: raw and enriched orders, vault, counters. The
+    events land in ``slices`` by time, each of which is a micro-batch."""
     root = new_path(spark, "orders")
     events = r.table(spark, sf, "events")
     raw = KeyedTable(spark, f"{root}/raw", "object_id", ["sent_dttm", "payload"])
-    keep, enrich = order_stream.raw_sink(raw), order_stream.enrich_sink(
-        r.event_users(events), r.event_restaurants(events), order_stream.message_files(f"{root}/stg"), f"{root}/rejected"
-    )
+    stg, dds = CommitLog(spark, f"{root}/stg"), CommitLog(spark, f"{root}/dds")
+    products = CounterTable(spark, f"{root}/products", ["id", "product_id"], "order_cnt", ["product_name"])
+    categories = CounterTable(spark, f"{root}/categories", ["id", "category_name"], "order_cnt")
+    keep, enrich = order_stream.raw_sink(raw), order_stream.enrich_sink(r.event_users(events), r.event_restaurants(events), stg)
+    load_ts = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    load = order_stream.vault_sink(dds, load_ts, limit=2000, bits=1, most_parts=4)
+    count = order_stream.counter_sink(products, categories)
 
     def staging(batch: DataFrame, batch_id: int) -> None:
         with scratch(batch, "micro-batch") as rows:
             keep(rows, batch_id)
             enrich(rows, batch_id)
 
-    _run(r.event_orders(_event_stream(spark, sf)), staging, spark, "stg")
-
-    value = "value string, batch_id bigint"
-    enriched = decode_json(spark.readStream.schema(value).parquet(f"{root}/stg"), _ENRICHED)
-    load_ts = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    _run(
-        enriched,
-        order_stream.vault_sink(f"{root}/vault", load_ts, order_stream.message_files(f"{root}/dds")),
-        spark,
-        "dds",
-    )
-
-    lines = decode_json(spark.readStream.schema(value).parquet(f"{root}/dds"), _PRODUCTS)
-    products = CounterTable(spark, f"{root}/products", ["id", "product_id"], "order_cnt", ["product_name"])
-    categories = CounterTable(spark, f"{root}/categories", ["id", "category_name"], "order_cnt")
-    _run(lines, order_stream.counter_sink(products, categories), spark, "cdm")
-    return {"raw": raw, "vault": f"{root}/vault", "products": products, "categories": categories}
+    # What the vault got last, for a repetition.
+    last = {}
+
+    def vault(batch: DataFrame, batch_id: int) -> None:
+        last.update(id=batch_id, version=stg.state()["version"])
+        load(decode_json(batch, _ENRICHED), batch_id)
+
+    for k in range(slices):
+        cut = F.floor((F.dayofmonth("ts") - 1) * slices / 31) == k
+        events.filter(cut).write.parquet(f"{root}/in/{k}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        runs = [
+            lambda c: runner.start(r.event_orders(stream), staging, c, available_now=True),
+            lambda c: runner.start_after(stg, "messages", vault, c, available_now=True),
+            lambda c: runner.start_after(dds, "messages", lambda b, i: count(decode_json(b, _PRODUCTS), i), c, available_now=True),
+        ]
+        for n, run in enumerate(runs):
+            run(f"{root}/checkpoint-{n}").awaitTermination()
+    if slices > 1:  # the last batch comes again, and the messages of all are gathered
+        again = stg.state(last["version"])["added"]["messages"]
+        load(decode_json(stg.open(again, stg.state()["tables"]["messages"]["schema"]), _ENRICHED), last["id"])
+        compact(dds, "messages")
+        raw.compact()
+    return {"raw": raw, "vault": dds, "products": products, "categories": categories}
 
 
 def restarted_counters(spark, sf) -> DataFrame:
@@ -1014,12 +1097,89 @@ def stream_counters(spark, sf) -> DataFrame:
 
 
 def stream_vault(spark, sf) -> DataFrame:
-    """Row counts of the raw table and of the 14 vault tables after the stream."""
-    tables = _run_order_streams(spark, sf)
-    counts = [tables["raw"].read().agg(F.count("*").alias("n")).select(F.lit("raw").alias("name"), big("n"))]
-    for name, df in order_stream.vault_tables(spark, tables["vault"]).items():
-        counts.append(df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), big("n")))
-    return r.union_all(counts)
+    """Rows of the raw table and of the 14 vault tables after five micro-batches,
+    a repetition of the last one and a compaction."""
+    tables = _run_order_streams(spark, sf, slices=5)
+    parents = {"l_order_product": ("h_order_pk", "h_product_pk"), "l_product_restaurant": ("h_product_pk", "h_restaurant_pk"),
+               "l_product_category": ("h_product_pk", "h_category_pk"), "l_order_user": ("h_order_pk", "h_user_pk")}
+    described = {"s_user_names": ["username", "userlogin"], "s_product_names": ["name"], "s_restaurant_names": ["name"],
+                 "s_order_cost": ["cost", "payment"], "s_order_status": ["status"]}
+    business = {"h_user": "user_id", "h_product": "product_id", "h_category": "category_name", "h_restaurant": "restaurant_id", "h_order": "order_id"}
+    shown = [tables["raw"].read().select(F.lit("raw").alias("name"), text("object_id", "pk"), text("sent_dttm", "content"))]
+    for name, df in order_stream.vault_tables(tables["vault"]).items():
+        columns = [business[name]] if name in business else [*parents[name]] if name in parents else [*described[name], "order_dt", f"hk_{name[2:]}_hashdiff"]
+        content = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        shown.append(df.select(F.lit(name).alias("name"), F.col(order_plans.VAULT_KEYS[name]).alias("pk"), content.alias("content")))
+    return r.union_all(shown)
+
+
+def _in_slots(spark, sf) -> DataFrame:
+    """Events in the micro-batch they arrive in, out of order: every tenth comes
+    one slot late, every thirtieth four, and every seventh comes again."""
+    events = r.table(spark, sf, "events").select("event_id", "ts")
+    due = F.floor((F.dayofmonth("ts") - 1) / 6)
+    behind = F.when(F.col("event_id") % 30 == 0, 4).when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    first = events.withColumn("slot", due + behind)
+    again = first.filter("event_id % 7 = 0").withColumn("slot", F.col("slot") + 1)
+    return first.unionByName(again).withColumn("slot", F.least("slot", F.lit(4)).cast("int"))
+
+
+def _land(df: DataFrame, folder: str, k: int) -> None:
+    df.filter(F.col("slot") == k).drop("slot").coalesce(1).write.parquet(f"{folder}/{k}")
+
+
+def late_events(spark, sf) -> DataFrame:
+    """Events that arrive out of order in five micro-batches: which are kept,
+    once each, and which come too late, three days being allowed."""
+    rows = staged(_in_slots(spark, sf), "slots")
+    root = new_path(spark, "late")
+    log = CommitLog(spark, f"{root}/log")
+    sink = deduplicating_sink(log, ["event_id", "ts"], "ts", 3 * 86400)
+    for k in range(5):
+        _land(rows, f"{root}/in", k)
+        stream = spark.readStream.schema("event_id long, ts timestamp_ntz").option("recursiveFileLookup", True).parquet(f"{root}/in")
+        runner.start(stream, sink, f"{root}/checkpoint", available_now=True).awaitTermination()
+    number = F.col("batch_id").bitwiseAND(F.lit((1 << 24) - 1)).alias("batch")
+    kept, late = log.read("kept"), log.read("late")
+    shown = [df.select(big("event_id"), number, F.lit(state).alias("state")) for df, state in ((kept, "kept"), (late, "late"))]
+    return r.union_all(shown)
+
+
+def watermark_drops(spark, sf) -> DataFrame:
+    """The same arrivals through Spark's own watermark and state: events kept,
+    and rows dropped as late in each micro-batch, as the listener wrote them."""
+    rows = staged(_in_slots(spark, sf), "slots")
+    root = new_path(spark, "drops")
+    log, name = CommitLog(spark, f"{root}/log"), f"drops-{root[-8:]}"
+    with ProgressTable(spark, f"{root}/progress", name) as progress:
+        for k in range(5):
+            _land(rows, f"{root}/in", k)
+            stream = spark.readStream.schema("event_id long, ts timestamp_ntz").option("recursiveFileLookup", True).parquet(f"{root}/in")
+            timed = stream.withColumn("at", F.col("ts").cast("timestamp")).drop("ts")
+            once = campaigns.dedup_stream(timed, ["event_id", "at"], "at", "3 days")
+            sink = runner.committed_sink(log, {"kept": lambda df: df})
+            runner.start(once, sink, f"{root}/checkpoint", available_now=True, name=name).awaitTermination()
+    dropped = progress.read().agg(F.sum("dropped_rows")).select(F.lit("dropped").alias("what"), big("sum(dropped_rows)", "n"))
+    kept = log.read("kept").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
+    return dropped.unionByName(kept.select(F.lit("kept").alias("what"), big("n"))).unionByName(kept.select(F.lit("ids").alias("what"), big("ids", "n")))
+
+
+def stream_progress(spark, sf) -> DataFrame:
+    """Progress of a stream of more micro-batches than Spark remembers."""
+    root = new_path(spark, "progress")
+    events = r.table(spark, sf, "events").select("event_id")
+    events.repartition(110, "event_id").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("event_id long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    name = f"progress-{root[-8:]}"
+    with ProgressTable(spark, f"{root}/progress", name) as progress:
+        sink = lambda df, _: df.write.format("noop").mode("overwrite").save()
+        runner.start(stream, sink, f"{root}/checkpoint", available_now=True, name=name).awaitTermination()
+    held = progress.read()
+    return held.agg(
+        F.sum("input_rows").cast("bigint").alias("input_rows"),
+        (F.countDistinct("batch_id") == F.count("*")).alias("each_once"),
+        (F.count("*") > 100).alias("more_than_remembered"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -1092,5 +1252,13 @@ QUERIES: dict[str, Query] = {
         stream_campaigns,
         stream_counters,
         stream_vault,
+        interrupted_targets,
+        late_events,
+        watermark_drops,
+        stream_progress,
+        monthly_accounts,
+        layout_join,
+        previous_events,
+        hot_satellite,
     ]
 }

@@ -72,15 +72,19 @@ def write_layout(
     sort_by: list[str] = (),
     buckets: int = 64,
     mode: str = "overwrite",
+    path: str | None = None,
 ) -> None:
     """Write with a physical layout (SNK-11).
 
-    With buckets the target is a table name, and later joins on the bucket
-    columns need no shuffle. Without, it is a path. Rows are gathered by the
+    With buckets the target is a table name, and joins of tables with the same
+    buckets on the bucket columns need no shuffle; the files go to ``path`` if it
+    is given. Without, the target is a path. Rows are gathered by the
     layout's columns first, so tasks do not each write a file per bucket.
     """
     if bucket_by:
         writer = df.hint("rebalance", *[F.col(c) for c in bucket_by]).write.mode(mode).format("parquet")
+        if path:  # outside the warehouse
+            writer = writer.option("path", path)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer = writer.bucketBy(buckets, *bucket_by)

@@ -8,9 +8,11 @@ from martkit.functions.temporal import active_at, local_time, on_day, since, who
 from martkit.functions.text import part
 from martkit.operators.aggregates import cross_tab, difference, duplicates, ordered_list, with_group_stat
 from martkit.operators.calendar import calendar
+from martkit.operators.distinct import distinct_counts, id_bitmaps, united
 from martkit.operators.islands import islands
 from martkit.operators.joins import join_by_day, left_keep, missing_from, outer_metrics, resolve_items
 from martkit.operators.latest import first, latest
+from martkit.operators.neighbours import with_previous
 from martkit.operators.pairs import in_same_group, undirected, without
 from tests.conftest import plan, rows
 
@@ -178,3 +180,23 @@ def test_pairs(spark):
     assert rows(without(pairs, pairs.filter("user_left = 3"))) == [(2, 1)]
     members = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (1, "z"), (2, "z")], "user_id int, g string")
     assert rows(in_same_group(pairs, members, "g")) == [(2, 1)]
+
+
+def test_the_row_before_spans_ranges(spark):
+    pairs = [("hot", i, i % 3) for i in range(500)] + [("a", 1, 7), ("b", None, 8), ("b", 2, 9), (None, 1, 1), (None, 2, 2)]
+    df = spark.createDataFrame(pairs, "k string, t int, v int").repartition(7)
+    got = {(r["k"], r["t"]): (r["w"], r["_has_previous"]) for r in with_previous(df, ["k"], ["t"], {"w": "v"}).collect()}
+    want, last = {}, {}
+    for k, t, v in sorted(pairs, key=lambda p: (p[0] or "", -1 if p[1] is None else p[1])):
+        want[(k, t)] = (last.get(k), k in last)
+        last[k] = v
+    assert got == want
+    assert "hashpartitioning(k" not in plan(with_previous(df, ["k"], ["t"], {"w": "v"}))
+    assert with_previous(df.limit(0), ["k"], ["t"], {"w": "v"}).count() == 0
+
+
+def test_bitmaps_count_exactly(spark):
+    df = spark.createDataFrame([("d1", 1), ("d1", 1), ("d1", 32768), ("d1", 32769), ("d2", 1), ("d2", 70000), ("d2", None)], "d string, n long")
+    days = id_bitmaps(df, ["d"], "n")
+    assert rows(distinct_counts(days, ["d"], "c")) == [("d1", 3), ("d2", 2)]
+    assert rows(distinct_counts(united(days.withColumn("m", F.lit("m")), ["m"]), ["m"], "c")) == [("m", 4)]

@@ -15,7 +15,8 @@ from martkit.sinks.files import (
     write_full,
     write_layout,
 )
-from martkit.sinks.merge import BucketedTable, CounterTable, accumulate, insert_missing, upsert
+from martkit.sinks.hashed import hashed_table
+from martkit.sinks.merge import CounterTable, accumulate, insert_missing, upsert
 from martkit.sources.files import (
     increment_path,
     load_csv_day,
@@ -27,7 +28,7 @@ from martkit.sources.files import (
 )
 from martkit.sources.jdbc import day_predicates
 from martkit.sources.streams import kafka_options
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def put(path, text):
@@ -115,19 +116,50 @@ def test_upsert_rules(spark):
     assert rows(upsert(got, new, "k", "t")) == rows(got)
 
 
-def test_bucketed_upsert_rewrites_touched_buckets_only(spark, tmp_path):
-    table = BucketedTable(spark, f"{tmp_path}/u", "k", "t", buckets=16)
-    table.create(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("t"), F.lit("old").alias("v")))
-    stamp = lambda: {
-        d: sorted(os.listdir(f"{tmp_path}/u/{d}")) for d in os.listdir(f"{tmp_path}/u") if d.startswith("key_bucket")
-    }
-    before = stamp()
-    for _ in range(2):
-        table.upsert(spark.createDataFrame([(5, 2, "new"), (5, 1, "older"), (100, 1, "added")], "k bigint, t int, v string"))
-    after = stamp()
-    assert sum(before[d] != after.get(d) for d in before) <= 2
+def test_an_upsert_opens_and_writes_touched_buckets_only(spark, tmp_path):
+    table = hashed_table(spark, f"{tmp_path}/u", "k", "t", bits=4, most_parts=3)
+    assert table.read() is None and table.near(spark.range(1), "id") is None
+    table.upsert(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("t"), F.lit("old").alias("v")))
+    parts = lambda: {p["path"] for p in table.log.state()["tables"]["rows"]["parts"]}
+    before = parts()
+    update = spark.createDataFrame([(5, 2, "new"), (5, 1, "older")], "k int, t int, v string")
+    table.upsert(update)
+    assert before < parts() and len(parts() - before) == 1  # one delta file, nothing rewritten
+    near = table.near(update)
+    opened = {f.split("_bucket=")[1].split("/")[0] for f in near.inputFiles()}
+    assert len(opened) == 1 and 1 < near.count() < 50
+    table.upsert(spark.createDataFrame([(100, 1, "added"), (6, 1, "tie")], "k bigint, t int, v string"))
     got = {r["k"]: r["v"] for r in table.read().collect()}
-    assert len(got) == 101 and got[5] == "new" and got[100] == "added" and got[6] == "old"
+    assert len(got) == 101 and got[5] == "new" and got[100] == "added" and got[6] == "tie" and got[7] == "old"
+    for _ in range(3):  # a bucket of many parts becomes one again
+        table.upsert(update)
+    counts = [sum(p["bucket"] == b for p in table.log.state()["tables"]["rows"]["parts"]) for b in table.buckets()]
+    assert max(counts) <= 3 and {r["k"]: r["v"] for r in table.read().collect()} == got
+
+
+def test_buckets_split_as_they_grow(spark, tmp_path):
+    table = hashed_table(spark, f"{tmp_path}/u", "k", "t", limit=100, bits=0)
+    numbers = lambda n, t: spark.range(n).select(F.col("id").alias("k"), F.lit(t).alias("t"))
+    table.upsert(numbers(80, 1))
+    assert table.buckets() == {"b": 80}
+    table.upsert(numbers(2000, 2))
+    sizes = table.buckets()
+    assert sum(sizes.values()) == 2000 and max(sizes.values()) <= 100 and table.read().filter("t = 2").count() == 2000
+    # Rows of one key cannot be split, and are not tried again.
+    log = hashed_table(spark, f"{tmp_path}/one", "k", None, limit=10, bits=1)
+    log.upsert(spark.range(50).select(F.lit(1).alias("k"), "id"))
+    versions = log.log.versions()
+    log.maintain()
+    assert log.read().count() == 50 and log.log.versions() == versions
+
+
+def test_tables_in_the_same_buckets_join_without_a_shuffle(spark, tmp_path):
+    for name in ("left_side", "right_side"):
+        write_layout(spark.range(1000).select("id", F.lit(name).alias(name)), name, bucket_by=["id"], sort_by=["id"], buckets=4, path=f"{tmp_path}/{name}")
+    joined = spark.table("left_side").join(spark.table("right_side").hint("merge"), "id").groupBy("id").count()
+    assert "Exchange" not in plan(joined) and joined.count() == 1000
+    for name in ("left_side", "right_side"):
+        spark.sql(f"drop table {name}")
 
 
 def test_insert_missing_keeps_the_first(spark):
