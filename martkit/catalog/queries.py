@@ -112,13 +112,14 @@ def _shipping(spark, sf) -> dict[str, DataFrame]:
     # The joined log feeds three dimensions and two facts: write it down once.
     log = staged(r.shipping_log(spark, sf), "shipping-log")
     countries, kinds = shipping.country_rates(log), shipping.transfers(log)
+    ships = staged(shipping.shipments(log, r.LOG_TIE), "shipments")
     return {
         "log": log,
         "countries": countries,
         "transfers": kinds,
         "agreements": shipping.agreements(log),
-        "info": shipping.shipping_info(log, countries, kinds),
-        "status": shipping.shipping_status(log, r.LOG_TIE),
+        "shipments": ships,
+        "info": shipping.shipping_info(ships, countries, kinds),
     }
 
 
@@ -147,7 +148,7 @@ def shipping_status(spark, sf) -> DataFrame:
 
 def _shipping_mart(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:
     t = _shipping(spark, sf)
-    return shipping.shipping_mart(t["info"], t["status"], t["countries"], t["transfers"], t["agreements"]), t
+    return shipping.shipping_mart(t["shipments"], t["countries"], t["transfers"], t["agreements"]), t
 
 
 def shipping_mart(spark, sf) -> DataFrame:

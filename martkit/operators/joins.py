@@ -46,33 +46,34 @@ def resolve_items(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Orders with ``restaurant_name`` and with name and category of each line
     from the restaurant's menu (JN-21).
 
-    A menu is reduced to its first entry per item id by an aggregation, then
-    joined once per order and searched in place, so lines are neither exploded
-    nor gathered again. ``unresolved`` is the number of lines not on the menu.
+    Lines meet menu entries by restaurant and item, so a menu never travels with
+    an order and a large restaurant is spread by its items; the lines of an
+    order are then gathered in their order. Of several entries of one item the
+    first counts. ``unresolved`` is the number of lines not on the menu.
     """
-    items = restaurants.select(
-        F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.posexplode_outer("menu").alias("_at", "_item")
+    kept = [c for c in orders.columns if c != "order_items"]
+    entries = (
+        restaurants.select(F.col("id").alias("restaurant_id"), F.posexplode("menu").alias("_place", "_entry"))
+        .groupBy("restaurant_id", F.col("_entry._id").alias("_id"))
+        .agg(F.min_by(F.struct("_entry.name", "_entry.category"), "_place").alias("_shown"))
     )
-    shown = F.struct(F.col("_item.name").alias("name"), F.col("_item.category").alias("category"))
-    first = items.groupBy("restaurant_id", "restaurant_name", F.col("_item._id").alias("_id")).agg(F.min_by(shown, "_at").alias("_shown"))
-    entry = F.when(F.col("_id").isNotNull(), F.struct("_id", "_shown"))
-    menus = first.groupBy("restaurant_id", "restaurant_name").agg(F.map_from_entries(F.collect_list(entry)).alias("_menu"))
-
-    def named(line: Column) -> Column:
-        entry = F.try_element_at("_menu", line["id"])
-        return F.struct(
-            line["id"].alias("id"),
-            line["price"].alias("price"),
-            line["quantity"].alias("quantity"),
-            entry["name"].alias("name"),
-            entry["category"].alias("category"),
-        )
-
-    products = F.transform("order_items", named)
+    lines = orders.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", *kept, F.col("order_items").isNull().alias("_none"), F.posexplode_outer("order_items").alias("_at", "_line")
+    )
+    product = F.struct("_line.id", "_line.price", "_line.quantity", "_shown.name", "_shown.category")
+    line = F.when(F.col("_at").isNotNull(), F.struct("_at", product.alias("product")))
+    gathered = (
+        lines.withColumn("_id", F.col("_line.id"))
+        .join(entries, ["restaurant_id", "_id"], "left")
+        .groupBy("_row")
+        .agg(*[F.first(c).alias(c) for c in [*kept, "_none"]], F.array_sort(F.collect_list(line)).alias("_lines"))
+    )
+    products = F.when(~F.col("_none"), F.transform("_lines", lambda x: x["product"]))
     lost = F.size(F.filter("products", lambda p: p["name"].isNull()))
+    names = restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name")).distinct()
     return (
-        orders.join(menus, "restaurant_id", "left")
-        .withColumn("products", products)
+        gathered.withColumn("products", products)
         .withColumn("unresolved", F.when(F.col("products").isNull(), 0).otherwise(lost))
-        .drop("_menu", "order_items")
+        .join(names, "restaurant_id", "left")
+        .select(*kept, "restaurant_name", "products", "unresolved")
     )

@@ -10,6 +10,8 @@ from martkit.functions.text import part
 from martkit.operators.rank import surrogate_key
 
 RATE = "decimal(14,3)"
+BOOKED, RECEIVED = "booked", "recieved"  # Fixed values: states as the sources spell them.
+MILESTONES = ("shipping_start_fact_datetime", "shipping_end_fact_datetime")
 
 
 def country_rates(log: DataFrame) -> DataFrame:
@@ -50,15 +52,12 @@ def transfers(log: DataFrame) -> DataFrame:
     return surrogate_key(kinds, ["transfer_type", "transfer_model", "shipping_transfer_rate"], "transfer_type_id")
 
 
-def shipping_info(log: DataFrame, countries: DataFrame, transfer_kinds: DataFrame) -> DataFrame:
-    """Distinct shipments with dimension keys (M-8).
-
-    Looked up by name and rate, so a changed rate does not multiply rows. Log
-    rows are reduced to shipments before the lookups.
-    """
+def shipments(log: DataFrame, tie=("id",), booked: str = BOOKED, received: str = RECEIVED) -> DataFrame:
+    """What the log says of each shipment, in one aggregation: its terms (a row
+    for each distinct set of them), last state, first booking and last receipt.
+    Facts and mart are made from it, so the log is shuffled once."""
     transfer, agreement = F.col("shipping_transfer_description"), F.col("vendor_agreement_description")
-    shipments = log.select(
-        "shippingid",
+    terms = F.struct(
         "shipping_plan_datetime",
         "payment_amount",
         "vendorid",
@@ -68,54 +67,64 @@ def shipping_info(log: DataFrame, countries: DataFrame, transfer_kinds: DataFram
         part(transfer, 2).alias("transfer_model"),
         "shipping_transfer_rate",
         part(agreement, 1, as_type="bigint").alias("agreementid"),
-    ).distinct()
-    return (
-        shipments.join(countries, ["shipping_country", "shipping_country_base_rate"], "left")
-        .join(transfer_kinds, ["transfer_type", "transfer_model", "shipping_transfer_rate"], "left")
-        .select(
-            "shippingid",
-            "shipping_plan_datetime",
-            "payment_amount",
-            "vendorid",
-            "shipping_country_id",
-            "transfer_type_id",
-            "agreementid",
-        )
+    )
+    facts = log.groupBy("shippingid").agg(F.collect_set(terms).alias("_terms"), *_milestones(tie, booked, received))
+    return facts.select("*", F.explode("_terms").alias("_t")).select("shippingid", "_last.*", *MILESTONES, "_t.*")
+
+
+def shipping_info(ships: DataFrame, countries: DataFrame, transfer_kinds: DataFrame) -> DataFrame:
+    """Distinct shipments with dimension keys (M-8).
+
+    Looked up by name and rate, so a changed rate does not multiply rows.
+    """
+    return _with_keys(ships, countries, transfer_kinds).select(
+        "shippingid",
+        "shipping_plan_datetime",
+        "payment_amount",
+        "vendorid",
+        "shipping_country_id",
+        "transfer_type_id",
+        "agreementid",
+    )
+
+
+def _with_keys(ships: DataFrame, countries: DataFrame, transfer_kinds: DataFrame) -> DataFrame:
+    return ships.join(countries, ["shipping_country", "shipping_country_base_rate"], "left").join(
+        transfer_kinds, ["transfer_type", "transfer_model", "shipping_transfer_rate"], "left"
     )
 
 
-def shipping_status(log: DataFrame, tie=("id",), booked: str = "booked", received: str = "recieved") -> DataFrame:
+def shipping_status(log: DataFrame, tie=("id",), booked: str = BOOKED, received: str = RECEIVED) -> DataFrame:
     """Last state with first booking and last receipt, in one aggregation (M-9)."""
+    facts = log.groupBy("shippingid").agg(*_milestones(tie, booked, received))
+    return facts.select("shippingid", "_last.*", *MILESTONES)
+
+
+def _milestones(tie, booked: str, received: str) -> list:
     at = F.col("state_datetime")
-    last = F.max_by(F.struct("status", "state"), F.struct("state_datetime", *tie))
-    return (
-        log.groupBy("shippingid")
-        .agg(
-            last.alias("_last"),
-            F.min(F.when(F.col("state") == booked, at)).alias("shipping_start_fact_datetime"),
-            F.max(F.when(F.col("state") == received, at)).alias("shipping_end_fact_datetime"),
-        )
-        .select("shippingid", "_last.*", "shipping_start_fact_datetime", "shipping_end_fact_datetime")
-    )
+    return [
+        F.max_by(F.struct("status", "state"), F.struct("state_datetime", *tie)).alias("_last"),
+        F.min(F.when(F.col("state") == booked, at)).alias(MILESTONES[0]),
+        F.max(F.when(F.col("state") == received, at)).alias(MILESTONES[1]),
+    ]
 
 
-def shipping_mart(
-    info: DataFrame, status: DataFrame, countries: DataFrame, transfer_kinds: DataFrame, agreement_terms: DataFrame
-) -> DataFrame:
+def shipping_mart(ships: DataFrame, countries: DataFrame, transfer_kinds: DataFrame, agreement_terms: DataFrame) -> DataFrame:
     """Delay, completion, VAT and profit per shipment (M-10)."""
     start, end = F.col("shipping_start_fact_datetime"), F.col("shipping_end_fact_datetime")
     plan = F.col("shipping_plan_datetime")
     late = end > plan
-    tax = F.col("shipping_country_base_rate") + F.col("agreement_rate") + F.col("shipping_transfer_rate")
+    # Rates count where the dimension has them.
+    base = F.when(F.col("shipping_country_id").isNotNull(), F.col("shipping_country_base_rate"))
+    transfer = F.when(F.col("transfer_type_id").isNotNull(), F.col("shipping_transfer_rate"))
+    tax = base + F.col("agreement_rate") + transfer
     return (
-        info.join(transfer_kinds, "transfer_type_id", "left")
-        .join(status, "shippingid", "left")
-        .join(countries, "shipping_country_id", "left")
+        _with_keys(ships, countries, transfer_kinds)
         .join(agreement_terms, "agreementid", "left")
         .select(
             "shippingid",
             "vendorid",
-            "transfer_type",
+            F.when(F.col("transfer_type_id").isNotNull(), F.col("transfer_type")).alias("transfer_type"),
             whole_days(end, start).alias("full_day_at_shipping"),
             F.when(late, 1).otherwise(0).alias("is_delay"),
             F.when(F.col("status") == "finished", 1).otherwise(0).alias("is_shipping_finish"),

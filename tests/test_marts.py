@@ -93,10 +93,12 @@ def test_shipping_mart(spark):
     log = shipping_log(spark)
     countries, kinds, terms = shipping.country_rates(log), shipping.transfers(log), shipping.agreements(log)
     assert countries.count() == 2 and kinds.count() == 1 and terms.count() == 1
-    info = shipping.shipping_info(log, countries, kinds)
+    ships = shipping.shipments(log)
+    info = shipping.shipping_info(ships, countries, kinds)
     assert info.count() == 3  # two rates of one country do not multiply shipments
     status = shipping.shipping_status(log)
-    mart = shipping.shipping_mart(info, status, countries, kinds, terms)
+    assert rows(ships.select(*status.columns)) == rows(status)
+    mart = shipping.shipping_mart(ships, countries, kinds, terms)
     got = {r["shippingid"]: r for r in mart.collect()}
     assert (got[1]["is_delay"], got[1]["delay_day_at_shipping"], got[1]["full_day_at_shipping"]) == (1, 2, 10)
     assert (got[2]["is_delay"], got[2]["is_shipping_finish"], got[2]["full_day_at_shipping"]) == (0, 1, 4)
