@@ -351,8 +351,7 @@ placed AS (
     FROM geo g CROSS JOIN cities c WHERE kind = 'message') WHERE rn = 1)"""
 
 
-def travel(home: str) -> str:
-    return f"""WITH {GEO},
+STAYS = f"""{GEO},
 marked AS (
   SELECT *, CASE WHEN city <> lag(city) OVER w THEN 1 ELSE 0 END AS moved FROM placed
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -361,7 +360,20 @@ numbered AS (
 stays AS (
   SELECT user_id, island, city, min(ts) AS first_at, max(ts) AS last_at,
          date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) >= 27 AS long
-  FROM numbered GROUP BY 1, 2, 3),
+  FROM numbered GROUP BY 1, 2, 3)"""
+
+TRAVEL_CHUNKS = f"""WITH {STAYS} SELECT user_id, {big('island // 5')} AS chunk, count(*) AS n, string_agg(city, '>' ORDER BY island) AS cities
+FROM stays GROUP BY user_id, island // 5"""
+
+MANY_CENTERS = f"""WITH c AS (SELECT c_custkey AS id, (c_custkey * 3571 + 7) % 7000 / 100.0 - 10 AS lat, (c_custkey * 9241 + 5) % 12000 / 100.0 - 20 AS lon FROM customer),
+p AS (SELECT DISTINCT o_orderkey // 3 AS k, (o_orderkey // 3 * 6151 + 3) % 17000 / 100.0 - 85 AS lat, (o_orderkey // 3 * 15485 + 11) % 36000 / 100.0 - 180 AS lon FROM orders),
+d AS (SELECT p.k, c.id, {haversine('p.lat', 'p.lon', 'c.lat', 'c.lon')} AS km FROM p CROSS JOIN c),
+best AS (SELECT k, min(km) AS km, arg_min(id, (km, id)) AS id FROM d GROUP BY k)
+SELECT o_orderkey AS order_id, id AS city_id, round(km, 3) AS distance_km FROM orders JOIN best ON k = o_orderkey // 3"""
+
+
+def travel(home: str) -> str:
+    return f"""WITH {STAYS},
 people AS (
   SELECT user_id, max(island) AS travel_count, arg_max(city, island) AS act_city, arg_max(long, island) AS now_long,
          arg_max(city, island) FILTER (WHERE long) AS last_home, max(last_at) AS utc,
@@ -660,6 +672,20 @@ SELECT 'dropped' AS what, count(*) AS n FROM t WHERE late
 UNION ALL SELECT 'kept', count(DISTINCT event_id) FROM t WHERE NOT late
 UNION ALL SELECT 'ids', count(DISTINCT event_id) FROM t WHERE NOT late"""
 
+CHAT_STAGING = f"""WITH {COMMUNITY},
+g AS (SELECT *, admin_id IN (SELECT id FROM users) AS ok FROM grps),
+d AS (SELECT *, concat_ws(',',
+    CASE WHEN message_from NOT IN (SELECT id FROM users) THEN 'references:message_from' END,
+    CASE WHEN message_to NOT IN (SELECT id FROM users) THEN 'references:message_to' END,
+    CASE WHEN message_group IS NOT NULL AND message_group NOT IN (SELECT id FROM g WHERE ok) THEN 'references:message_group' END) AS why FROM dialogs),
+l AS (SELECT concat_ws(',',
+    CASE WHEN group_id NOT IN (SELECT id FROM g WHERE ok) THEN 'references:group_id' END,
+    CASE WHEN user_id NOT IN (SELECT id FROM users) THEN 'references:user_id' END) AS why FROM glog)
+SELECT 'users' AS name, 'kept' AS state, count(*) AS n FROM users
+UNION ALL SELECT 'groups', CASE WHEN ok THEN 'kept' ELSE 'references:admin_id' END, count(*) FROM g GROUP BY ok
+UNION ALL SELECT 'dialogs', CASE WHEN why = '' THEN 'kept' ELSE why END, count(*) FROM d GROUP BY why
+UNION ALL SELECT 'group_log', CASE WHEN why = '' THEN 'kept' ELSE why END, count(*) FROM l GROUP BY why"""
+
 HOT_EVENTS = "hot AS (SELECT event_id, ts, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events)"
 HOT_SATELLITE = LATE_SATELLITE.replace("FROM events", "FROM hot").replace("WITH\n", f"WITH {HOT_EVENTS},\n")
 
@@ -797,6 +823,21 @@ FROM lineitem WINDOW w AS (PARTITION BY l_suppkey, l_returnflag)""",
     "late_events": LATE_EVENTS,
     "watermark_drops": WATERMARK_DROPS,
     "stream_progress": "SELECT count(*) AS input_rows, true AS each_once, true AS more_than_remembered FROM events",
+    "daily_increments": f"""SELECT strftime(o_orderdate, '%Y-%m-%d') AS ds, o_orderstatus AS status, count(*) AS n, {dbl(f"sum({dec('o_totalprice')})")} AS cost
+FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-15' AND DATE '1997-01-17' GROUP BY 1, 2""",
+    "day_csv": f"""WITH d AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1997-01-15')
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 <> 0 THEN {dbl(dec('o_totalprice'))} END AS cost, o_orderstatus AS status FROM d WHERE o_orderkey % 7 <> 0
+UNION ALL SELECT count(*), NULL, 'rejected' FROM d WHERE o_orderkey % 7 = 0""",
+    "reference_menus": f"""WITH {EVENT_LINES} SELECT DISTINCT event_type AS id, 'Restaurant ' || event_type AS name, {txt('k')} AS item,
+  'Category ' || (k % 10) AS category FROM ol""",
+    "rolling_days": f"SELECT o_orderkey AS order_id, {txt('o_orderdate')} AS order_ts FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-02 12:00:00'",
+    "appended_views": f"""SELECT o_orderstatus AS status, count(*) AS n, {big("CASE WHEN o_orderstatus = 'F' THEN 2 * count(*) END")} AS added
+FROM orders GROUP BY o_orderstatus""",
+    "chat_staging": CHAT_STAGING,
+    "travel_chunks": TRAVEL_CHUNKS,
+    "nearest_of_many": MANY_CENTERS,
+    "split_pages": f"""SELECT event_type, count(*) AS n, {big('sum(event_id)')} AS ids, {big(f'sum({K})')} AS ks FROM events WHERE event_id % 50 <> 0 GROUP BY 1
+UNION ALL SELECT 'broken ' || event_type, count(*), 0, 0 FROM events WHERE event_id % 50 = 0 GROUP BY event_type""",
     "monthly_accounts": f"""WITH {FX} SELECT strftime(dt, '%Y-%m') AS month, {big('currency')} AS currency_from,
   count(DISTINCT account) AS cnt_accounts FROM trans GROUP BY 1, 2""",
     "layout_join": f"""SELECT o_orderkey AS order_id, {big('any_value(o_custkey)')} AS user_id, count(*) AS n,

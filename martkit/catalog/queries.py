@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from martkit.catalog import readings as r
 from martkit.functions.jsons import parse_json_column, split_corrupt, to_message
 from martkit.functions.keys import hash_key, uuid5_key
-from martkit.functions.temporal import in_days, on_day
+from martkit.functions.temporal import in_days, on_day, since
 from martkit.operators.aggregates import duplicates, with_group_stat
 from martkit.operators.distinct import distinct_counts, id_bitmaps, united
 from martkit.operators.islands import islands
@@ -25,19 +25,21 @@ from martkit.operators.joins import missing_from
 from martkit.operators.neighbours import with_previous
 from martkit.operators.pairs import undirected
 from martkit.operators.rank import global_ntile, global_row_number, surrogate_key, top_n
-from martkit.operators.spatial import near_pairs
+from martkit.operators.spatial import near_pairs, nearest
 from martkit.plans import conversion, counters, fx_metrics, ledger, recommend, retention, rfm, shipping, travel, zones
 from martkit.plans import orders as order_plans
 from martkit.plans.geo_dims import cities
 from martkit.plans.geo_dims import zones as zone_table
+from martkit.plans.staging import SCHEMAS, stage_csv
 from martkit.quality import checks as dq
 from martkit.quality.expectations import Expectations, split_violations
 from martkit.session import new_path, scratch, staged
-from martkit.sinks.files import SnapshotTable, replace_partition, replace_values, write_layout
+from martkit.sinks.files import SnapshotTable, append, register_views, replace_partition, replace_values, write_full, write_layout
 from martkit.sinks.commits import CommitLog, compact, publish_batch
 from martkit.sinks.hashed import hashed_table
 from martkit.sinks.merge import CounterTable, KeyedTable, insert_missing
-from martkit.sources.files import load_csv_full
+from martkit.sources.files import increment_path, load_csv_day, load_csv_full, read_increment_csv, read_reference
+from martkit.sources.pages import read_json_pages
 from martkit.sources.streams import decode_json
 from martkit.streaming import campaigns, runner
 from martkit.streaming import orders as order_stream
@@ -310,6 +312,81 @@ def upsert_other_width(spark, sf) -> DataFrame:
     return target.read().select(big("user_id"), "event_type", text("ts"), big("event_id"), num("value"))
 
 
+def daily_increments(spark, sf) -> DataFrame:
+    """Three days of an order log as CSV in folders by day, each line twice,
+    loaded day by day."""
+    root = new_path(spark, "increments")
+    orders = r.orders(spark, sf).select(F.col("order_id").alias("id"), F.col("order_ts").alias("date_time"), "cost", "status")
+    days = ["1997-01-15", "1997-01-16", "1997-01-17"]
+    schema = T.StructType.fromDDL("id long, date_time timestamp_ntz, cost decimal(14,2), status string")
+    loaded = []
+    for ds in days:
+        day = on_day(orders, "date_time", ds)
+        day.unionByName(day).write.option("header", True).csv(increment_path(root, ds, "user_order_log.csv"))
+        rows = read_increment_csv(spark, root, ds, schema)
+        loaded.append(rows.groupBy("status").agg(F.count("*").alias("n"), F.sum("cost").alias("cost")).select(F.lit(ds).alias("ds"), "*"))
+    return r.union_all(loaded).select("ds", "status", big("n"), num("cost"))
+
+
+def day_csv(spark, sf) -> DataFrame:
+    """One day's file with a header and a mark for nulls, some lines damaged."""
+    orders = on_day(r.orders(spark, sf), "order_ts", "1997-01-15")
+    cost = F.when(F.col("order_id") % 3 == 0, "null").otherwise(F.col("cost").cast("string")).alias("cost")
+    key = F.when(F.col("order_id") % 7 == 0, "none").otherwise(F.col("order_id").cast("string")).alias("id")
+    path = new_path(spark, "day")
+    orders.select(key, cost, "status").write.option("header", True).csv(path)
+    good, rejected = load_csv_day(spark, path, T.StructType.fromDDL("id long, cost decimal(14,2), status string"))
+    kept = good.select("id", F.col("cost").cast("double").alias("cost"), "status")
+    lost = rejected.agg(F.count("*").alias("id")).select(big("id"), F.lit(None).cast("double").alias("cost"), F.lit("rejected").alias("status"))
+    return kept.unionByName(lost)
+
+
+def reference_menus(spark, sf) -> DataFrame:
+    """Restaurants with their menus as JSON documents, read back."""
+    path = new_path(spark, "reference")
+    menus = r.event_restaurants(r.table(spark, sf, "events"))
+    menus.write.json(path)
+    read = read_reference(spark, path, menus.schema)
+    return read.select("id", "name", F.explode("menu").alias("m")).select("id", "name", F.col("m._id").alias("item"), F.col("m.category").alias("category"))
+
+
+def rolling_days(spark, sf) -> DataFrame:
+    """Orders of the thirty days before a moment."""
+    recent = since(r.orders(spark, sf), "order_ts", 30, "1998-01-01 12:00:00")
+    return recent.select(big("order_id"), text("order_ts"))
+
+
+def appended_views(spark, sf) -> DataFrame:
+    """A mart written anew twice, a table appended to twice, and a view of some
+    columns of both."""
+    orders, root = r.orders(spark, sf), new_path(spark, "views")
+    for part in (orders.limit(5), orders):
+        write_full(part, f"{root}/full")
+    for _ in range(2):
+        append(orders.filter("status = 'F'"), f"{root}/added")
+    tag = uuid.uuid4().hex
+    views = {f"{name}_{tag}": (spark.read.parquet(f"{root}/{name}"), ["order_id", "status"]) for name in ("full", "added")}
+    register_views(views)
+    full, added = views
+    return spark.sql(
+        f"select status, count(*) as n, sum(a.n) as added from {full} left join (select order_id, count(*) as n from {added} group by order_id) a"
+        " using (order_id) group by status"
+    ).select("status", big("n"), big("added"))
+
+
+def chat_staging(spark, sf) -> DataFrame:
+    """Chat tables as CSV without header, staged twice; rows that break a
+    reference are set aside with the reason."""
+    source, target = new_path(spark, "chat"), new_path(spark, "staging")
+    for name, df in r.community(spark, sf).items():
+        df.select(*SCHEMAS[name].names).write.csv(f"{source}/{name}.csv")
+    for _ in range(2):
+        kept, rejected = stage_csv(spark, source, target)
+    shown = [df.groupBy().agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), F.lit("kept").alias("state"), big("n")) for name, df in kept.items()]
+    shown += [df.groupBy(F.col("reason").alias("state")).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "state", big("n")) for name, df in rejected.items()]
+    return r.union_all(shown)
+
+
 def emptied_day(spark, sf) -> DataFrame:
     """Two named days are replaced; one of them has no rows any more."""
     events = _event_rows(spark, sf).withColumn("ds", F.to_date("ts"))
@@ -558,6 +635,49 @@ def _travel(spark, sf, strict: bool) -> DataFrame:
     )
 
 
+def travel_chunks(spark, sf) -> DataFrame:
+    """The cities of each user's stays, five to a row."""
+    stays = travel.stays_of(r.geo_events(spark, sf), cities(spark))
+    chunks = travel.travel_chunks(stays, 5)
+    return chunks.select(big("user_id"), big("chunk"), big(F.size("values"), "n"), F.array_join("values", ">").alias("cities"))
+
+
+def nearest_of_many(spark, sf) -> DataFrame:
+    """Orders and the nearest of as many places as there are customers; places
+    repeat, and some orders are far from all of them."""
+    at = lambda c, a, b, span, low: F.pmod(F.col(c) * a + b, F.lit(span)) / 100.0 - low
+    centers = r.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("city"), at("c_custkey", 3571, 7, 7000, 10).alias("lat"), at("c_custkey", 9241, 5, 12000, 20).alias("lon")
+    )
+    key = F.floor(F.col("o_orderkey") / 3).alias("k")  # so that points repeat
+    points = r.table(spark, sf, "orders").select("o_orderkey", key).select(
+        big("o_orderkey", "order_id"), at("k", 6151, 3, 17000, 85).alias("lat"), at("k", 15485, 11, 36000, 180).alias("lon")
+    )
+    found = nearest(points, centers)
+    return found.select("order_id", big("city_id"), num(F.round("distance_km", 3), "distance_km"))
+
+
+def split_pages(spark, sf) -> DataFrame:
+    """Events as JSON arrays, one page per type, some records damaged; each page
+    is read by several tasks. Texts hold quotes and braces."""
+    events = r.table(spark, sf, "events")
+    whole = F.to_json(F.struct("event_id", "event_type", F.struct("props").alias("more"), F.lit('say "}{" \\').alias("note")))
+    record = F.when(F.col("event_id") % 50 == 0, F.regexp_replace(whole, '"event_id":\\d+', '"event_id":')).otherwise(whole)
+    ends = events.groupBy("event_type").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    sign = lambda c, a, b: F.when(F.col("event_id") == F.col(c), a).otherwise(b)
+    lines = events.join(ends, "event_type").select(F.concat(sign("first", "[", ""), record, sign("last", "]", ",")).alias("value"), "event_type", "event_id")
+    path = new_path(spark, "landed")
+    ordered = lines.repartition(F.col("event_type")).sortWithinPartitions("event_type", "event_id")
+    ordered.select("value", F.col("event_type").alias("page")).write.partitionBy("page").text(path)
+    schema = T.StructType.fromDDL("event_id long, event_type string, more struct<props: string>, note string")
+    good, broken = read_json_pages(spark, path, schema, stretch=4096)
+    kind = F.regexp_extract("path", "page=(\\w+)/", 1)
+    kept = good.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.sum(F.get_json_object("more.props", "$.k").cast("long")).alias("ks"))
+    lost = broken.groupBy(F.concat(F.lit("broken "), kind).alias("event_type")).agg(F.count("*").alias("n"))
+    empty = [F.lit(0).cast("bigint").alias(c) for c in ("ids", "ks")]
+    return kept.select("event_type", big("n"), big("ids"), big("ks")).unionByName(lost.select("event_type", big("n"), *empty))
+
+
 def zone_stats(spark, sf) -> DataFrame:
     mart = zones.zone_stats(r.geo_events(spark, sf), cities(spark))
     counts = [f"{p}_{k}" for k in ("message", "user", "reaction", "subscription") for p in ("week", "month")]
@@ -1257,6 +1377,15 @@ QUERIES: dict[str, Query] = {
         late_events,
         watermark_drops,
         stream_progress,
+        daily_increments,
+        day_csv,
+        reference_menus,
+        rolling_days,
+        appended_views,
+        chat_staging,
+        travel_chunks,
+        nearest_of_many,
+        split_pages,
         monthly_accounts,
         layout_join,
         previous_events,

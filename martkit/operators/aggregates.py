@@ -38,6 +38,20 @@ def ordered_list(value: str, *order: str) -> Column:
     return F.transform(F.array_sort(pairs), lambda x: x["_v"])
 
 
+def chunked_lists(df: DataFrame, keys: list[str], position: str, value: str, size: int) -> DataFrame:
+    """Long arrays as rows (keys, chunk, values) of at most ``size`` values, in
+    the order of ``position``, which counts from 0 without gaps per key
+    (WN-12). No row and no group grows with the array."""
+    chunk = F.floor(F.col(position) / size).cast("long").alias("chunk")
+    return df.groupBy(*keys, chunk).agg(ordered_list(value, position).alias("values"))
+
+
+def joined_chunks(chunks: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """The arrays as one value per key, for a result that wants them so."""
+    held = F.array_sort(F.collect_list(F.struct("chunk", "values")))
+    return chunks.groupBy(*keys).agg(F.flatten(F.transform(held, lambda c: c["values"])).alias(out))
+
+
 def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 

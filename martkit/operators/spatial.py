@@ -13,10 +13,11 @@ from martkit.session import staged
 
 # Up to this many centroids become constants of the plan; the count is checked.
 MAX_CONSTANT_CENTROIDS = 64
-# Cell sizes of the search for large centroid tables, as chords of the unit
-# sphere. The last one spans the whole sphere.
-CELL_SIZES = (0.01, 0.04, 0.16, 0.64, 2.0)
+# The tree of cells for larger tables: children of a cell per axis, levels, the
+# length up to which a list is compared, and what rounding may hide.
+FANOUT, LEVELS, SHORT_LIST, SLACK = 4, 10, 24, 1e-9
 _AXES = ("x", "y", "z")
+_CELL = ("_cx", "_cy", "_cz")
 # A cell itself and half of its 26 neighbours: each pair of cells once.
 _VISITED = [step for step in product((-1, 0, 1), repeat=3) if step >= (0, 0, 0)]
 
@@ -35,14 +36,14 @@ def nearest(
 
     ``centroids`` has id, city, lat, lon. A small table is compared inside the
     projection, so points are neither shuffled nor multiplied. A large one is
-    joined by cells of the sphere.
+    searched by a tree of cells.
     """
     rows = centroids.select("id", "city", "lat", "lon").dropna().limit(max_constants + 1).collect()
     if not rows:
         raise ValueError("no centroids")
     if len(rows) <= max_constants:
         return _nearest_constant(points, sorted(rows, key=lambda r: r["id"]), lat, lon)
-    return _nearest_by_cells(points, centroids, lat, lon)
+    return _nearest_by_tree(points, centroids, lat, lon)
 
 
 def _nearest_constant(points: DataFrame, rows, lat: str, lon: str) -> DataFrame:
@@ -75,36 +76,37 @@ def _unit(lat: float, lon: float) -> tuple[float, float, float]:
     return math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
 
 
-def _nearest_by_cells(points: DataFrame, centroids: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Search in growing cells: within one cell size the neighbouring cells
-    hold every centroid, so a hit that close is final; the rest go on to the
-    next size. Places are searched once each and joined back by place: keys of
-    points may repeat or be null."""
+def _nearest_by_tree(points: DataFrame, centroids: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Search down a tree of cells. A cell has a list of centroids: those that
+    can be nearest to some place in it, because they are no farther from its
+    nearest corner than another is from its farthest. Cells that hold places and
+    a long list are split, and the lists of their children are cut down again;
+    places in a cell of a short list compare that list. Places are searched once
+    each and joined back: keys of points may repeat or be null."""
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    centers = _with_vector(
-        centroids.select("id", "city", F.col("lat").alias("_clat"), F.col("lon").alias("_clon")).dropna(),
-        "_clat",
-        "_clon",
-        "c",
-    )
-    left = _with_vector(points.filter(known).select(lat, lon).distinct(), lat, lon, "p")
+    place = F.col("lat").alias("_clat"), F.col("lon").alias("_clon")
+    centers = centroids.select("id", "city", *place).dropna().groupBy("_clat", "_clon").agg(F.min(F.struct("id", "city")).alias("_who"))
+    lists = _with_vector(centers, "_clat", "_clon", "c").withColumns({c: F.lit(0).cast("long") for c in _CELL})
+    left = staged(_with_vector(points.filter(known).select(lat, lon).distinct(), lat, lon, "p"), "places")
     parts = []
-    for size in CELL_SIZES:
-        near = _spread(_with_cell(centers, "c", size))
+    for level in range(1, LEVELS + 1):
+        cells = FANOUT**level
+        placed = left.withColumns({c: F.least(F.floor((F.col(f"p{a}") + 1) / 2 * cells), F.lit(cells - 1)) for c, a in zip(_CELL, _AXES)})
+        parents = [F.floor(F.col(c) / FANOUT).alias(f"_up{c}") for c in _CELL]
+        children = placed.select(*_CELL).distinct().select(*_CELL, *parents)
+        above = lists.withColumnsRenamed({c: f"_up{c}" for c in _CELL})
+        opened = children.join(above, [f"_up{c}" for c in _CELL]).drop(*[f"_up{c}" for c in _CELL])
+        opened = opened.withColumns({"_near": _to_cell(cells, False), "_far": _to_cell(cells, True)})
+        bounds = opened.groupBy(*_CELL).agg(F.min("_far").alias("_bound"))
+        kept = staged(opened.join(bounds, list(_CELL)).filter(F.col("_near") <= F.col("_bound") + SLACK).drop("_near", "_far", "_bound"), "lists")
+        sizes = kept.groupBy(*_CELL).agg(F.count("*").alias("_n"))
+        leaves = sizes.filter((F.col("_n") <= SHORT_LIST) | F.lit(level == LEVELS)).select(*_CELL)
         gap = sum((F.col(f"p{a}") - F.col(f"c{a}")) * (F.col(f"p{a}") - F.col(f"c{a}")) for a in _AXES)
-        hit = F.struct(gap.alias("gap"), "id", "city", "_clat", "_clon")
-        best = (
-            _with_cell(left, "p", size)
-            .join(near, ["_cx", "_cy", "_cz"], "left")
-            .groupBy(lat, lon, "px", "py", "pz")
-            .agg(F.min(F.when(F.col("id").isNotNull(), hit)).alias("_hit"))
-        )
-        best = staged(best, "nearest")
-        done = F.col("_hit").isNotNull()
-        if size < CELL_SIZES[-1]:
-            done = done & (F.col("_hit.gap") <= size * size)
-        parts.append(best.filter(done).select(lat, lon, "_hit"))
-        left = best.filter(~done).drop("_hit")
+        hit = F.struct(gap.alias("gap"), "_who.id", "_who.city", "_clat", "_clon")
+        met = placed.join(kept.join(leaves, list(_CELL)), list(_CELL))
+        parts.append(staged(met.groupBy(lat, lon).agg(F.min(hit).alias("_hit")), "nearest"))
+        lists = kept.join(leaves, list(_CELL), "left_anti")
+        left = staged(placed.join(leaves, list(_CELL), "left_anti").drop(*_CELL), "places")
         if left.isEmpty():
             break
     hits = parts[0]
@@ -132,12 +134,16 @@ def _with_cell(df: DataFrame, prefix: str, size: float) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """One copy of each row in its own and the 26 adjacent cells."""
-    for axis in _AXES:
-        step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-        df = df.select("*", step.alias("_step")).withColumn(f"_c{axis}", F.col(f"_c{axis}") + F.col("_step")).drop("_step")
-    return df
+def _to_cell(cells: int, far: bool) -> Column:
+    """Squared distance of a centroid to the nearest or farthest corner or side
+    of a cell, of which the cube around the sphere has ``cells`` per axis."""
+    total = F.lit(0.0)
+    for cell, axis in zip(_CELL, _AXES):
+        low, at = F.col(cell) * (2 / cells) - 1, F.col(f"c{axis}")
+        high = low + 2 / cells
+        off = F.greatest(F.abs(at - low), F.abs(at - high)) if far else F.greatest(F.lit(0.0), low - at, at - high)
+        total = total + off * off
+    return total
 
 
 def pairs_within(pairs: DataFrame, positions: DataFrame, km: float) -> DataFrame:

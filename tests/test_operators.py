@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from martkit.functions.keys import ORDER_NAMESPACE, hash_key, uuid5_key
 from martkit.functions.temporal import active_at, local_time, on_day, since, whole_days
 from martkit.functions.text import part
-from martkit.operators.aggregates import cross_tab, difference, duplicates, ordered_list, with_group_stat
+from martkit.operators.aggregates import chunked_lists, cross_tab, difference, duplicates, joined_chunks, ordered_list, with_group_stat
 from martkit.operators.calendar import calendar
 from martkit.operators.distinct import distinct_counts, id_bitmaps, united
 from martkit.operators.islands import islands
@@ -200,3 +200,11 @@ def test_bitmaps_count_exactly(spark):
     days = id_bitmaps(df, ["d"], "n")
     assert rows(distinct_counts(days, ["d"], "c")) == [("d1", 3), ("d2", 2)]
     assert rows(distinct_counts(united(days.withColumn("m", F.lit("m")), ["m"]), ["m"], "c")) == [("m", 4)]
+
+
+def test_long_arrays_are_rows_of_bounded_size(spark):
+    df = spark.range(25).select(F.lit("k").alias("k"), F.col("id").alias("at"), F.concat(F.lit("v"), "id").alias("v"))
+    chunks = chunked_lists(df.unionByName(df.limit(1).withColumn("k", F.lit("one"))), ["k"], "at", "v", 10)
+    assert rows(chunks.select("k", "chunk", F.size("values"))) == [("k", 0, 10), ("k", 1, 10), ("k", 2, 5), ("one", 0, 1)]
+    joined = {r["k"]: r["all"] for r in joined_chunks(chunks, ["k"], "all").collect()}
+    assert joined == {"k": [f"v{i}" for i in range(25)], "one": ["v0"]}

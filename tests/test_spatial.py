@@ -4,7 +4,9 @@ import random
 from pyspark.sql import functions as F
 
 from martkit.functions.geo import haversine_km
+from martkit.operators import spatial
 from martkit.operators.spatial import near_members, near_pairs, nearest, pairs_within
+from martkit.session import staged
 from tests.conftest import plan, rows
 
 
@@ -43,6 +45,23 @@ def test_both_ways_to_the_nearest_centroid_are_exact(spark):
     assert "Join" not in plan(constant) and "Exchange" not in plan(constant)
 
 
+def test_no_cell_of_the_tree_holds_all_centroids(spark, monkeypatch):
+    rng = random.Random(5)
+    cities = [(i, f"c{i}", 50 + rng.gauss(0, 0.01), 8 + rng.gauss(0, 0.01)) for i in range(400)] + [(900 + i, f"f{i}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
+    cities += [(2000 + i, "again", 50.0, 8.0) for i in range(60)]  # more than a list, at one place
+    points = [(i, 50 + rng.gauss(0, 0.02), 8 + rng.gauss(0, 0.02)) for i in range(200)] + [(300 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
+    points += [(900, 50.0, 8.0), (901, -89.99, 0.0), (902, 89.99, 179.99)]
+    lists = []
+    monkeypatch.setattr(spatial, "staged", lambda df, name: [out := staged(df, name), lists.append(out) if name == "lists" else None][0])
+    found = nearest(spark.createDataFrame(points, "pid int, lat double, lon double"), spark.createDataFrame(cities, "id int, city string, lat double, lon double"))
+    got = {r["pid"]: r["city_id"] for r in found.collect()}
+    for i, la, lo in points:
+        km, best = min((distance(la, lo, c[2], c[3]), c[0]) for c in cities)
+        assert got[i] == best or abs(distance(la, lo, *next(c[2:] for c in cities if c[0] == got[i])) - km) < 1e-6
+    for kept in lists[1:]:
+        assert kept.groupBy("_cx", "_cy", "_cz").count().agg(F.max("count")).first()[0] < 601
+
+
 def crowd(n, seed):
     rng = random.Random(seed)
     people = [(i, -33.86 + rng.uniform(-0.03, 0.03), 151.2 + rng.uniform(-0.03, 0.03)) for i in range(n)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkit.functions.jsons import parse_json_column, split_corrupt, to_message
+from martkit.functions.jsons import CORRUPT, parse_json_column, split_corrupt, to_message
 from martkit.plans.staging import stage_csv
 from martkit.sinks.files import (
     SnapshotTable,
@@ -27,6 +27,7 @@ from martkit.sources.files import (
     read_reference,
 )
 from martkit.sources.jdbc import day_predicates
+from martkit.sources.pages import read_json_pages
 from martkit.sources.streams import kafka_options
 from tests.conftest import plan, rows
 
@@ -66,6 +67,24 @@ def test_pages_and_reference_documents(spark, tmp_path):
     assert rows(read_reference(spark, f"{tmp_path}/ref", T._parse_datatype_string("id string, name string"))) == [("u1", "N")]
 
 
+@pytest.mark.parametrize("stretch", [7, 64, 1 << 20])
+def test_pages_are_split_inside(spark, tmp_path, stretch):
+    """Records of pages in several stretches, with braces and quotes in texts."""
+    texts = ['plain', 'a } b', '{"k": "}"}', 'quote " here', 'back \\ slash', 'both \\" }{ "', 'é 漢 }', "line\nbreak }", "", "}" * 5, '"']
+    records = [{"id": i, "t": texts[i % len(texts)], "in": {"deep": {"er": i}}} for i in range(60)]
+    put(f"{tmp_path}/p/array.json", json.dumps(records))
+    put(f"{tmp_path}/p/spread.json", json.dumps(records, indent=2, ensure_ascii=False) + "\n")
+    put(f"{tmp_path}/p/lines.json", "\n".join(map(json.dumps, records)))
+    put(f"{tmp_path}/p/empty.json", "[]")
+    put(f"{tmp_path}/p/bad.json", '[{"id": 1, "t": "x"}, {"id": , "t": "}"}, {"id": 2, "t": "y"}, {"id": 3, "t": "cut}')
+    schema = T._parse_datatype_string("id int, t string, in struct<deep: struct<er: int>>")
+    good, broken = read_json_pages(spark, f"{tmp_path}/p", schema, stretch)
+    want = [(r["id"], r["t"], r["id"]) for r in records] * 3 + [(1, "x", None), (2, "y", None)]
+    assert rows(good.select("id", "t", "in.deep.er")) == sorted(want, key=repr)
+    assert rows(broken, CORRUPT) == sorted([('{"id": , "t": "}"}',), ('{"id": 3, "t": "cut}',)], key=repr)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(stretch)
+
+
 def test_json_column_accepts_single_quotes_and_keeps_bad_documents(spark):
     df = spark.createDataFrame([("{'a': 1}",), ('{"a": 2}',), ("{broken",)], "d string")
     good, bad = split_corrupt(parse_json_column(df, "d", T._parse_datatype_string("a int")))
