@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm.common import for_workers
 from martkit.llm.tokens import by_bytes
-from martkit.llm.words import Numbers, Ragged, first_pieces, literal, stretches
+from martkit.llm.words import Numbers, Pieces, Ragged, first_runs, literal, stretches
 
 #: Widest tree of a forest, in bytes; longer words have their own tree.
 FOREST = 64
@@ -232,12 +232,12 @@ class Coder:
         upto = np.append(0, np.cumsum(counts))
         self.found.add(ids, upto[ends[1:]] - upto[ends[:-1]])
 
-    def encode(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a list of pieces in a row, and their number for each piece."""
+    def encode(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and their number for each piece."""
         if len(self.known) > self.most:
             self.known.keep(self.kept)
             self.found.keep(self.kept)
-        at = self.known.of(pieces)
+        at = pieces.numbered(self.known)
         if self.known.new:
             self._learn()
         return self.found.take(at)
@@ -247,7 +247,9 @@ class Coder:
 
     def encode_text(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
-        return self.encode(first_pieces(text))[0]
+        pieces = Pieces()
+        pieces.add(first_runs(text))
+        return self.encode(pieces)[0]
 
 
 @lru_cache(maxsize=2)
@@ -275,7 +277,6 @@ def _digests(path: str, pattern: str):
                 rows = [(i.hexdigest(), d.hexdigest()) for i, d in marks]
                 columns = [part.column("doc_id"), pa.array(counts), *(pa.array([r[c] for r in rows], pa.string()) for c in (0, 1))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        coder.cache_clear()  # a worker that is used again starts empty
 
     return run
 

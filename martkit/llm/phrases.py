@@ -29,6 +29,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm.common import Staging, for_workers
 from martkit.llm.tokens import by_bytes
+from martkit.llm.words import encoded
 
 LEAST, TOP, COVER = 30, 2000, 80
 WORDS = 4
@@ -46,8 +48,6 @@ FILTER_BITS = 1 << 27
 _BITMAP = 1 << 15  # Fixed value: bits of a bitmap of Spark's bitmap functions.
 #: Bytes of text that are parsed, and of chunks that are counted, at a time.
 PARSED, COUNTED = 4 << 20, 12 << 20
-#: Words whose hash or number a task remembers.
-MOST_WORDS = 400_000
 #: Parts that the phrases of a language are ranked in before the last ranking.
 PARTS = 64
 
@@ -57,12 +57,6 @@ _PAD = b" \n" * OVERLAP
 _SIGNS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = zlib.crc32(word)
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -74,45 +68,39 @@ def pieces_of(text: str) -> list[bytes]:
     return [p for p in map(bytes.strip, text.encode().lower().translate(_SIGNS).split(_BREAK)) if p]
 
 
-def parse(texts: list[list[bytes]], hashes: _Hashes, mean: int = MEAN, longest: int = LONGEST) -> list[tuple[int, bytes]]:
+def parse(texts: list[list[bytes]], mean: int = MEAN, longest: int = LONGEST) -> list[tuple[int, bytes]]:
     """(number of the text, chunk) for texts given as pieces, all with words.
     A chunk is words and breaks with a space between; a text begins and ends
     with as many breaks as chunks share words, so that all chunks are alike."""
-    joined = b" \n" * OVERLAP + b" " + (_PAD + b" ").join(b" \n ".join(p) for p in texts) + _PAD
-    tokens = joined[1:].split(b" ")
+    joined = _PAD[1:] + b" " + (_PAD + b" ").join(b" \n ".join(p) for p in texts) + _PAD
     if b"  " in joined:
-        tokens = [t for t in tokens if t]
-    joined = b" ".join(tokens)
-    h = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+        joined = b" ".join(t for t in joined.split(b" ") if t)
+    ids, words, starts = encoded(joined)
+    distinct = words.to_pylist()
+    h = np.fromiter(map(zlib.crc32, distinct), np.uint64, len(distinct))[ids]
     seen = h[2:] + np.uint64(0x9E3779B97F4A7C15) * (h[1:-1] + np.uint64(0x9E3779B97F4A7C15) * h[:-2])
-    edge = np.fromiter((t == _BREAK for t in tokens), bool, len(tokens))
+    edge = ids == distinct.index(_BREAK)
     edge = edge[2:] & edge[1:-1] & edge[:-2]  # pieces have words, so only texts are this far apart
     at = np.flatnonzero((_mixed(seen) % np.uint64(mean) == 0) | edge) + 2
     far = np.flatnonzero(np.diff(at) > longest)
     if len(far):
         more = [np.arange(at[i] + longest, at[i + 1], longest) for i in far]
         at = np.unique(np.concatenate([at, *more]))
-    starts = np.append(0, ends[:-1] + 1)
-    whole = edge[at - 2]
-    number = np.cumsum(whole)[:-1] - 1
-    first, last = starts[at[:-1] - 2].tolist(), ends[at[1:]].tolist()
+    number = np.cumsum(edge[at - 2])[:-1] - 1
+    first, last = starts[at[:-1] - 2].tolist(), (starts[at[1:] + 1] - 1).tolist()
     return [(k, joined[x:y]) for k, x, y in zip(number.tolist(), first, last)]
 
 
 def _chunks(batches):
-    hashes = _Hashes()
     for batch in batches:
         for part in by_bytes(batch, "text", PARSED):
-            if len(hashes) > MOST_WORDS:
-                hashes.clear()
             langs, texts = [], []
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 pieces = pieces_of(text or "")
                 if pieces:
                     langs.append(lang)
                     texts.append(pieces)
-            rows = parse(texts, hashes) if texts else []
+            rows = parse(texts) if texts else []
             columns = [pa.array([langs[k] for k, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "chunk"])
 
@@ -123,24 +111,13 @@ def dictionary_of(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_chunks, "lang string, chunk binary").groupBy("lang", "chunk").agg(F.count("*").alias("n"))
 
 
-class _Numbers(dict):
-    """Numbers the words of a language that may be frequent, from 1."""
+def _seed(lang: str) -> int:
+    return xxhash.xxh32_intdigest(lang)
 
-    def __init__(self, lang: str, may_be=None):
-        super().__init__()
-        self.seed, self.may_be = xxhash.xxh32_intdigest(lang), may_be
-        self.words, self.hashes = [b""], [0]
-        self[_BREAK] = 0
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word, self.seed)
-        n = 0
-        if self.may_be is None or self.may_be(np.array([h], np.uint64))[0]:
-            n = len(self.words)
-            self.words.append(word)
-            self.hashes.append(h)
-        self[word] = n
-        return n
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = _seed(lang)
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -149,65 +126,69 @@ def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and the sum of their weights."""
+    if (weights == 1).all():
+        return np.unique(keys, return_counts=True)
     found, at = np.unique(keys, return_inverse=True)
     return found, np.bincount(at, weights, len(found)).astype(np.int64)
 
 
-def _phrases(numbers: _Numbers, chunks: list[bytes], times: np.ndarray, sizes: range, may_be):
-    """(phrase, count, words) of the n-grams of chunks, by number of words."""
-    joined = b" \n ".join(chunks)
-    ids = np.fromiter(map(numbers.__getitem__, joined.split(b" ")), np.int64)
+def _phrases(lang: str, chunks: list[bytes], times: np.ndarray, sizes: range, words_may=None, pairs_may=None):
+    """(phrases, counts, words) of the n-grams of chunks, by number of words."""
+    ids, words, _ = encoded(b" \n ".join(chunks))
+    ids = ids.astype(np.int64)
+    distinct, count = words.to_pylist(), len(words)
     lengths = np.fromiter((c.count(b" ") for c in chunks), np.int64, len(chunks)) + 2  # a break after each
     lengths[-1] -= 1
     weight = np.repeat(times, lengths)
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    own = place >= OVERLAP  # what ends before lies in the chunk before as well
-    words = numbers.words
-    known = ids > 0
-    if 1 in sizes:
-        x = np.flatnonzero(known & own)
-        found, count = _summed(ids[x], weight[x])
-        yield [words[i] for i in found.tolist()], count, 1
-    if max(sizes) < 2:
+    # What ends in the words that a chunk shares lies in the chunk before as well.
+    own = np.ones(len(ids), bool)
+    starts = np.cumsum(lengths) - lengths
+    own[(starts[:, None] + np.arange(OVERLAP)).ravel()] = False
+    spelled = lambda *parts: parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, b" ")
+    real = np.fromiter((w != _BREAK for w in distinct), bool, count)
+    if sizes[0] == 1:
+        x = np.flatnonzero(own & real[ids])
+        sums = np.bincount(ids[x], weight[x], count).astype(np.int64)
+        found = np.flatnonzero(sums)
+        yield words.take(pa.array(found)), sums[found], 1
         return
+    hashes = _word_hashes(lang, distinct)
+    known = (real & words_may(hashes))[ids]
     pair = np.append(False, known[1:] & known[:-1])
-    key = np.zeros(len(ids), np.int64)
-    key[1:] = (ids[:-1] << 32) | ids[1:]
-    if 2 in sizes:
+    if sizes[0] == 2:
         x = np.flatnonzero(pair & own)
-        found, count = _summed(key[x], weight[x])
-        yield [words[i >> 32] + b" " + words[i & 0xFFFFFFFF] for i in found.tolist()], count, 2
+        found, sums = _summed(ids[x - 1] * count + ids[x], weight[x])
+        yield spelled(words.take(pa.array(found // count)), words.take(pa.array(found % count))), sums, 2
         return
-    # Pairs that may be frequent get a number, in this batch.
+    # Longer ones out of pairs that may be frequent.
     x = np.flatnonzero(pair)
-    found, at = np.unique(key[x], return_inverse=True)
-    hashes = np.array(numbers.hashes, np.uint64)
-    good = may_be(_pair_hash(hashes[found >> 32], hashes[found & 0xFFFFFFFF])) if len(found) else np.zeros(0, bool)
-    pair = np.full(len(ids), -1, np.int64)
-    pair[x] = np.where(good[at], at, -1)
-    spelled = {i: words[k >> 32] + b" " + words[k & 0xFFFFFFFF] for i, k in enumerate(found.tolist()) if good[i]}
-    held = pair >= 0
-    three = np.append(False, held[1:] & held[:-1])
-    x = np.flatnonzero(three & own)
-    found, count = _summed((pair[x - 1] << 32) | ids[x], weight[x])
-    yield [spelled[i >> 32] + b" " + words[i & 0xFFFFFFFF] for i in found.tolist()], count, 3
+    pair[x] = pairs_may(_pair_hash(hashes[ids[x - 1]], hashes[ids[x]]))
+    three = np.append(False, pair[1:] & pair[:-1])
     four = np.append(False, three[1:] & three[:-1])
-    x = np.flatnonzero(four & own)
-    found, count = _summed((pair[x - 2] << 32) | pair[x], weight[x])
-    yield [spelled[i >> 32] + b" " + spelled[i & 0xFFFFFFFF] for i in found.tolist()], count, 4
+    for size, some in ((3, three), (4, four)):
+        x = np.flatnonzero(some & own)
+        # Numbers for the first two words, then with what follows as one key.
+        heads, at = np.unique(ids[x - size + 1] * count + ids[x - size + 2], return_inverse=True)
+        if size == 3:
+            found, sums = _summed(at * count + ids[x], weight[x])
+            head, tail = found // count, [found % count]
+        else:
+            tails, after = np.unique(ids[x - 1] * count + ids[x], return_inverse=True)
+            found, sums = _summed(at * max(1, len(tails)) + after, weight[x])
+            head, tail = found // max(1, len(tails)), tails[found % max(1, len(tails))]
+            tail = [tail // count, tail % count]
+        parts = [heads[head] // count, heads[head] % count, *tail]
+        yield spelled(*(words.take(pa.array(p)) for p in parts)), sums, size
 
 
 def _counter(sizes: range, words_may=None, pairs_may=None):
     """Counts the n-grams of a dictionary, batch by batch."""
 
     def run(batches):
-        known: dict[str, _Numbers] = {}
         for lang, chunks, times in _by_language(batches):
-            if lang not in known or len(known[lang]) > MOST_WORDS:
-                known[lang] = _Numbers(lang, words_may)
-            for phrases, counts, size in _phrases(known[lang], chunks, times, sizes, pairs_may):
-                n = len(phrases)
-                columns = [pa.array([lang] * n, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts), pa.array([size] * n, pa.int32())]
+            for found, counts, size in _phrases(lang, chunks, times, sizes, words_may, pairs_may):
+                n = len(found)
+                columns = [pa.repeat(pa.scalar(lang), n), found.cast(pa.string()), pa.array(counts, pa.int64()), pa.repeat(pa.scalar(size, pa.int32()), n)]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n", "size"])
 
     return run
@@ -241,7 +222,7 @@ class _Filter:
         return (self.sent.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _filter(frequent: DataFrame, staging: Staging) -> _Filter:
+def _filter(frequent: DataFrame) -> _Filter:
     """The filter of frequent words, or of frequent pairs. Its size is bounded,
     so it is sent to all tasks; where it fills up, it only spares less."""
     spark = frequent.sparkSession
@@ -251,9 +232,8 @@ def _filter(frequent: DataFrame, staging: Staging) -> _Filter:
         for batch in batches:
             out = []
             for lang, phrase in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase"))):
-                seed = xxhash.xxh32_intdigest(lang)
-                hashes = [np.array([xxhash.xxh3_64_intdigest(w, seed)], np.uint64) for w in phrase.encode().split(b" ")]
-                h = hashes[0] if len(hashes) == 1 else _pair_hash(*hashes)
+                hashes = _word_hashes(lang, phrase.encode().split(b" "))
+                h = hashes[:1] if len(hashes) == 1 else _pair_hash(hashes[:1], hashes[1:])
                 out.append(int(h[0] % np.uint64(bits)) + 1)  # the bitmap functions count from 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["spot"])
 
@@ -283,9 +263,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     words = counted(range(1, 2), "words", 0)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     words = words.filter(F.col("n") >= least)
-    words_may = _filter(words, staging)
+    words_may = _filter(words)
     pairs = counted(range(2, 3), "pairs", least, words_may)
-    longer = counted(range(3, WORDS + 1), "longer", least, words_may, _filter(pairs, staging))
+    longer = counted(range(3, WORDS + 1), "longer", least, words_may, _filter(pairs))
     return words.unionByName(pairs).unionByName(longer), totals
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm.common import Staging, for_workers
 from martkit.llm.tokens import by_bytes
-from martkit.llm.words import LETTERS, MARKS, Numbers, Ragged, literal, stretches
+from martkit.llm.words import LETTERS, MARKS, Numbers, Pieces, Ragged, literal, stretches
 
 #: Bytes of text of a block of documents, or one text.
 BLOCK_BYTES = 6 << 20
@@ -208,11 +208,11 @@ class Aligner:
             loose.add(np.concatenate([p[which][0] for p in parts]), np.concatenate([p[which][1] for p in parts]))
             held.add(*loose.take(place))
 
-    def numbers(self, pieces: list) -> np.ndarray:
+    def numbers(self, pieces: Pieces) -> np.ndarray:
         """The number of each piece; facts on it are in the other attributes."""
         if len(self.known) > self.most:
             self._forget(self.kept)
-        at = self.known.of(pieces)
+        at = pieces.numbered(self.known)
         if self.known.new:
             self._learn()
         return at
@@ -289,20 +289,26 @@ def _blocks(path_a: str, path_b: str):
             for rows in by_bytes(batch, "text", BLOCK_BYTES):
                 yield _block(machine, (part << 32) + done, rows)
                 done += 1
-        aligner.cache_clear()  # a worker that is used again starts empty
 
     return run
 
 
+def _whole(texts: list):
+    """Each text as one piece, for tokenizers that join over any edge."""
+    for k, text in enumerate(texts):
+        if text:
+            pieces = Pieces()
+            pieces.add([[(" " + text,)]])
+            yield pieces, [k], [1]
+
+
 def _block(machine: Aligner, block: int, rows: pa.RecordBatch) -> pa.RecordBatch:
     texts = rows.column("text").to_pylist()
     n = len(texts)
     stats = np.zeros((n, len(machine.STATS)), np.int64)
     digests = [None] * n
     same, pairs = _Counts(machine.size_a), _Counts(machine.size_a * machine.size_b)
-    source = ([[(" " + t,)] for t in texts if t], [k for k, t in enumerate(texts) if t]) if machine.whole else None
-    runs = [([p for ps in source[0] for p in ps], source[1], list(range(1, len(source[1]) + 1)))] if source else stretches(texts, spaced=True, marks=machine.marks)
-    for pieces, owners, ends in runs:
+    for pieces, owners, ends in _whole(texts) if machine.whole else stretches(texts, spaced=True, marks=machine.marks):
         at = machine.numbers(pieces)
         edges = [0, *ends]
         document = np.repeat(np.array(owners, np.int64), np.diff(edges))

@@ -12,6 +12,8 @@ import re
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space that texts seldom have, Python's further separators included.
 _RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -26,29 +28,83 @@ _MARKED = re.compile(f"(?<=[{LETTERS}])([{MARKS}])")
 SLICE, STRETCH = 1 << 20, 1 << 19
 
 
+def runs_of(text: str, marks: bool = False) -> list:
+    """Runs of pieces of a text that follows a space. In a run of text, pieces
+    stand with one space between them; each stands for itself after a space, or
+    as it is if it opens with a line break. A run in a list has pieces in tuples,
+    which stand for exactly what they hold (texts with unusual white space). With
+    ``marks`` a text is also cut between a Latin letter and a punctuation mark,
+    and pieces that open with a mark stand for what they are."""
+    odd = not text or text[0].isspace() or text[-1].isspace() or any(r in text for r in _RUNS) or _rare(text)
+    if odd or marks and (text[0] in MARKS or any(" " + m in text for m in MARKS)):
+        return [[(p,) for p in _CUTS.findall(" " + text)]]
+    return [(_MARKED.sub(r" \1", text) if marks else text).replace("\n", " \n")]
+
+
+def first_runs(text: str) -> list:
+    """Runs of pieces of a text that nothing precedes."""
+    if not text:
+        return []
+    (run,) = runs_of(text)
+    if isinstance(run, list):  # without the space that stands before
+        first, *rest = run
+        return [[(first[0][1:],), *rest] if len(first[0]) > 1 else rest]
+    first, _, rest = run.partition(" ")
+    return [[(first,)], rest] if rest else [[(first,)]]
+
+
+def encoded(joined: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Tokens with a space between, as numbers of distinct tokens, those tokens,
+    and the places where each token begins and the last one ends, plus one."""
+    joined += b" "
+    at = np.append(0, np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1)
+    # Arrow reads the bytes as they are, so each token has its space at the end.
+    held = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(joined)])
+    coded = held.dictionary_encode()
+    return coded.indices.to_numpy(), pc.binary_slice(coded.dictionary, 0, -1), at
+
+
+class Pieces:
+    """Runs of pieces, which are numbered together."""
+
+    def __init__(self):
+        self.runs, self.sizes, self.size = [], [], 0
+
+    def add(self, runs: list) -> None:
+        for run in runs:
+            n = len(run) if isinstance(run, list) else run.count(" ") + 1
+            self.runs.append(run)
+            self.sizes.append(n)
+            self.size += n
+
+    def numbered(self, numbers: Numbers) -> np.ndarray:
+        """The number of each piece; Python sees distinct ones only."""
+        texts = [r for r in self.runs if not isinstance(r, list)]
+        plain = np.zeros(0, np.int64)
+        if texts:
+            ids, distinct, _ = encoded(" ".join(texts).encode())
+            plain = numbers.of(distinct.cast(pa.string()).to_pylist())[ids]
+        odd = numbers.of([p for r in self.runs if isinstance(r, list) for p in r])
+        if not len(odd) or not len(plain):
+            return odd if len(odd) else plain
+        of_list = np.repeat(np.array([isinstance(r, list) for r in self.runs]), self.sizes)
+        out = np.empty(self.size, np.int64)
+        out[of_list], out[~of_list] = odd, plain
+        return out
+
+
+def pieces_in(runs: list) -> list:
+    return [p for run in runs for p in (run if isinstance(run, list) else run.split(" "))]
+
+
 def pieces_of(text: str, marks: bool = False) -> list:
-    """Pieces of a text that follows a space. A piece as text stands for itself
-    after a space, or as it is if it opens with a line break; one in a tuple for
-    exactly what it holds (texts with unusual white space). With ``marks`` a
-    text is also cut between a Latin letter and a punctuation mark, and pieces
-    that open with a mark stand for what they are."""
-    if not text or text[0].isspace() or text[-1].isspace() or any(r in text for r in _RUNS) or _rare(text):
-        return [(p,) for p in _CUTS.findall(" " + text)]
-    if marks:
-        if text[0] in MARKS or any(" " + m in text for m in MARKS):
-            return [(p,) for p in _CUTS.findall(" " + text)]
-        text = _MARKED.sub(r" \1", text)
-    return text.replace("\n", " \n").split(" ")
+    """Pieces of a text that follows a space."""
+    return pieces_in(runs_of(text, marks))
 
 
 def first_pieces(text: str) -> list:
     """Pieces of a text that nothing precedes."""
-    if not text:
-        return []
-    first, *rest = pieces_of(text)
-    if type(first) is tuple:  # without the space that pieces_of puts before
-        return [(first[0][1:],), *rest] if len(first[0]) > 1 else rest
-    return [(first,), *rest]
+    return pieces_in(first_runs(text))
 
 
 def _rare(text: str) -> bool:
@@ -75,16 +131,16 @@ def stretches(texts: list, spaced: bool, marks: bool = False, most: int = STRETC
     """(pieces, owners, ends): the pieces of the texts, about ``most`` at a time,
     and where those of each owner, a number in ``texts``, end. With ``spaced``
     every text counts as following a space. Null and empty texts have none."""
-    pieces, owners, ends = [], [], []
+    pieces, owners, ends = Pieces(), [], []
     for k, text in enumerate(texts):
         for n, part in enumerate(slices_of(text) if text else ()):
-            pieces += pieces_of(part, marks) if spaced or n else first_pieces(part)
+            pieces.add(runs_of(part, marks) if spaced or n else first_runs(part))
             owners.append(k)
-            ends.append(len(pieces))
-            if len(pieces) >= most:
+            ends.append(pieces.size)
+            if pieces.size >= most:
                 yield pieces, owners, ends
-                pieces, owners, ends = [], [], []
-    if pieces:
+                pieces, owners, ends = Pieces(), [], []
+    if owners:
         yield pieces, owners, ends
 
 

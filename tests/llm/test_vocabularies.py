@@ -96,7 +96,7 @@ def test_phrases_equal_plain_counting(spark, monkeypatch):
 def test_chunks_hold_each_phrase_once(texts, mean, longest):
     pieces = [p for p in map(phrases.pieces_of, texts) if p]
     found, want = Counter(), Counter()
-    for k, chunk in phrases.parse(pieces, phrases._Hashes(), mean, longest) if pieces else []:
+    for k, chunk in phrases.parse(pieces, mean, longest) if pieces else []:
         w = chunk.split(b" ")
         for size in range(1, 5):
             grams = (tuple(w[i : i + size]) for i in range(len(w) - size + 1) if i + size > phrases.OVERLAP)
@@ -191,7 +191,9 @@ def test_reports_of_merges(spark, library, monkeypatch):
 
 def test_a_text_in_slices_has_the_same_ids(coder, library):
     text = prose(5, 3000) + "  x \n " + prose(6, 2000)
-    small = [p for n, s in enumerate(words.slices_of(text, 500)) for p in (words.pieces_of(s) if n else words.first_pieces(s))]
+    small = words.Pieces()
+    for n, part in enumerate(words.slices_of(text, 500)):
+        small.add(words.runs_of(part) if n else words.first_runs(part))
     assert coder.encode(small)[0].tolist() == library.encode_ordinary(text)
 
 
