@@ -15,6 +15,9 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from martkit.llm.words import encoded
 
 #: Unicode's White_Space, by which the patterns of the vocabularies split.
 _WHITE = "\t-\r \x85\xa0  -     　"
@@ -24,7 +27,7 @@ _ANY_WHITE = re.compile(f"[{_WHITE}]")
 _ODD = re.compile("[\x01\x1c-\x1f]")
 #: Words a worker remembers; beyond, it forgets all but the first, which are
 #: the common ones.
-CACHE_WORDS, CACHE_KEPT = 1_000_000, 250_000
+CACHE_WORDS, CACHE_KEPT = 500_000, 200_000
 #: Words that are joined into one text for the library.
 JOINED = 512
 
@@ -65,13 +68,19 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _pieces(self, text: str) -> list[str] | None:
+    def _pieces(self, text: str) -> str | None:
+        """Pieces with a space between, or nothing where the text has to go to
+        the library as a whole."""
         if any(m in text for m in self.marks):
             return None
-        if not self.spaced:
-            return None if _ODD.search(text) else text.split()
-        # A line's first word has no space before it: it keeps the line break.
-        return None if " \n" in text else ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        if self.spaced:
+            # A line's first word has no space before it: it keeps the line break.
+            return None if " \n" in text else "\n" + text.replace("\n", " \n")
+        if _ODD.search(text):
+            return None
+        flat = text.replace("\n", " ")
+        plain = "  " not in flat and flat[0] != " " != flat[-1] and flat.isprintable()
+        return flat if plain else " ".join(text.split())
 
     def _plain(self, piece: str) -> bool:
         body = piece[1:] if piece[:1] == "\n" else piece
@@ -116,28 +125,36 @@ class Encoder:
         """Ids of each text as unsigned 32-bit integers."""
         if len(self.known) > self.cache:
             self._forget()
-        split = [self._pieces(t) if t else [] for t in texts]
-        new: set[str] = set()
-        for pieces in split:
-            if pieces:
-                new.update(pieces)
-        new.difference_update(self.known)
+        split = [self._pieces(t) if t else "" for t in texts]
+        some = [s for s in split if s]
+        if not some:
+            return [self._whole(t) if s is None else np.zeros(0, np.uint32) for t, s in zip(texts, split)]
+        # Python sees each distinct piece of the batch once.
+        numbers, distinct, _ = encoded(" ".join(some).encode())
+        pieces = distinct.cast(pa.string()).to_pylist()
+        new = {p for p in pieces if p not in self.known}
         if new:
             self._learn(new)
-        return [self._ids(t, p) for t, p in zip(texts, split)]
-
-    def _ids(self, text: str, pieces: list[str] | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if pieces is not None:
-            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-            if not len(at) or at.min() >= 0:
-                start = self.starts[at]
-                sizes = self.starts[at + 1] - start
-                before = np.cumsum(sizes) - sizes
-                ids = self.flat[np.repeat(start - before, sizes) + np.arange(int(sizes.sum()))]
-                return ids[len(self.line) :] if self.spaced else ids
-        return self._whole(text)
+        known = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        at = known[numbers]
+        ends = np.cumsum(np.fromiter((s.count(" ") + 1 for s in some), np.int64, len(some)))
+        # Pieces that are not plain send their text to the library.
+        lost = np.minimum.reduceat(at, np.append(0, ends[:-1])) < 0
+        at = np.maximum(at, 0)
+        start = self.starts[at]
+        sizes = self.starts[at + 1] - start
+        before = np.cumsum(sizes) - sizes
+        ids = self.flat[np.repeat(start - before, sizes) + np.arange(int(sizes.sum()))]
+        upto = np.append(before[np.append(0, ends[:-1])], len(ids)).tolist()
+        skip = len(self.line) if self.spaced else 0
+        out, k = [], 0
+        for text, pieces in zip(texts, split):
+            if not pieces:
+                out.append(self._whole(text) if pieces is None else np.zeros(0, np.uint32))
+                continue
+            out.append(self._whole(text) if lost[k] else ids[upto[k] + skip : upto[k + 1]])
+            k += 1
+        return out
 
 
 @lru_cache(maxsize=4)
