@@ -26,6 +26,8 @@ from martkit.operators.rank import global_row_number
 TEMPER = 0.7
 #: Largest mean that is inverted at once, and the terms that its sum runs over.
 PART, TERMS = 64.0, 200
+#: Sources, at most, whose distributions (1.6 KB each) are sent to all tasks.
+MOST_SENT = 2000
 
 
 def tempered(docs: DataFrame, power: float = TEMPER) -> DataFrame:
@@ -79,6 +81,10 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, epochs: float =
     found = rates(docs, weights, epochs)
     source, cdf, parts = (free_name(docs, c) for c in ("_source", "_cdf", "_parts"))
     small = found.select(F.col("source").alias(source), F.col("cdf").alias(cdf), F.col("parts").alias(parts))
+    # One row per source: sent to the documents, which are not shuffled, unless
+    # there are too many of them for that.
+    if small.count() <= MOST_SENT:
+        small = F.broadcast(small)
     known = docs.join(small, F.col("source").eqNullSafe(F.col(source)))
     uniforms = F.transform(F.sequence(F.lit(1), F.col(parts)), lambda j: _uniform(seed, _key("doc_id"), j))
     drawn = F.aggregate(uniforms, F.lit(0), lambda n, u: n + F.size(F.filter(cdf, lambda c: c <= u)))
