@@ -51,7 +51,7 @@ class Encoder:
             self.ends[i] = token.endswith("</w>")
             self.opens[i] = token[0] in "ĠĊ"  # a space or a line break, as this vocabulary writes them
         self.known: dict[str, int] = {}
-        self.starts = np.zeros(1, np.int64)
+        self.starts = np.zeros(2, np.int64)  # the first word is empty, in place of those that are not plain
         self.flat = np.zeros(0, np.uint32)
 
     @property
