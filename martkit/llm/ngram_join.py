@@ -421,3 +421,28 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     one = rows.join(first, ["id", "cls"]).groupBy("root").agg(F.min("row").alias("row")).select("row")
     one = one.union(rows.filter("cls is null").select("row"))
     return one.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]).union(kept)
+
+
+#: The same rows in DuckDB's SQL, by every pair of texts that share a shingle.
+JOIN_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y, c = a.n AND c = b.n AS same FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 10 * c >= 8 * (a.n + b.n - c)),
+both_ways AS (SELECT x, y, same FROM links UNION ALL SELECT y, x, same FROM links),
+reached AS (
+  SELECT x AS node, y AS seen FROM both_ways
+  UNION
+  SELECT node, y FROM reached JOIN both_ways ON seen = x),
+roots AS (SELECT node, min(seen) AS least FROM reached GROUP BY node),
+counts AS (SELECT x, count(*) AS n, min(y) FILTER (WHERE same) AS twin FROM both_ways GROUP BY x)
+SELECT doc_id, least(doc_id, coalesce(twin, doc_id)) AS class_id, coalesce(n, 0) AS n_links,
+  least(doc_id, coalesce(least, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(least, doc_id)) AS kept
+FROM documents LEFT JOIN roots ON node = doc_id LEFT JOIN counts ON x = doc_id
+"""

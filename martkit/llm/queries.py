@@ -74,4 +74,9 @@ QUERIES = {
         op13_token_links,
     )
 }
-ORACLE_SQL = {"op7_source_mix": source_mix.MIX_SQL, "op11_phrases": phrases.PHRASES_SQL}
+ORACLE_SQL = {
+    "op3_warc_chunks": warc_chunks.ARCHIVE_SQL,
+    "op7_source_mix": source_mix.MIX_SQL,
+    "op9_ngram_join": ngram_join.JOIN_SQL,
+    "op11_phrases": phrases.PHRASES_SQL,
+}

@@ -282,3 +282,21 @@ def archive_report(pages: DataFrame, least_bytes: int = 0, folder: str | None =
         "page_id", F.col("bytes_so_far").alias("payload_bytes"), F.col("digest_so_far").alias("payload_digest"),
         "record_type", "refers_to", "url",
     )
+
+
+_BITS = "0000000100100011010001010110011110001001101010111100110111101111"
+_FIVE = " + ".join(f"{1 << (4 - k)} * CAST(substr(bits, j * 5 + {k + 1}, 1) AS INT)" for k in range(5))
+#: The same rows in DuckDB's SQL; base 32 is spelled out from the digits of SHA-1.
+ARCHIVE_SQL = f"""
+WITH raw AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+digits AS (
+  SELECT page_id, url, octet_length(payload) AS size, min(page_id) OVER (PARTITION BY payload) AS first,
+    array_to_string(list_transform(range(1, 41), lambda i:
+      substr('{_BITS}', strpos('0123456789abcdef', substr(sha1(payload), i, 1)) * 4 - 3, 4)), '') AS bits
+  FROM raw)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_FIVE}, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, url
+FROM digits
+"""

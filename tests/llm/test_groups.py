@@ -11,6 +11,7 @@ import random
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -409,3 +410,15 @@ def test_pipeline_on_edges(spark):
         if name != "packing":
             assert out.columns == docs.columns
         out.collect()
+
+
+@pytest.mark.parametrize("name", ["op3_warc_chunks", "op7_source_mix", "op9_ngram_join"])
+def test_queries_equal_their_sql(spark, name):
+    found = queries.QUERIES[name](spark, SF)
+    duck = duckdb.connect()
+    for table in ("documents", "pages"):
+        duck.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    want = duck.sql(queries.ORACLE_SQL[name])
+    columns = sorted(found.columns)
+    assert sorted(want.columns) == columns
+    assert rows(found.select(*columns)) == sorted(want.select(*columns).fetchall(), key=repr)
