@@ -61,5 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     staging = Staging(spark)
     for name, stage in STAGES:
-        docs = staging.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        done = staging.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        staging.drop(docs)  # the stage before; its rows are all in what follows
+        docs = done
     return docs
