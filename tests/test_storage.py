@@ -15,7 +15,7 @@ from martkit.sinks.files import (
     write_full,
     write_layout,
 )
-from martkit.sinks.hashed import hashed_table
+from martkit.sinks.hashed import MOST_BUCKETS, hashed_table
 from martkit.sinks.merge import CounterTable, accumulate, insert_missing, upsert
 from martkit.sources.files import (
     increment_path,
@@ -27,6 +27,7 @@ from martkit.sources.files import (
     read_reference,
 )
 from martkit.sources.jdbc import day_predicates
+from martkit.sources import pages
 from martkit.sources.pages import read_json_pages
 from martkit.sources.streams import kafka_options
 from tests.conftest import plan, rows
@@ -232,3 +233,23 @@ def test_chat_tables_are_staged_and_bad_rows_set_aside(spark, chat_files):
     assert {n: df.count() for n, df in staged.items()} == {"users": 2, "groups": 1, "dialogs": 2, "group_log": 1}
     assert rows(rejected["users"], "reason") == [("unreadable",)]
     assert rows(rejected["groups"], "reason") == [("references:admin_id",)]
+
+
+def test_stretches_grow_with_the_pages(spark, tmp_path):
+    put(f"{tmp_path}/p/big.json", json.dumps([{"id": i, "t": "a } b"} for i in range(4000)]))
+    put(f"{tmp_path}/p/small.json", json.dumps([{"id": i, "t": "x"} for i in range(5)]))
+    size = sum(os.path.getsize(f"{tmp_path}/p/{name}") for name in ("big.json", "small.json"))
+    assert pages._grown(spark, f"{tmp_path}/p", 16) == size // pages.MOST_STRETCHES > 16
+    assert pages._grown(spark, f"{tmp_path}/p", 1 << 20) == 1 << 20 and pages._grown(spark, f"{tmp_path}/p", None) is None
+    good, broken = read_json_pages(spark, f"{tmp_path}/p", T._parse_datatype_string("id int, t string"), 16)
+    assert broken.count() == 0 and good.count() == 4005 and good.agg(F.sum("id")).first()[0] == sum(range(4000)) + 10
+
+
+def test_buckets_grow_with_a_large_table(spark, tmp_path):
+    table = hashed_table(spark, f"{tmp_path}/u", "k", "t", limit=1, bits=1, most_parts=4)
+    numbers = lambda a, b, t: spark.range(a, b).select(F.col("id").alias("k"), F.lit(t).alias("t"))
+    for n, t in ((3000, 1), (6000, 2)):
+        table.upsert(numbers(0, n, t))
+    sizes = table.buckets()
+    assert 8 <= len(sizes) <= 8 * MOST_BUCKETS and sum(sizes.values()) >= 6000
+    assert rows(table.read().groupBy("t").count()) == [(2, 6000)]
