@@ -1,8 +1,9 @@
 from pyspark.sql import functions as F
 
+from martkit.functions.keys import hash_key
 from martkit.plans.conversion import group_conversion, load_community_vault
 from martkit.vault.loaders import load_hub, load_link, load_satellite, merged
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 
@@ -90,3 +91,16 @@ def test_community_vault_and_conversion(spark):
     got = rows(group_conversion(vault), "cnt_added_users", "cnt_users_in_group_with_messages", "group_conversion")
     assert got == sorted([(2, 3, 1.5), (1, None, None)], key=repr)
     assert rows(group_conversion(vault, n=1), "cnt_added_users") == [(2,)]
+
+
+def test_links_look_up_parents_with_one_hash_at_a_time(spark):
+    day = stamp("2024-01-01 00:00:00")
+    users = spark.createDataFrame([(1,), (2,)], "u int").select(hash_key("u").alias("hk_u"))
+    groups = spark.createDataFrame([(7,)], "g int").select(hash_key("g").alias("hk_g"))
+    data = spark.createDataFrame([(1, 7), (2, 8), (3, 7), (2, 7)], "u int, g int")
+    link = load_link(None, data, "hk", {"hk_g": "g", "hk_u": "u"}, "s", day, hubs={"hk_g": groups, "hk_u": users})
+    want = data.filter("u < 3 and g = 7").select(hash_key("g").alias("hk_g"), hash_key("u").alias("hk_u"))
+    assert rows(link, "hk_g", "hk_u") == rows(want)
+    lines = plan(link).splitlines()
+    below = lines[next(i for i, line in enumerate(lines) if "LeftSemi" in line) + 1 :]
+    assert below and max(line.count("xxhash64(") for line in below) == 1
