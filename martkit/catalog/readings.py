@@ -279,6 +279,8 @@ def order_messages(spark, sf) -> DataFrame:
         table(spark, sf, "lineitem")
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select("*", restaurant_of().alias("restaurant"))
+        # Plain lines are dealt by order, so neither messages nor their parts are.
+        .repartition("l_orderkey")
     )
     item = F.struct(
         F.col("l_partkey").cast("string").alias("id"),

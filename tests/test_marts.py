@@ -4,12 +4,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from martkit.catalog import readings
 from martkit.functions.keys import ORDER_NAMESPACE
 from martkit.operators.calendar import calendar
 from martkit.plans import counters, fx_metrics, ledger, orders, recommend, retention, rfm, shipping, travel, zones
 from martkit.plans.geo_dims import CITIES, CITY_ZONES, cities
 from martkit.plans.geo_dims import zones as zone_table
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def table(spark, data, schema, **times):
@@ -378,3 +379,22 @@ def test_global_metrics(spark, tmp_path):
     for _ in range(2):
         fx_metrics.copy_day(transactions, f"{tmp_path}/t", "transaction_dt", "2022-10-01")
     assert spark.read.parquet(f"{tmp_path}/t").count() == 6
+
+
+def test_messages_are_built_where_their_lines_are(spark, tmp_path):
+    """Lines are dealt by order once; what is gathered of them is not dealt again."""
+    lines = [(o, p, 1, n, 2.0, 10.0 * n, "1997-01-0%d" % n) for o in (1, 2, 3) for n, p in ((1, 7), (2, 8), (3, 1007))] + [(None, 7, 1, 1, 1.0, 1.0, "1997-01-01")]
+    put = lambda data, ddl, name: spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    put(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate string", "lineitem")
+    put([(p, "Brand#1", "n", "t", 1.0) for p in (7, 8, 1007)], "p_partkey long, p_brand string, p_name string, p_type string, p_retailprice double", "part")
+    put([(o, 5, "F", "1997-01-01") for o in (1, 2, 2)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string", "orders")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        messages = readings.order_messages(spark, str(tmp_path))
+        assert sum("Exchange" in line and "l_orderkey" in line.split("Exchange")[1] for line in plan(messages).splitlines()) == 1
+        got = rows(messages.select("object_id", "payload.cost", F.expr("transform(payload.order_items, x -> x.id)")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    one = lambda o: [(f"{o}/Brand#1-0", Decimal("30.00"), ["7", "8"]), (f"{o}/Brand#1-1", Decimal("30.00"), ["1007"])]
+    assert got == sorted([*one(1), *one(2), *one(2)], key=repr)

@@ -208,3 +208,24 @@ def test_long_arrays_are_rows_of_bounded_size(spark):
     assert rows(chunks.select("k", "chunk", F.size("values"))) == [("k", 0, 10), ("k", 1, 10), ("k", 2, 5), ("one", 0, 1)]
     joined = {r["k"]: r["all"] for r in joined_chunks(chunks, ["k"], "all").collect()}
     assert joined == {"k": [f"v{i}" for i in range(25)], "one": ["v0"]}
+
+
+def test_sparse_sets_are_short(spark):
+    """A set of few ids takes a number per 64 ids, not a bitmap of 4 KB."""
+    df = spark.createDataFrame([("d1", 64), ("d1", 127), ("d1", 128), ("d2", 1 << 40), (None, 63)], "d string, n long")
+    days = id_bitmaps(df, ["d"], "n")
+    assert dict(days.dtypes)["bits"] == "bigint"
+    assert rows(days.groupBy("d").count()) == sorted([("d1", 2), ("d2", 1), (None, 1)], key=repr)
+    assert rows(distinct_counts(united(days, ["d"]), ["d"], "c")) == sorted([("d1", 3), ("d2", 1), (None, 1)], key=repr)
+
+
+def test_one_row_per_key_sends_no_column_twice(spark):
+    data = [(1, 1, "a", {"m": 1}), (1, 2, None, None), (1, None, "z", None), (2, None, "x", None), (2, None, None, None)]
+    df = spark.createDataFrame(data, "k int, t int, v string, m map<string,int>")
+    flat = df.drop("m")
+    assert rows(latest(flat, "k", ["t", "v"])) == [(1, 2, None), (2, None, "x")]
+    assert rows(first(flat, "k", ["t", "v"])) == [(1, 1, "a"), (2, None, "x")]
+    assert rows(first(flat, "k", ["k", "v"])) == [(1, 1, "a"), (2, None, "x")]
+    for pick in (latest, first):
+        assert "_by(" not in plan(pick(flat, "k", ["t", "v"]))
+        assert pick(df, "k", ["t", "v"]).drop("m").collect() == pick(flat, "k", ["t", "v"]).collect()
