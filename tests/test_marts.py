@@ -393,7 +393,7 @@ def test_messages_are_built_where_their_lines_are(spark, tmp_path):
     try:
         messages = readings.order_messages(spark, str(tmp_path))
         assert sum("Exchange" in line and "l_orderkey" in line.split("Exchange")[1] for line in plan(messages).splitlines()) == 1
-        got = rows(messages.select("object_id", "payload.cost", F.expr("transform(payload.order_items, x -> x.id)")))
+        got = rows(messages.select("object_id", "payload.cost", F.expr("transform(payload.order_items, x -> x.id)").alias("ids")))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     one = lambda o: [(f"{o}/Brand#1-0", Decimal("30.00"), ["7", "8"]), (f"{o}/Brand#1-1", Decimal("30.00"), ["1007"])]
