@@ -14,8 +14,9 @@ from martkit.session import staged
 # Up to this many centroids become constants of the plan; the count is checked.
 MAX_CONSTANT_CENTROIDS = 64
 # The tree of cells for larger tables: children of a cell per axis, levels, the
-# length up to which a list is compared, and what rounding may hide.
-FANOUT, LEVELS, SHORT_LIST, SLACK = 4, 10, 24, 1e-9
+# length up to which a list is compared, that for cells of a few places, how many
+# places are few, and what rounding may hide.
+FANOUT, LEVELS, SHORT_LIST, LONG_LIST, FEW_PLACES, SLACK = 4, 10, 24, 4096, 16, 1e-9
 _AXES = ("x", "y", "z")
 _CELL = ("_cx", "_cy", "_cz")
 # A cell itself and half of its 26 neighbours: each pair of cells once.
@@ -79,34 +80,43 @@ def _unit(lat: float, lon: float) -> tuple[float, float, float]:
 def _nearest_by_tree(points: DataFrame, centroids: DataFrame, lat: str, lon: str) -> DataFrame:
     """Search down a tree of cells. A cell has a list of centroids: those that
     can be nearest to some place in it, because they are no farther from its
-    nearest corner than another is from its farthest. Cells that hold places and
-    a long list are split, and the lists of their children are cut down again;
-    places in a cell of a short list compare that list. Places are searched once
-    each and joined back: keys of points may repeat or be null."""
+    nearest corner than another is from its farthest. Cells of many places and a
+    long list are split, and the lists of their children are cut down again; the
+    places of other cells compare their list, which is one row. A list is not
+    split for fewer places than there would be lists, so lists do not outgrow the
+    places. Places are searched once each and joined back: keys of points may
+    repeat or be null."""
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     place = F.col("lat").alias("_clat"), F.col("lon").alias("_clon")
     centers = centroids.select("id", "city", *place).dropna().groupBy("_clat", "_clon").agg(F.min(F.struct("id", "city")).alias("_who"))
     lists = _with_vector(centers, "_clat", "_clon", "c").withColumns({c: F.lit(0).cast("long") for c in _CELL})
-    left = staged(_with_vector(points.filter(known).select(lat, lon).distinct(), lat, lon, "p"), "places")
+    left = staged(points.filter(known).select(lat, lon).distinct(), "places")
+    up = [f"_up{c}" for c in _CELL]
     parts = []
     for level in range(1, LEVELS + 1):
         cells = FANOUT**level
-        placed = left.withColumns({c: F.least(F.floor((F.col(f"p{a}") + 1) / 2 * cells), F.lit(cells - 1)) for c, a in zip(_CELL, _AXES)})
-        parents = [F.floor(F.col(c) / FANOUT).alias(f"_up{c}") for c in _CELL]
-        children = placed.select(*_CELL).distinct().select(*_CELL, *parents)
-        above = lists.withColumnsRenamed({c: f"_up{c}" for c in _CELL})
-        opened = children.join(above, [f"_up{c}" for c in _CELL]).drop(*[f"_up{c}" for c in _CELL])
-        opened = opened.withColumns({"_near": _to_cell(cells, False), "_far": _to_cell(cells, True)})
-        bounds = opened.groupBy(*_CELL).agg(F.min("_far").alias("_bound"))
-        kept = staged(opened.join(bounds, list(_CELL)).filter(F.col("_near") <= F.col("_bound") + SLACK).drop("_near", "_far", "_bound"), "lists")
-        sizes = kept.groupBy(*_CELL).agg(F.count("*").alias("_n"))
-        leaves = sizes.filter((F.col("_n") <= SHORT_LIST) | F.lit(level == LEVELS)).select(*_CELL)
-        gap = sum((F.col(f"p{a}") - F.col(f"c{a}")) * (F.col(f"p{a}") - F.col(f"c{a}")) for a in _AXES)
-        hit = F.struct(gap.alias("gap"), "_who.id", "_who.city", "_clat", "_clon")
-        met = placed.join(kept.join(leaves, list(_CELL)), list(_CELL))
-        parts.append(staged(met.groupBy(lat, lon).agg(F.min(hit).alias("_hit")), "nearest"))
-        lists = kept.join(leaves, list(_CELL), "left_anti")
-        left = staged(placed.join(leaves, list(_CELL), "left_anti").drop(*_CELL), "places")
+        placed = _with_vector(left, lat, lon, "p").withColumns(
+            {c: F.least(F.floor((F.col(f"p{a}") + 1) / 2 * cells), F.lit(cells - 1)) for c, a in zip(_CELL, _AXES)}
+        )
+        parents = [F.floor(F.col(c) / FANOUT).alias(u) for c, u in zip(_CELL, up)]
+        children = placed.groupBy(*_CELL).agg(F.count("*").alias("_places")).select("*", *parents)
+        above = lists.withColumnsRenamed(dict(zip(_CELL, up))).repartition(*up)
+        # The lists are opened twice, so that only bounds are shuffled in between.
+        bounds = children.join(above, up).groupBy(*_CELL, *up, "_places").agg(F.min(_to_cell(cells, True)).alias("_bound"))
+        opened = staged(bounds, "cells").join(above, up)
+        kept = staged(opened.filter(_to_cell(cells, False) <= F.col("_bound") + SLACK).drop(*up, "_bound"), "lists")
+        sizes = kept.groupBy(*_CELL).agg(F.count("*").alias("_n"), F.max("_places").alias("_places"))
+        few = (F.col("_places") <= FEW_PLACES) & (F.col("_n") <= LONG_LIST)
+        leaves = sizes.filter((F.col("_n") <= SHORT_LIST) | few).select(*_CELL)
+        parts.append(staged(_hits(placed, kept.join(leaves, list(_CELL)), lat, lon), "nearest"))
+        lists = kept.join(leaves, list(_CELL), "left_anti").drop("_places")
+        rest = placed.join(leaves, list(_CELL), "left_anti")
+        if level < LEVELS:
+            left = staged(rest.select(lat, lon), "places")
+        else:  # lists of any length, row by row
+            hit = F.struct(_gap(F.col).alias("gap"), "_who.id", "_who.city", "_clat", "_clon")
+            met = rest.join(lists, list(_CELL)).groupBy(lat, lon).agg(F.min(hit).alias("_hit"))
+            parts.append(staged(met.select(lat, lon, "_hit.id", "_hit.city", "_hit._clat", "_hit._clon"), "nearest"))
         if left.isEmpty():
             break
     hits = parts[0]
@@ -115,14 +125,29 @@ def _nearest_by_tree(points: DataFrame, centroids: DataFrame, lat: str, lon: str
     hits = hits.select(
         F.col(lat).alias("_lat"),
         F.col(lon).alias("_lon"),
-        F.col("_hit.id").alias("city_id"),
-        F.col("_hit.city").alias("city"),
-        haversine_km(F.col(lat), F.col(lon), F.col("_hit._clat"), F.col("_hit._clon")).alias("distance_km"),
+        F.col("id").alias("city_id"),
+        "city",
+        haversine_km(F.col(lat), F.col(lon), F.col("_clat"), F.col("_clon")).alias("distance_km"),
     )
     here = (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon"))
     return points.join(hits, here, "left").select(*points.columns, "city_id", "city", "distance_km")
 
 
+def _hits(placed: DataFrame, lists: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Places with the nearest centroid of their cell's list. The list is one row
+    in the order of ids, so of equal distances the first is taken."""
+    entry = F.struct("_who.id", "_who.city", "_clat", "_clon", "cx", "cy", "cz")
+    rows = lists.groupBy(*_CELL).agg(F.array_sort(F.collect_list(entry)).alias("_list"))
+    best = F.array_min(F.transform("_list", lambda c, at: F.struct(_gap(lambda n: c[n] if n.startswith("c") else F.col(n)).alias("gap"), at.alias("at"))))
+    won = placed.join(rows, list(_CELL)).withColumn("_hit", F.get("_list", best["at"]))
+    return won.select(lat, lon, "_hit.id", "_hit.city", "_hit._clat", "_hit._clon")
+
+
+def _gap(of) -> Column:
+    """Squared distance of the vectors ``p`` and ``c``."""
+    return sum((of(f"p{a}") - of(f"c{a}")) * (of(f"p{a}") - of(f"c{a}")) for a in _AXES)
+
+
 def _with_vector(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
     vector = unit_vector(F.col(lat), F.col(lon))
     return df.select("*", *[v.alias(f"{prefix}{a}") for v, a in zip(vector, _AXES)])

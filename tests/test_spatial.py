@@ -62,6 +62,19 @@ def test_no_cell_of_the_tree_holds_all_centroids(spark, monkeypatch):
         assert kept.groupBy("_cx", "_cy", "_cz").count().agg(F.max("count")).first()[0] < 601
 
 
+def test_lists_of_the_tree_do_not_outgrow_the_places(spark, monkeypatch):
+    rng = random.Random(6)
+    cities = [(i, f"c{i}", rng.uniform(-10, 60), rng.uniform(-20, 100)) for i in range(400)]
+    points = [(i, rng.uniform(-85, 85), rng.uniform(-180, 180)) for i in range(300)]
+    lists = []
+    monkeypatch.setattr(spatial, "staged", lambda df, name: [out := staged(df, name), lists.append(out) if name == "lists" else None][0])
+    found = nearest(spark.createDataFrame(points, "pid int, lat double, lon double"), spark.createDataFrame(cities, "id int, city string, lat double, lon double"))
+    got = {r["pid"]: r["city_id"] for r in found.collect()}
+    assert got == {i: min((distance(la, lo, c[2], c[3]), c[0]) for c in cities)[1] for i, la, lo in points}
+    # The places of a cell soon are few, and no list is made for each of them.
+    assert len(lists) < 3 and sum(kept.count() for kept in lists) < 18_000
+
+
 def crowd(n, seed):
     rng = random.Random(seed)
     people = [(i, -33.86 + rng.uniform(-0.03, 0.03), 151.2 + rng.uniform(-0.03, 0.03)) for i in range(n)]
