@@ -200,7 +200,9 @@ def near_pairs(positions: DataFrame, km: float) -> DataFrame:
     return near_members(positions.withColumn("_all", F.lit(0)), "_all", km).drop("_all")
 
 
-def near_members(members: DataFrame, group: str, km: float, rows_per_task: int = 20_000) -> DataFrame:
+def near_members(
+    members: DataFrame, group: str, km: float, rows_per_task: int = 20_000, once: bool = False, carry: list[str] = ()
+) -> DataFrame:
     """Pairs of the same group at most ``km`` apart: group, user_left,
     user_right (the greater id is left), distance_km.
 
@@ -209,46 +211,55 @@ def near_members(members: DataFrame, group: str, km: float, rows_per_task: int =
     live apart never meet. Each pair of neighbouring cells is visited once, and
     both sides of a crowded cell are cut into parts that meet part by part, so a
     task holds about ``rows_per_task`` rows of either side.
+
+    With ``once`` a pair comes in the smallest of its common groups only: each
+    member's row brings its user's smaller groups along, so that pairs, of which
+    there are many more than members, need no shuffle to be told apart. Columns
+    named in ``carry`` come with both users, as ``{name}_left`` and
+    ``{name}_right``.
     """
-    placed = _with_vector(members.dropna(subset=[group, "user_id", "lat", "lon"]), "lat", "lon", "p")
+    known = members.dropna(subset=[group, "user_id", "lat", "lon"])
+    carry = list(carry)
+    if once:
+        groups = known.groupBy("user_id").agg(F.collect_set(group).alias("_groups"))
+        known = known.join(groups, "user_id").withColumn("_less", F.filter("_groups", lambda g: g < F.col(group)))
+        carry = [*carry, "_less"]
+    placed = _with_vector(known.select(group, "user_id", "lat", "lon", *carry), "lat", "lon", "p")
     # Half a hundredth more than km, since distances are rounded.
     celled = staged(_with_cell(placed, "p", chord_of_km(km + 0.005)).drop("px", "py", "pz"), "celled")
-    cell = [group, "_cx", "_cy", "_cz"]
+    cell = [group, *_CELL]
     crowded = (
         celled.groupBy(*cell)
         .agg(F.ceil(F.count("*") / F.lit(rows_per_task)).cast("int").alias("_parts"))
         .filter(F.col("_parts") > 1)
     )
-    own = F.pmod(F.xxhash64("user_id"), F.coalesce("_parts", F.lit(1))).cast("int")
-    split = celled.join(crowded, cell, "left").withColumn("_own", own).drop("_parts")
-
-    def side(sign: int, user: str, lat: str, lon: str, mine: str, theirs: str) -> DataFrame:
-        """Rows for each visited neighbour, copied to the parts of that cell."""
-        there = [F.col(group), *[(F.col(f"_c{a}") + sign * F.col(f"_step.{a}")).alias(f"_c{a}") for a in _AXES]]
-        here = [F.col(f"_c{a}").alias(f"_h{a}") for a in _AXES]
-        steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(a) for a, v in zip(_AXES, step)]) for step in _VISITED]))
-        sent = split.withColumn("_step", steps).select(*there, *here, "_step", "_own", "user_id", "lat", "lon")
-        parts = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-        first = "_h" if sign > 0 else "_c"  # both sides name the pair by its first cell
-        return sent.join(crowded, cell, "left").select(
-            group,
-            *[F.col(f"{first}{a}").alias(f"_a{a}") for a in _AXES],
-            "_step",
-            F.col("_own").alias(mine),
-            parts.alias(theirs),
-            F.col("user_id").alias(user),
-            F.col("lat").alias(lat),
-            F.col("lon").alias(lon),
-        )
-
-    left = side(1, "_left", "_la", "_lo", "_p", "_q")
-    right = side(-1, "_right", "_ra", "_ro", "_q", "_p")
-    away = haversine_km(F.col("_la"), F.col("_lo"), F.col("_ra"), F.col("_ro"))
-    same_cell = F.expr("_step.x = 0 AND _step.y = 0 AND _step.z = 0")
-    return (
-        left.join(right, [group, "_ax", "_ay", "_az", "_step", "_p", "_q"])
-        .filter((F.col("_left") > F.col("_right")) | (~same_cell & (F.col("_left") < F.col("_right"))))
+    # The parts that rows of a cell may come in from it and the cells that visit it.
+    steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(a) for a, v in zip(_AXES, step)]) for step in _VISITED]))
+    beyond = [group, *[(F.col(f"_c{a}") + F.col(f"_step.{a}")).alias(f"_c{a}") for a in _AXES]]
+    visits = crowded.withColumn("_step", steps).select(*beyond, "_parts").groupBy(*cell).agg(F.max("_parts").alias("_visits"))
+    one = F.lit(1)
+    own = F.pmod(F.xxhash64("user_id"), F.coalesce("_parts", one)).cast("int").alias("_own")
+    split = celled.join(crowded, cell, "left").select(*celled.columns, own)
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, one) - 1))
+
+    def named(at: str) -> list[Column]:
+        return [F.col("user_id").alias(f"_{at}"), F.col("lat").alias(f"_{at}_lat"), F.col("lon").alias(f"_{at}_lon"), *[F.col(c).alias(f"_{at}_{c}") for c in carry]]
+
+    # One side goes to the cells it visits and all their parts, the other stays.
+    sent = split.withColumn("_step", steps).withColumn("_same", F.expr("_step.x = 0 AND _step.y = 0 AND _step.z = 0"))
+    sent = sent.select(*beyond, "_same", "_own", "user_id", "lat", "lon", *carry).join(crowded, cell, "left")
+    left = sent.select(*cell, "_same", F.col("_own").alias("_p"), upto("_parts").alias("_q"), *named("a"))
+    right = split.join(visits, cell, "left").select(*cell, F.col("_own").alias("_q"), upto("_visits").alias("_p"), *named("b"))
+    away = haversine_km(F.col("_a_lat"), F.col("_a_lon"), F.col("_b_lat"), F.col("_b_lon"))
+    near = (
+        left.join(right, [*cell, "_p", "_q"])
+        .filter((F.col("_a") > F.col("_b")) | (~F.col("_same") & (F.col("_a") < F.col("_b"))))
         .withColumn("distance_km", F.round(away, 2))
         .filter(F.col("distance_km") <= km)
-        .select(group, F.greatest("_left", "_right").alias("user_left"), F.least("_left", "_right").alias("user_right"), "distance_km")
     )
+    if once:
+        near = near.filter(~F.arrays_overlap("_a__less", "_b__less"))
+        carry.remove("_less")
+    greater = F.col("_a") > F.col("_b")
+    sides = [F.when(greater if side == "left" else ~greater, F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")).alias(f"{c}_{side}") for side in ("left", "right") for c in carry]
+    return near.select(group, F.greatest("_a", "_b").alias("user_left"), F.least("_a", "_b").alias("user_right"), "distance_km", *sides)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.pairs import undirected, without
-from martkit.operators.spatial import near_members, nearest
+from martkit.operators.spatial import near_members, nearest, pairs_within
 from martkit.plans.travel import events_of, with_local_time
 from martkit.session import staged
 
@@ -30,7 +30,9 @@ def friend_recommendations(
     user's last message in that zone.
 
     Channel and place are one join key, so a big channel is not paired with
-    itself; only members of it who are neighbours meet.
+    itself; only members of it who are neighbours meet. Pairs may be many more
+    than users, so they bring along what is shown of them and each comes once;
+    of the pairs who wrote, the near ones alone are looked up.
     """
     positions = nearest(last_positions(events), cities).drop("city_id", "distance_km")
     positions = staged(positions, "positions")
@@ -40,8 +42,8 @@ def friend_recommendations(
         .dropna()
         .distinct()
     )
-    members = subscribed.join(positions.select("user_id", "lat", "lon"), "user_id")
-    near = near_members(members, "channel", km).select("user_left", "user_right").distinct()
+    members = subscribed.join(positions.select("user_id", "lat", "lon", "city", "message_ts"), "user_id")
+    near = near_members(members, "channel", km, once=True, carry=["city", "message_ts"])
     wrote = undirected(
         events_of(events, "message").select(
             F.col("event.message_from").alias("a"), F.col("event.message_to").alias("b")
@@ -49,9 +51,8 @@ def friend_recommendations(
         "a",
         "b",
     )
-    left = positions.select(F.col("user_id").alias("user_left"), F.col("city").alias("zone_id"))
-    right = positions.select(F.col("user_id").alias("user_right"), F.col("message_ts").alias("_utc"))
-    rows = without(near, wrote).join(left, "user_left").join(right, "user_right")
+    told = staged(pairs_within(wrote, positions, km).select("user_left", "user_right"), "told")
+    rows = without(near, told).select("user_left", "user_right", F.col("city_left").alias("zone_id"), F.col("message_ts_right").alias("_utc"))
     return with_local_time(rows, "zone_id", "_utc", zones).select(
         "user_left", "user_right", "zone_id", "local_time", F.lit(ds).cast("date").alias("processed_dttm")
     )

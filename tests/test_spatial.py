@@ -105,6 +105,25 @@ def test_crowded_cells_are_split_without_loss(spark):
     assert sorted(rows(got.filter("g = 'small'"), "user_left", "user_right")) == brute(people[:20])
 
 
+def test_pairs_of_several_groups_once(spark):
+    people = crowd(80, 7)
+    rng = random.Random(8)
+    of = {p[0]: {rng.randrange(6) for _ in range(3)} for p in people}
+    members = spark.createDataFrame([(g, u, la, lo, f"at {u}") for u, la, lo in people for g in of[u]], "g int, user_id int, lat double, lon double, place string")
+    expected = [(a, b) for a, b in brute(people) if of[a] & of[b]]
+    for size in (20_000, 4):
+        got = near_members(members, "g", 1.0, size, once=True, carry=["place"])
+        assert rows(got) == sorted(((min(of[a] & of[b]), a, b, got_km, f"at {a}", f"at {b}") for a, b, got_km in [(a, b, km_of(people, a, b)) for a, b in expected]), key=repr)
+    # Nothing is shuffled behind the join that makes the pairs.
+    text = plan(near_members(members, "g", 1.0, once=True))
+    assert "Exchange" not in text[: text.index("Join")]
+
+
+def km_of(people, a, b):
+    at = {p[0]: p[1:] for p in people}
+    return round(distance(*at[a], *at[b]), 2)
+
+
 def test_pairs_within(spark):
     people = crowd(10, 4)
     positions = spark.createDataFrame(people, "user_id int, lat double, lon double")
