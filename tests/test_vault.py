@@ -104,3 +104,14 @@ def test_links_look_up_parents_with_one_hash_at_a_time(spark):
     lines = plan(link).splitlines()
     below = lines[next(i for i, line in enumerate(lines) if "LeftSemi" in line) + 1 :]
     assert below and max(line.count("xxhash64(") for line in below) == 1
+
+
+def test_link_hashes_parents_of_new_rows_only(spark):
+    day = stamp("2024-01-01 00:00:00")
+    data = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 1)], "g int, u int")
+    parents = {"hk_g": "g", "hk_u": "u"}
+    held = load_link(None, data.filter("u = 1"), "hk", parents, "s", day)
+    fresh = load_link(held, data, "hk", parents, "s", day)
+    assert rows(merged(held, fresh).drop("load_dt")) == rows(load_link(None, data, "hk", parents, "s", day).drop("load_dt"))
+    text = plan(fresh)
+    assert "AS hk_u" in text[: text.index("Join")] and "AS hk_u" not in text[text.index("Join") :]
