@@ -1,7 +1,9 @@
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,8 @@ from martkit.sinks.files import (
     write_full,
     write_layout,
 )
-from martkit.sinks.hashed import MOST_BUCKETS, hashed_table
+from martkit.sinks.commits import CommitLog
+from martkit.sinks.hashed import MOST_BUCKETS, HashedTable, hashed_table
 from martkit.sinks.merge import CounterTable, accumulate, insert_missing, upsert
 from martkit.sources.files import (
     increment_path,
@@ -253,3 +256,23 @@ def test_buckets_grow_with_a_large_table(spark, tmp_path):
     sizes = table.buckets()
     assert 8 <= len(sizes) <= 8 * MOST_BUCKETS and sum(sizes.values()) >= 6000
     assert rows(table.read().groupBy("t").count()) == [(2, 6000)]
+
+
+def test_first_batches_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    hints, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *args: hints.append(name) or hint(df, name, *args))
+    log = CommitLog(spark, f"{tmp_path}/t")
+    table = HashedTable(log, "rows", "id", limit=100, bits=1)
+    data = spark.range(0, 3000, 1, 4).withColumn("text", F.sha1(F.col("id").cast("string")))
+    log.commit(log.state(), {"rows": table.added(data, log.state())})
+    table.maintain()  # from two buckets to many, by tasks that hold whole buckets
+    counters = CounterTable(spark, f"{tmp_path}/c", "id", "n")
+    counters.add(data.select("id", F.lit(1).alias("n")), 0)
+    assert "rebalance" not in hints
+    assert rows(table.read()) == rows(data) and counters.read().count() == 3000
+    parts = log.state()["tables"]["rows"]["parts"]
+    files = [f"{p['path']}/{f}" for p in parts for f in os.listdir(p["path"].removeprefix("file:")) if f.endswith(".parquet")]
+    assert len(parts) > 8 and len(files) == len(parts)
+    assert pq.ParquetFile(files[0].removeprefix("file:")).metadata.row_group(0).column(0).compression == "ZSTD"
+    log.commit(log.state(), {"rows": table.added(data.limit(50), log.state())})
+    assert "rebalance" in hints  # one file a bucket where there are many
