@@ -35,7 +35,7 @@ from martkit.quality import checks as dq
 from martkit.quality.expectations import Expectations, split_violations
 from martkit.session import new_path, scratch, staged
 from martkit.sinks.files import SnapshotTable, append, register_views, replace_partition, replace_values, write_full, write_layout
-from martkit.sinks.commits import CommitLog, compact, publish_batch
+from martkit.sinks.commits import CommitLog, compact, publish_batch, written_at_once
 from martkit.sinks.hashed import hashed_table
 from martkit.sinks.merge import CounterTable, KeyedTable, insert_missing
 from martkit.sources.files import increment_path, load_csv_day, load_csv_full, read_increment_csv, read_reference
@@ -463,7 +463,7 @@ def _entities(spark, sf) -> dict[str, DataFrame]:
     couriers = ledger.stage_documents(courier_pages, "_id")
     deliveries = ledger.stage_documents(delivery_pages, "order_id")
     # Parsed into orders, details and sales: staged as the warehouse does.
-    return ledger.delivery_entities(couriers, staged(deliveries, "deliveries"))
+    return ledger.delivery_entities(couriers, staged(deliveries, "deliveries"), save=staged)
 
 
 def delivery_entities(spark, sf) -> DataFrame:
@@ -996,9 +996,25 @@ def order_keys(spark, sf) -> DataFrame:
 
 
 def quality_report(spark, sf) -> DataFrame:
-    scores = staged(rfm.rfm(r.users(spark, sf), r.orders(spark, sf), SINCE, closed="F"), "rfm")
-    mart, ship = _shipping_mart(spark, sf)
-    mart = staged(mart, "shipping-mart")
+    def shipped():
+        mart, ship = _shipping_mart(spark, sf)
+        return staged(mart, "shipping-mart"), ship
+
+    def settled():
+        month, entities = _ledger(spark, sf)
+        return staged(month, "ledger"), entities
+
+    # The marts do not depend on each other, so their jobs fill the cores together.
+    built = written_at_once(
+        {
+            "rfm": lambda: staged(rfm.rfm(r.users(spark, sf), r.orders(spark, sf), SINCE, closed="F"), "rfm"),
+            "shipping": shipped,
+            "ledger": settled,
+            "vault": lambda: _community(spark, sf, "h_users", "h_dialogs", "h_groups", "l_admins", "s_user_socdem"),
+        }
+    )
+    scores, vault = built["rfm"], built["vault"]
+    (mart, ship), (month, entities) = built["shipping"], built["ledger"]
     dims = ship["info"].select("shippingid", "shipping_country_id", "transfer_type_id", "agreementid")
     recomputed = (
         mart.join(dims, "shippingid")
@@ -1006,9 +1022,6 @@ def quality_report(spark, sf) -> DataFrame:
         .join(ship["transfers"], ["transfer_type_id", "transfer_type"])
         .join(ship["agreements"], "agreementid")
     )
-    month, entities = _ledger(spark, sf)
-    month = staged(month, "ledger")
-    vault = _community(spark, sf, "h_users", "h_dialogs", "h_groups", "l_admins", "s_user_socdem")
     tables = {
         "rfm": scores,
         "users": r.users(spark, sf),

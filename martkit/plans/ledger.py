@@ -59,11 +59,13 @@ def without_id(pages: DataFrame, id_field: str, document: str = "document") -> D
     return pages.filter(F.get_json_object(document, f"$.{id_field}").isNull())
 
 
-def delivery_entities(courier_docs: DataFrame, delivery_docs: DataFrame) -> dict[str, DataFrame]:
+def delivery_entities(courier_docs: DataFrame, delivery_docs: DataFrame, save=None) -> dict[str, DataFrame]:
     """Couriers, orders, delivery details and sales out of the staged documents
-    (M-17), plus the documents that could not be parsed."""
+    (M-17), plus the documents that could not be parsed. ``save(df, name)``
+    stores the parsed deliveries, so that a document is parsed once only."""
     couriers, bad_couriers = split_corrupt(parse_json_column(courier_docs, "object_value", COURIER))
-    deliveries, bad_deliveries = split_corrupt(parse_json_column(delivery_docs, "object_value", DELIVERY))
+    parsed = parse_json_column(delivery_docs, "object_value", DELIVERY)
+    deliveries, bad_deliveries = split_corrupt(save(parsed, "parsed") if save else parsed)
     per_delivery = latest(
         deliveries.select("delivery_id", "courier_id", "delivery_ts", "rate"), "delivery_id", ["delivery_ts", "courier_id"]
     )

@@ -398,3 +398,20 @@ def test_messages_are_built_where_their_lines_are(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     one = lambda o: [(f"{o}/Brand#1-0", Decimal("30.00"), ["7", "8"]), (f"{o}/Brand#1-1", Decimal("30.00"), ["1007"])]
     assert got == sorted([*one(1), *one(2), *one(2)], key=repr)
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [("o1", '{"order_id": "o1", "delivery_id": "d1", "courier_id": "c1", "rate": 4, "sum": 10.5}'), ("o2", "{broken")], "object_id string, object_value string"
+    )
+    couriers = spark.createDataFrame([("c1", '{"_id": "c1", "name": "A"}')], "object_id string, object_value string")
+
+    def save(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    plain, saved = ledger.delivery_entities(couriers, docs), ledger.delivery_entities(couriers, docs, save=save)
+    for name, df in saved.items():
+        assert rows(df) == rows(plain[name])
+    for name in ("orders", "details", "sales"):
+        assert "from_json" in plan(plain[name]) and "from_json" not in plan(saved[name])
