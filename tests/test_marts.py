@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martkit.catalog import readings
 from martkit.functions.keys import ORDER_NAMESPACE
 from martkit.operators.calendar import calendar
+from martkit.operators.joins import resolve_items
 from martkit.plans import counters, fx_metrics, ledger, orders, recommend, retention, rfm, shipping, travel, zones
 from martkit.plans.geo_dims import CITIES, CITY_ZONES, cities
 from martkit.plans.geo_dims import zones as zone_table
@@ -415,3 +416,15 @@ def test_documents_are_parsed_once(spark, tmp_path):
         assert rows(df) == rows(plain[name])
     for name in ("orders", "details", "sales"):
         assert "from_json" in plan(plain[name]) and "from_json" not in plan(saved[name])
+
+
+def test_lines_are_gathered_without_lambdas(spark):
+    line = "array<struct<id: string, price: int, quantity: int>>"
+    data = [(1, "r", [("b", 1, 1), ("a", 2, 1), ("x", 3, 1)]), (2, "r", []), (3, "r", None), (4, "q", [None, ("a", 4, 1)])]
+    orders_ = spark.createDataFrame(data, f"object_id int, restaurant_id string, order_items {line}")
+    menu = "array<struct<_id: string, name: string, category: string>>"
+    places = spark.createDataFrame([("r", "R", [("a", "A", "c"), ("b", "B", "c"), ("a", "Z", "c")])], f"id string, name string, menu {menu}")
+    got = resolve_items(orders_, places)
+    shown = {r["object_id"]: (r["restaurant_name"], r["products"] and [p["name"] for p in r["products"]], r["unresolved"]) for r in got.collect()}
+    assert shown == {1: ("R", ["B", "A", None], 1), 2: ("R", [], 0), 3: ("R", None, 0), 4: (None, [None, None], 2)}
+    assert "lambda" not in plan(got)

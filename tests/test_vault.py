@@ -115,3 +115,17 @@ def test_link_hashes_parents_of_new_rows_only(spark):
     assert rows(merged(held, fresh).drop("load_dt")) == rows(load_link(None, data, "hk", parents, "s", day).drop("load_dt"))
     text = plan(fresh)
     assert "AS hk_u" in text[: text.index("Join")] and "AS hk_u" not in text[text.index("Join") :]
+
+
+def test_keys_are_hashed_once_rows_are_reduced(spark, tmp_path):
+    day = stamp("2024-01-01 00:00:00")
+    spark.range(40).select((F.col("id") % 5).alias("g"), (F.col("id") % 3).alias("u")).write.parquet(f"{tmp_path}/rows")
+    data = spark.read.parquet(f"{tmp_path}/rows")
+    load_hub(None, data.filter("g < 2"), "g", "hk", [], "s", day).write.parquet(f"{tmp_path}/held")
+    held = spark.read.parquet(f"{tmp_path}/held")
+    fresh = load_hub(held, data, "g", "hk", [], "s", day)
+    assert rows(fresh, "g") == [(2,), (3,), (4,)]
+    assert rows(load_hub(held.unionByName(held), data, "g", "hk", [], "s", day), "g") == rows(fresh, "g")
+    lines = fresh._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    reduced = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert "xxhash64" in "".join(lines[: reduced + 1]) and "xxhash64" not in "".join(lines[reduced + 1 :])
