@@ -3,7 +3,6 @@ import os
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,8 +258,9 @@ def test_buckets_grow_with_a_large_table(spark, tmp_path):
 
 
 def test_first_batches_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
-    hints, hint = [], DataFrame.hint
-    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *args: hints.append(name) or hint(df, name, *args))
+    frame = type(spark.range(1))
+    hints, hint = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *args: hints.append(name) or hint(df, name, *args))
     log = CommitLog(spark, f"{tmp_path}/t")
     table = HashedTable(log, "rows", "id", limit=100, bits=1)
     data = spark.range(0, 3000, 1, 4).withColumn("text", F.sha1(F.col("id").cast("string")))
