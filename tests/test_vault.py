@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
-from martkit.functions.keys import hash_key
+from martkit.functions.keys import hash_key, uuid5_key
 from martkit.plans.conversion import group_conversion, load_community_vault
+from martkit.vault import loaders
 from martkit.vault.loaders import load_hub, load_link, load_satellite, merged
 from tests.conftest import plan, rows
 
@@ -129,3 +130,30 @@ def test_keys_are_hashed_once_rows_are_reduced(spark, tmp_path):
     lines = fresh._jdf.queryExecution().optimizedPlan().toString().splitlines()
     reduced = next(i for i, line in enumerate(lines) if "Aggregate" in line)
     assert "xxhash64" in "".join(lines[: reduced + 1]) and "xxhash64" not in "".join(lines[reduced + 1 :])
+
+
+def test_steady_keys_of_satellites_are_not_put_in_order(spark, monkeypatch):
+    day = stamp("2024-01-01 00:00:00")
+    at = F.to_timestamp_ntz(F.concat(F.lit("2024-02-"), "t"))
+    data = lambda *r: spark.createDataFrame(list(r), "id string, t string, v string").withColumn("at", at).drop("t")
+    load = lambda held, new: load_satellite(held, new, "hk", ["v"], "s", day, mode="hashdiff", order_by="at", key="id", key_of=key_of)
+    new = data(("a", "05", "x"), ("b", "05", "y"), ("c", "01", "x"), ("d", "05", "x"), ("e", None, "x"), ("f", "05", None), ("g", "05", "x"))
+    for key_of in (uuid5_key, hash_key, plain):
+        held = load(None, data(("a", "03", "x"), ("b", "03", "x"), ("c", "03", "x"), ("e", "03", "x"), ("f", "03", None), ("g", None, "x")))
+        several = load(held, data(("b", "04", "z"), ("b", "06", "y")))
+        assert rows(several, "v") == [("y",), ("z",)]
+        with monkeypatch.context() as m:
+            m.setattr(loaders, "with_previous", None)
+            fresh = load(held, new)
+            want = new.filter("id in ('b', 'c', 'd', 'e')").select(key_of("id").alias("hk"), "at", "v")
+            assert rows(fresh, "hk", "at", "v") == rows(want)
+            assert rows(fresh.select(key_of("hk", "v").alias("h"))) == rows(fresh, "hk_hashdiff" if "hk_hashdiff" in fresh.columns else "hash_diff")
+        # Known rows that differ are put in order with the new ones.
+        assert rows(load(merged(held, several), data(("b", "05", "z"), ("b", "07", "y"), ("c", "02", "x"))), "v", "at") == rows(
+            data(("c", "02", "x")), "v", "at"
+        )
+
+
+def plain(*cols):
+    """Keys as text that only look like a UUID."""
+    return F.concat_ws("|", F.lit("00000000-0000-0000-0000-00000000000A"), *[F.coalesce(F.col(c), F.lit("-")) for c in cols])
