@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from functools import wraps
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +65,35 @@ class Staging:
             self.drop(df)
 
 
+def cells(column: pa.Array, rows: int = 512):
+    """The values of a column; Python holds a few rows of it at a time."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
+
+
+def give_back() -> None:
+    """Memory that the allocators of this process keep for later goes back to
+    the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """A function over batches that gives memory back when it ends. Workers live
+    on for later stages, and would add what they keep to what those need."""
+
+    @wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder that driver and executors share; made if
     it is missing. Any scheme that Arrow knows (file, hdfs, s3, gs, abfs)."""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from martkit.llm.common import Staging, components
+from martkit.llm.common import Staging, cells, components, give_back, tidy
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with a probability of 1.5e-4.
@@ -107,7 +107,7 @@ def _profiles(batches):
     """Class, number of shingles, values for the pruning and band keys."""
     for batch in batches:
         ids, rows = [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), cells(batch.column("text").cast(pa.binary()))):
             found = shingles(text or b"")
             if len(found):
                 values = minhash(found)
@@ -126,9 +126,10 @@ def _profiles(batches):
 @F.arrow_udf(LongType())
 def _class_of(texts: pa.Array) -> pa.Array:
     out = []
-    for text in texts.cast(pa.binary()).to_pylist():
+    for text in cells(texts.cast(pa.binary())):
         found = shingles(text or b"")
         out.append(_mark(found) if len(found) else None)
+    give_back()
     return pa.array(out, pa.int64())
 
 
@@ -217,7 +218,7 @@ def _small_pairs(threshold: float):
 def _verify(threshold: float):
     def run(batches):
         for batch in batches:
-            x, y = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("tx", "ty"))
+            x, y = (cells(batch.column(c).cast(pa.binary())) for c in ("tx", "ty"))
             ok = pa.array([_similar(shingles(a), shingles(b), threshold) for a, b in zip(x, y)], pa.bool_())
             yield batch.drop_columns(["tx", "ty"]).filter(ok)
 
@@ -324,7 +325,7 @@ def _report(docs: DataFrame, threshold: float) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = slim.filter("doc_id is not null")
     fields = "doc_id long, cls long, sig binary, bands array<long>"
-    profiles = staging.keep(named.mapInArrow(_profiles, fields), "profiles")
+    profiles = staging.keep(named.mapInArrow(tidy(_profiles), fields), "profiles")
     classes = profiles.groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("weight"))
     classes = staging.keep(classes, "classes")
 
@@ -354,7 +355,7 @@ def _report(docs: DataFrame, threshold: float) -> DataFrame:
 
     small = held.filter(F.col("size") <= SMALL).select("cls", "bucket").join(known.drop("class_id"), "cls")
     small = small.select("bucket", "cls", "weight", "cluster", "sig").repartition("bucket").sortWithinPartitions("bucket")
-    pairs = small.mapInArrow(_small_pairs(threshold), "x long, wx long, y long, wy long").distinct()
+    pairs = small.mapInArrow(tidy(_small_pairs(threshold)), "x long, wx long, y long, wy long").distinct()
     pairs = staging.keep(pairs, "pairs")
 
     wanted = pairs.select(F.col("x").alias("cls")).union(pairs.select(F.col("y").alias("cls"))).distinct()
@@ -365,7 +366,7 @@ def _report(docs: DataFrame, threshold: float) -> DataFrame:
 
     side = lambda c: texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}"))
     checked = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "wx", "y", "wy", "tx", "ty")
-    links = staging.keep(checked.mapInArrow(_verify(threshold), "x long, wx long, y long, wy long"), "links")
+    links = staging.keep(checked.mapInArrow(tidy(_verify(threshold)), "x long, wx long, y long, wy long"), "links")
 
     sizes = clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     placed = known.filter("cluster <> 0").join(sizes, "cluster").join(texts, "cls")

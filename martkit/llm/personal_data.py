@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from martkit.llm.common import cells, give_back
+
 #: In the order in which spans with the same start are listed.
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE = KINDS[:4]
@@ -169,10 +171,11 @@ def _find(texts: pa.Array) -> pa.Array:
 @F.arrow_udf(StringType())
 def _masked(texts: pa.Array, least: pa.Array) -> pa.Array:
     out = []
-    for text, bound in zip(texts.to_pylist(), least.to_pylist()):
+    for text, bound in zip(cells(texts), cells(least)):
         if text:
             text = mask(text, [s for s in spans(text) if score(text, *s) >= bound])
         out.append(text)
+    give_back()
     return pa.array(out, pa.string())
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martkit.llm.common import free_name
+from martkit.llm.common import cells, free_name, give_back
 
 #: Labelled documents that the learner reads at most.
 LABEL_SAMPLE = 20_000
@@ -74,8 +74,9 @@ def _repeated(ids: np.ndarray, distinct: int) -> int:
 
 @F.arrow_udf(_TYPE)
 def _stats(texts: pa.Array) -> pa.Array:
-    counted = [count_text(x or b"") for x in texts.cast(pa.binary()).to_pylist()]
+    counted = [count_text(x or b"") for x in cells(texts.cast(pa.binary()))]
     columns = np.array(counted, np.int64).reshape(-1, len(COUNTS)).T
+    give_back()
     return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=list(COUNTS))
 
 

@@ -26,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import Staging
+from martkit.llm.common import Staging, tidy
 from martkit.llm.tokens import by_bytes, encoder
 
 #: Window lengths, powers of two, ascending.
 TIERS = (256, 512, 1024, 2048)
 #: Tokens of a full step, and the mean number of pieces in a group.
 STEP, GROUP = 16_384, 20_000
+#: Bytes of text that a task encodes at a time, or one text; its arrays take
+#: about twenty times as much.
+TEXT_BYTES = 2 << 20
 _PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, deal long"
 
 
@@ -46,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1
         code = encoder(tokenizer)
         chance = np.random.default_rng([17, TaskContext.get().partitionId()])
         for batch in batches:
-            for some in by_bytes(batch, "text"):
+            for some in by_bytes(batch, "text", TEXT_BYTES):
                 rows = []
                 found = code.encode([x or "" for x in some.column("text").to_pylist()])
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), found):
@@ -61,7 +64,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1
                 yield pa.RecordBatch.from_arrays([*columns, deal], names=names)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(cut, _PIECES)
+    return slim.mapInArrow(tidy(cut), _PIECES)
 
 
 def fill(lengths: np.ndarray, tiers=TIERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

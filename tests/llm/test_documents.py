@@ -7,15 +7,18 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyspark
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from martkit.llm import packed_ids, personal_data, quality_rules, queries, shard_shuffle, source_mix, window_packing
+from martkit.llm import common, packed_ids, personal_data, quality_rules, queries, shard_shuffle, source_mix, window_packing
 from martkit.llm.common import for_workers
 from martkit.llm.tokens import Encoder
 from tests.conftest import rows
@@ -372,3 +375,40 @@ def test_packing_wastes_little_and_steps_are_equal():
 
 def test_prose_helper_is_stable():
     assert prose(1, 3) == prose(1, 3)
+
+
+def test_packing_encodes_a_bounded_stretch_and_gives_memory_back(monkeypatch):
+    """Workers live on for later stages, so neither a batch's size nor what the
+    allocators keep may add up."""
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, fields):
+            return run
+
+    seen, back = [], []
+
+    class Counting:
+        def encode(self, texts):
+            seen.append(sum(map(len, texts)))
+            return [np.zeros(len(t) // 4, np.uint32) for t in texts]
+
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(window_packing, "encoder", lambda path: Counting())
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    monkeypatch.setattr(window_packing.F, "col", lambda name: SimpleNamespace(cast=lambda kind: SimpleNamespace(alias=lambda name: name)))
+    monkeypatch.setattr(common, "give_back", lambda: back.append(1), raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array(["x" * (1 << 17)] * 64)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(window_packing.pieces(Docs(), "", 1)([batch])))
+    assert sum(seen) == 64 << 17 and max(seen) <= 2 << 20
+    assert out.num_rows == 64 * 17 and sum(out.column("length").to_pylist()) == 64 * ((1 << 15) + 1)
+    assert back == [1]
+    assert list(common.cells(pa.array([1, None, 3, 4, 5]), 2)) == [1, None, 3, 4, 5]
