@@ -17,6 +17,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Spans with a lower score than this stay in the text. It is the least that a
 #: confirmed span can have (an ip beside "section"), so all of them are masked.
 LEAST_SCORE = 0.4
+#: Packing runs beside what earlier stages hold, so it takes less at a time.
+TEXT_BYTES = 2 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training windows: a row per piece of a document."""
-    return window_packing.pack_documents(docs, WORD_BPE, end_id=1)
+    return window_packing.pack_documents(docs, WORD_BPE, end_id=1, most=TEXT_BYTES)
 
 
 STAGES = [

@@ -34,12 +34,12 @@ TIERS = (256, 512, 1024, 2048)
 #: Tokens of a full step, and the mean number of pieces in a group.
 STEP, GROUP = 16_384, 20_000
 #: Bytes of text that a task encodes at a time, or one text; its arrays take
-#: about twenty times as much.
-TEXT_BYTES = 2 << 20
+#: about twenty times as much, and fewer bytes take more CPU.
+TEXT_BYTES = 8 << 20
 _PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, deal long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1]) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1], most: int = TEXT_BYTES) -> DataFrame:
     """Encodes every whole text; a row per piece of at most ``longest`` ids.
     ``deal`` is a random number that does not depend on the document."""
 
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, longest: int = TIERS[-1
         code = encoder(tokenizer)
         chance = np.random.default_rng([17, TaskContext.get().partitionId()])
         for batch in batches:
-            for some in by_bytes(batch, "text", TEXT_BYTES):
+            for some in by_bytes(batch, "text", most):
                 rows = []
                 found = code.encode([x or "" for x in some.column("text").to_pylist()])
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), found):
@@ -156,7 +156,8 @@ def pack(found: DataFrame, tiers=TIERS, group: int = GROUP, step: int = STEP) ->
     return dealt.groupBy("group").applyInPandas(run, fields)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers=TIERS) -> DataFrame:
-    """Encodes and packs every document; a row per piece."""
-    found = Staging(docs.sparkSession).keep(pieces(docs, tokenizer, end_id, tiers[-1]), "pieces")
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers=TIERS, most: int = TEXT_BYTES) -> DataFrame:
+    """Encodes and packs every document; a row per piece. A task encodes
+    ``most`` bytes of text at a time."""
+    found = Staging(docs.sparkSession).keep(pieces(docs, tokenizer, end_id, tiers[-1], most), "pieces")
     return pack(found, tiers)

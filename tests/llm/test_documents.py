@@ -407,7 +407,7 @@ def test_packing_encodes_a_bounded_stretch_and_gives_memory_back(monkeypatch):
     monkeypatch.setattr(window_packing.F, "col", lambda name: SimpleNamespace(cast=lambda kind: SimpleNamespace(alias=lambda name: name)))
     monkeypatch.setattr(common, "give_back", lambda: back.append(1), raising=False)
     batch = pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array(["x" * (1 << 17)] * 64)], names=["doc_id", "text"])
-    out = pa.Table.from_batches(list(window_packing.pieces(Docs(), "", 1)([batch])))
+    out = pa.Table.from_batches(list(window_packing.pieces(Docs(), "", 1, most=corpus_pipeline.TEXT_BYTES)([batch])))
     assert sum(seen) == 64 << 17 and max(seen) <= 2 << 20
     assert out.num_rows == 64 * 17 and sum(out.column("length").to_pylist()) == 64 * ((1 << 15) + 1)
     assert back == [1]
