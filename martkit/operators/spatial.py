@@ -251,8 +251,10 @@ def near_members(
     left = sent.select(*cell, "_same", F.col("_own").alias("_p"), upto("_parts").alias("_q"), *named("a"))
     right = split.join(visits, cell, "left").select(*cell, F.col("_own").alias("_q"), upto("_visits").alias("_p"), *named("b"))
     away = haversine_km(F.col("_a_lat"), F.col("_a_lon"), F.col("_b_lat"), F.col("_b_lon"))
+    # Files of members are much smaller than their rows: by its files a side would be
+    # broadcast that the driver cannot hold.
     near = (
-        left.join(right, [*cell, "_p", "_q"])
+        left.join(right.hint("merge"), [*cell, "_p", "_q"])
         .filter((F.col("_a") > F.col("_b")) | (~F.col("_same") & (F.col("_a") < F.col("_b"))))
         .withColumn("distance_km", F.round(away, 2))
         .filter(F.col("distance_km") <= km)

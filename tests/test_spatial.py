@@ -119,6 +119,13 @@ def test_pairs_of_several_groups_once(spark):
     assert "Exchange" not in text[: text.index("Join")]
 
 
+def test_members_are_not_broadcast_by_the_size_of_their_files(spark):
+    members = spark.createDataFrame(crowd(40, 9), "user_id int, lat double, lon double").withColumn("g", F.lit(1))
+    for once in (False, True):
+        text = plan(near_members(members, "g", 1.0, once=once))
+        assert text[: text.index("Join")].endswith("SortMerge")
+
+
 def km_of(people, a, b):
     at = {p[0]: p[1:] for p in people}
     return round(distance(*at[a], *at[b]), 2)
