@@ -158,6 +158,21 @@ def test_resolve_items_in_order_with_unknown_ones(spark):
     assert got[3]["unresolved"] == 0
 
 
+def test_only_keys_of_orders_are_looked_up(spark):
+    line = "array<struct<id: string, price: int, quantity: int>>"
+    data = [(1, "r", "u", "note", [("a", 2, 1)]), (2, "r", "u", "note", [("a", 2, 1)]), (3, None, "w", "note", None)]
+    orders = spark.createDataFrame(data, f"object_id int, restaurant_id string, user_id string, note string, order_items {line}")
+    menu = "array<struct<_id: string, name: string, category: string>>"
+    restaurants = spark.createDataFrame([("r", "R", [("a", "A", "c")]), ("r", "S", [("b", "B", "c")])], f"id string, name string, menu {menu}")
+    people = spark.createDataFrame([("u", "U"), ("v", "V")], "user_id string, user_name string")
+    got = resolve_items(orders, restaurants, people)
+    # A restaurant of two names gives a row for each, as a join does.
+    want = [(n, r, "U", "note") for n in (1, 2) for r in ("R", "S")] + [(3, None, None, "note")]
+    assert rows(got, "object_id", "restaurant_name", "user_name", "note") == sorted(want, key=repr)
+    scans = [part.split("ReadSchema")[-1] for part in plan(got).split("FileScan")[1:]]
+    assert sum("note" in scan for scan in scans) == 1
+
+
 def test_group_statistics_with_null_group(spark):
     df = spark.createDataFrame([(1, 2), (1, 4), (None, 8)], "g int, v int")
     got = with_group_stat(df, "g", mean=F.avg("v"), n=F.count("*"))

@@ -16,7 +16,8 @@ from martkit.sinks.files import (
     write_full,
     write_layout,
 )
-from martkit.sinks.commits import CommitLog
+from martkit.session import brief_shuffles, staged
+from martkit.sinks.commits import CommitLog, written_at_once
 from martkit.sinks.hashed import MOST_BUCKETS, HashedTable, hashed_table
 from martkit.sinks.merge import CounterTable, accumulate, insert_missing, upsert
 from martkit.sources.files import (
@@ -205,6 +206,24 @@ def test_counters_count_each_batch_once(spark, tmp_path):
     assert rows(table.read()) == [("a", 4), ("b", 2)]
 
 
+def test_staging_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    was = spark.conf.get(setting, None)
+    counts = written_at_once({k: lambda k=k: staged(spark.range(1000).groupBy(F.col("id") % k).count(), "counts").count() for k in (3, 5, 7)})
+    assert counts == {3: 3, 5: 5, 7: 7}
+    shuffled = files()
+    staged(spark.range(1000).groupBy(F.col("id") % 11).count(), "counts")
+    assert files() <= shuffled
+    with brief_shuffles(spark):
+        with brief_shuffles(spark):
+            assert spark.conf.get(setting) == "true"
+        assert spark.conf.get(setting) == "true"
+        again = spark.range(1000).groupBy(F.col("id") % 9).count()
+    assert len(again.collect()) == len(again.collect()) == 9
+    assert spark.conf.get(setting, None) == was
+
+
 def test_layouts_and_views(spark, tmp_path):
     df = spark.range(100).select("id", (F.col("id") % 3).alias("ds"))
     write_layout(df, f"{tmp_path}/p", partition_by=["ds"], sort_by=["id"])
