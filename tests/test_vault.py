@@ -1,7 +1,12 @@
+import os
+
 from pyspark.sql import functions as F
 
-from martkit.functions.keys import hash_key, uuid5_key
+from martkit.functions.keys import hash_key, joined, uuid5_key
 from martkit.plans.conversion import group_conversion, load_community_vault
+from martkit.session import passing_tables, staged, work_dir
+from martkit.sinks.commits import CommitLog, written_at_once
+from martkit.sinks.hashed import HashedTable
 from martkit.vault import loaders
 from martkit.vault.loaders import load_hub, load_link, load_satellite, merged
 from tests.conftest import plan, rows
@@ -154,6 +159,36 @@ def test_steady_keys_of_satellites_are_not_put_in_order(spark, monkeypatch):
         )
 
 
+def test_new_keys_meet_known_ones_in_short_form(spark):
+    day = stamp("2024-01-01 00:00:00")
+    data = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), ("c", "y"), ("c", "y")], "g string, u string")
+    text = lambda *cols: F.concat(F.lit("00000000-0000-0000-0000-00000000000A"), joined(*cols))
+    for key_of in (uuid5_key, hash_key, text):
+        parents = {"hk_g": "g", "hk_u": "u"}
+        held = load_link(None, data.filter("g <> 'c'"), "hk", parents, "s", day, key_of=key_of)
+        fresh = load_link(held, data, "hk", parents, "s", day, key_of=key_of)
+        want = data.filter("g = 'c'").distinct().select(key_of(key_of("g"), key_of("u")).alias("hk"), key_of("g").alias("hk_g"), key_of("u").alias("hk_u"))
+        assert rows(fresh, "hk", "hk_g", "hk_u") == rows(want)
+        assert ("unhex" in plan(fresh)) == (key_of is not hash_key)
+
+
+def test_rows_of_a_batch_are_reduced_once_and_not_kept(spark, tmp_path):
+    day = stamp("2024-01-01 00:00:00")
+    data = spark.range(60).select((F.col("id") % 7).alias("g"))
+    table = HashedTable(CommitLog(spark, f"{tmp_path}/log"), "h", "hk")
+    load = lambda rows: load_hub(table, rows, "g", "hk", [], "s", day)
+    staged_now = lambda: set(os.listdir(work_dir(spark).removeprefix("file:"))) if os.path.isdir(work_dir(spark)) else set()
+    table.upsert(load(data.filter("g < 5")))
+    before = staged_now()
+    with passing_tables(spark):
+        fresh = load(data)
+        assert "Aggregate" not in plan(fresh) and staged_now() > before
+        assert rows(fresh, "g") == [(5,), (6,)]
+        done = written_at_once({n: lambda: staged(fresh, "copy").count() for n in ("a", "b")})
+        assert done == {"a": 2, "b": 2} and len(staged_now() - before) == 3
+    assert staged_now() == before
+
+
 def plain(*cols):
     """Keys as text that only look like a UUID."""
     return F.concat_ws("|", F.lit("00000000-0000-0000-0000-00000000000A"), *[F.coalesce(F.col(c), F.lit("-")) for c in cols])
